@@ -1,0 +1,125 @@
+"""A call feed derived from a table of events.
+
+No call recording ships with this repository, so queries and tests derive one:
+each event is a call, observed at every full five minutes while it is alive.
+"""
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from callpulse.functions.timestamps import format_timestamp
+from callpulse.operators.frames import envelope
+from callpulse.operators.once import evaluate_once
+from callpulse.schema import CALL_FIELDS, TIMESTAMP_FIELDS
+
+SNAPSHOT_MILLIS = 300_000
+AFTERCARE_MILLIS = 600_000
+TENANT = "demo"
+
+# Room for case numbers below 10^12 between the offsets of two snapshots.
+_OFFSET_STRIDE = 1_000_000_000_000
+
+
+def _later(instant: str, millis: Column | int) -> Column:
+    quantity = millis if isinstance(millis, Column) else F.lit(millis)
+    return F.timestamp_add("MILLISECOND", quantity, F.col(instant))
+
+
+def calls_from_events(events: DataFrame) -> DataFrame:
+    """One row per call and snapshot, in the field order of the feed.
+
+    The snapshots are counted from the call's own bounds, so no row is made
+    only to be filtered away, and nothing is shuffled.
+    """
+    abandoned = F.col("event_type") == "error"
+    stamped = events.select(
+        "event_id",
+        "user_id",
+        "event_type",
+        F.date_trunc("millisecond", F.col("ts").cast("timestamp")).alias("dt_offered"),
+        (F.round(F.col("value") * 100).cast("bigint") * 100).alias("wait_ms"),
+        (
+            F.get_json_object("props", "$.k").cast("bigint") * 5_000 + 60_000
+        ).alias("talk_ms"),
+    )
+    queued = stamped.withColumn("dt_offered_queue", _later("dt_offered", 10_000))
+    helped = queued.withColumn("q_end", _later("dt_offered_queue", F.col("wait_ms")))
+    staged = helped.withColumn("helped_end", _later("q_end", F.col("talk_ms"))).select(
+        F.col("event_id").cast("string").alias("caseId"),
+        "dt_offered",
+        F.when(~abandoned, F.col("helped_end")).alias("dt_handled"),
+        _later("dt_offered", 5_000).alias("dt_offered_service"),
+        "dt_offered_queue",
+        F.when(~abandoned, F.col("q_end")).alias("dt_start"),
+        F.when(abandoned, F.col("q_end"))
+        .otherwise(_later("helped_end", AFTERCARE_MILLIS))
+        .alias("dt_end"),
+        F.concat(F.lit("service-"), (F.col("user_id") % 8).cast("string")).alias(
+            "services_name"
+        ),
+        F.when(F.col("user_id") % 3 == 0, "1")
+        .otherwise("0")
+        .alias("ind_forward_service_previous"),
+        F.col("event_type").alias("area"),
+        F.concat("event_type", F.lit("-"), (F.col("user_id") % 4).cast("string")).alias(
+            "subarea"
+        ),
+    )
+    first = F.ceil(F.unix_millis("dt_offered") / SNAPSHOT_MILLIS)
+    last = F.floor(F.unix_millis("dt_end") / SNAPSHOT_MILLIS)
+    snapshots = F.when(first <= last, F.sequence(first, last))
+    return (
+        staged.withColumn("snapshot", F.explode(snapshots))
+        .withColumn("pubTime", F.timestamp_millis(F.col("snapshot") * SNAPSHOT_MILLIS))
+        .select(*CALL_FIELDS)
+    )
+
+
+def call_lines(calls: DataFrame, *keep: str) -> DataFrame:
+    """Each call observation as the text line a publisher would send."""
+    fields = [
+        F.coalesce(
+            format_timestamp(F.col(name)) if name in TIMESTAMP_FIELDS else F.col(name),
+            F.lit(""),
+        )
+        for name in CALL_FIELDS
+    ]
+    lines = evaluate_once(calls, line=F.concat_ws(",", *fields))
+    return lines.select(*keep, "line")
+
+
+def damaged_lines(calls: DataFrame) -> DataFrame:
+    """Call lines of which a known part is broken, for the quarantine."""
+    number = F.col("caseId").cast("bigint")
+    line = F.col("line")
+    return call_lines(calls, "caseId").select(
+        F.when(number % 97 == 0, F.concat(F.lit("x,"), line))
+        .when(number % 101 == 0, F.replace(line, F.lit("."), F.lit(".9")))
+        .otherwise(line)
+        .alias("line"),
+    )
+
+
+def call_records(calls: DataFrame, topic: str = "calls") -> DataFrame:
+    """Call lines enveloped in records with the columns of the Kafka source.
+
+    Offsets rise with the snapshot and have gaps, as a compacted topic's do;
+    dense ones would need a sort of each whole partition.
+    """
+    number = F.col("caseId").cast("bigint")
+    snapshot = F.floor(F.unix_millis("pubTime") / SNAPSHOT_MILLIS)
+    keyed = call_lines(calls, "caseId", "pubTime", "services_name").select(
+        F.col("caseId").alias("key"),
+        F.col("line").alias("value"),
+        number.alias("number"),
+        "pubTime",
+        "services_name",
+    )
+    return envelope(keyed, F.lit(TENANT), F.col("services_name")).select(
+        "key",
+        "value",
+        F.lit(topic).alias("topic"),
+        (F.col("number") % 4).cast("int").alias("partition"),
+        (snapshot * F.lit(_OFFSET_STRIDE) + F.col("number")).alias("offset"),
+        F.col("pubTime").alias("timestamp"),
+    )
