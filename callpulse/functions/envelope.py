@@ -4,9 +4,10 @@ Wire form (proto3): ``KeyEnvelope {header = 1 {identifier = 1 {tenant = 1,
 publisher = 2}, retained = 2, qos = 3}, key = 2}`` and
 ``DataEnvelope {binary = 1, tracing = 2}``.
 
-Encoding is built-in binary expressions only. A length stands before the bytes
-it counts and is named several times, so a nested message should be a column
-that is already evaluated; ``operators.frames`` builds the key envelope so.
+Encoding is built-in binary expressions only, written as SQL over column names. A
+length stands before the bytes it counts and is named several times, so a nested
+message should be a column that is already evaluated; ``operators.frames`` builds
+the key envelope so.
 
 Decoding a data envelope is built-in too, as long as the record holds a payload
 and nothing else, which is how every publisher of this feed writes it; anything
@@ -35,55 +36,53 @@ _MAX_LENGTH_BYTES = 5
 _EXPRESSION_LENGTH_BYTES = 3
 
 
-def _bytes(raw: bytes) -> Column:
-    return F.lit(bytearray(raw))
+def _binary(*values: int) -> str:
+    return f"X'{bytes(values).hex().upper()}'"
 
 
-def _byte(value: Column) -> Column:
-    """One byte, looked up in a literal that holds all 256."""
-    return F.substring(_bytes(bytes(range(256))), value + F.lit(1), F.lit(1))
+def _varint_number(value: str, count: int) -> str:
+    """The number whose ``count`` bytes are the varint of ``value``.
 
-
-def _varint_bytes(value: Column, count: int) -> Column:
-    """``value`` as exactly ``count`` base-128 groups, least significant first."""
-    parts = []
+    A varint holds groups of seven bits, least significant first, and all but
+    the last have the high bit set.
+    """
+    groups = []
     for index in range(count):
-        group = F.shiftright(value, 7 * index).bitwiseAND(F.lit(127))
-        more = index < count - 1
-        parts.append(_byte(group.bitwiseOR(F.lit(128)) if more else group))
-    return F.concat(*parts)
+        group = f"(shiftright(bigint({value}), {7 * index}) & 127)"
+        if index < count - 1:
+            group = f"({group} | 128)"
+        groups.append(f"shiftleft({group}, {8 * (count - 1 - index)})")
+    return f"({' | '.join(groups)})"
 
 
-def _varint(value: Column) -> Column:
-    encoded = F.when(value < F.lit(128), _varint_bytes(value, 1))
-    for count in range(2, _MAX_LENGTH_BYTES):
-        encoded = encoded.when(
-            value < F.lit(1 << (7 * count)), _varint_bytes(value, count)
-        )
-    return encoded.otherwise(_varint_bytes(value, _MAX_LENGTH_BYTES))
+def _varint(value: str) -> str:
+    cases = [
+        f"WHEN {value} < {1 << 7 * count} THEN {_varint_number(value, count)}"
+        for count in range(1, _MAX_LENGTH_BYTES)
+    ]
+    longest = _varint_number(value, _MAX_LENGTH_BYTES)
+    return f"unhex(hex(CASE {' '.join(cases)} ELSE {longest} END))"
 
 
-def length_delimited(number: int, body: Column) -> Column:
-    """A field of bytes, text or a nested message, present even when empty."""
-    tag = _bytes(bytes([number << 3 | 2]))
-    return F.concat(tag, _varint(F.octet_length(body)), body)
+def length_delimited(number: int, body: str) -> str:
+    """A field of text, bytes or a nested message, present even when empty."""
+    tag = _binary(number << 3 | 2)
+    return f"concat({tag}, {_varint(f'octet_length({body})')}, CAST({body} AS BINARY))"
 
 
-def text_field(number: int, text: Column) -> Column:
+def text_field(number: int, text: str) -> str:
     """A string field; proto3 leaves out the empty string."""
-    return F.when(text != "", length_delimited(number, text.cast("binary"))).otherwise(
-        _bytes(b"")
-    )
+    return f"CASE WHEN {text} <> '' THEN {length_delimited(number, text)} ELSE X'' END"
 
 
-def flag_field(number: int, flag: Column) -> Column:
+def flag_field(number: int, flag: str) -> str:
     """A bool field, or an enum field of value 0 or 1; proto3 leaves out 0."""
-    return F.when(flag, _bytes(bytes([number << 3, 1]))).otherwise(_bytes(b""))
+    return f"CASE WHEN {flag} THEN {_binary(number << 3, 1)} ELSE X'' END"
 
 
-def encode_data(text: Column) -> Column:
+def encode_data(text: str) -> Column:
     """Data envelope bytes around UTF-8 text. An empty payload is still present."""
-    return length_delimited(1, text.cast("binary"))
+    return F.expr(length_delimited(1, text))
 
 
 @cache
@@ -219,47 +218,44 @@ def decode_key(value: Column) -> Column:
     return F.coalesce(_parse_key_udf()(value), empty)
 
 
-def sole_payload(value: Column) -> Column:
+def sole_payload(value: str) -> Column:
     """The payload of an envelope that holds nothing else, or null.
 
     The size of the record alone says how many bytes the payload's length must
     take, so the record is compared with the one prefix it can start with.
     """
-    size = F.octet_length(value)
-    payload = None
+    cases = []
     for count in range(1, _EXPRESSION_LENGTH_BYTES + 1):
-        length = size - F.lit(1 + count)
-        prefix = F.concat(_bytes(b"\x0a"), _varint_bytes(length, count))
-        shortest = 0 if count == 1 else 1 << (7 * (count - 1))
-        fits = (length >= F.lit(shortest)) & (length < F.lit(1 << (7 * count)))
-        matches = fits & (F.substring(value, 1, 1 + count) == prefix)
-        body = F.substring(value, F.lit(2 + count), length)
-        payload = F.when(matches, body) if payload is None else payload.when(matches, body)
-    return payload
-
-
-def data_envelope(value: Column, payload: Column) -> Column:
-    """The decoded envelope of ``value``, given its ``sole_payload``."""
-
-    def envelope(binary: Column, ok: bool) -> Column:
-        no_tracing = F.create_map().cast("map<string,string>")
-        return F.struct(
-            binary.alias("binary"),
-            no_tracing.alias("tracing"),
-            F.lit(ok).alias("envelope_ok"),
+        length = f"(octet_length({value}) - {1 + count})"
+        shortest = 0 if count == 1 else 1 << 7 * (count - 1)
+        longest = (1 << 7 * count) - 1
+        tag = f"bigint({0x0A << 8 * count})"
+        prefix = f"unhex(hex({tag} | {_varint_number(length, count)}))"
+        cases.append(
+            f"WHEN {length} BETWEEN {shortest} AND {longest} "
+            f"AND substring({value}, 1, {1 + count}) = {prefix} "
+            f"THEN substring({value}, {2 + count})"
         )
+    return F.expr(f"CASE {' '.join(cases)} END")
+
 
-    other = F.when(payload.isNull(), value)
-    return F.when(payload.isNotNull(), envelope(payload, True)).otherwise(
+def data_envelope(value: str, payload: str) -> Column:
+    """The decoded envelope in ``value``, given its ``sole_payload``."""
+    other = F.expr(f"CASE WHEN {payload} IS NULL THEN {value} END")
+    return F.when(
+        F.col(payload).isNotNull(), _envelope(F.col(payload), True)
+    ).otherwise(
         F.coalesce(
-            _parse_data_udf()(other), envelope(F.lit(None).cast("binary"), False)
+            _parse_data_udf()(other), _envelope(F.lit(None).cast("binary"), False)
         )
     )
 
 
-def decode_data(value: Column) -> Column:
-    """Struct ``binary, tracing, envelope_ok``; unreadable bytes give the empty envelope."""
-    return data_envelope(value, sole_payload(value))
+def _envelope(binary: Column, ok: bool) -> Column:
+    no_tracing = F.create_map().cast("map<string,string>")
+    return F.struct(
+        binary.alias("binary"), no_tracing.alias("tracing"), F.lit(ok).alias("envelope_ok")
+    )
 
 
 def payload_text(data: Column) -> Column:

@@ -39,12 +39,16 @@ def in_service_queue() -> Column:
     return _reached("dt_offered_queue") & _not_reached("dt_start")
 
 
+def _millis_between(start: str, end: str) -> Column:
+    return F.expr(f"(unix_micros({end}) - unix_micros({start})) div 1000")
+
+
 def handling_millis() -> Column:
-    return F.timestamp_diff("MILLISECOND", F.col("dt_offered"), F.col("dt_handled"))
+    return _millis_between("dt_offered", "dt_handled")
 
 
 def queue_millis() -> Column:
-    return F.timestamp_diff("MILLISECOND", F.col("dt_offered"), F.col("dt_start"))
+    return _millis_between("dt_offered", "dt_start")
 
 
 def mean_duration(total_millis: Column, calls: Column, unit: str = "minutes") -> Column:

@@ -27,27 +27,35 @@ def envelope(
 
     ``retained`` defaults to false and ``qos`` to BEST_EFFORT.
     """
-    names = evaluate_once(
-        keyed,
-        _identity=F.concat(
-            text_field(1, F.coalesce(tenant, F.lit(""))),
-            text_field(2, F.coalesce(publisher, F.lit(""))),
-        ),
+    named = keyed.withColumns(
+        {
+            "_key": F.coalesce("key", F.lit("")),
+            "_tenant": F.coalesce(tenant, F.lit("")),
+            "_publisher": F.coalesce(publisher, F.lit("")),
+            "_retained": F.lit(False) if retained is None else retained,
+            "_reliable": F.lit(False) if qos is None else qos == "RELIABLE",
+        }
+    )
+    identity = f"concat({text_field(1, '_tenant')}, {text_field(2, '_publisher')})"
+    identified = evaluate_once(named, _identity=F.expr(identity))
+    header = ", ".join(
+        [
+            length_delimited(1, "_identity"),
+            flag_field(2, "_retained"),
+            flag_field(3, "_reliable"),
+        ]
     )
-    header = [length_delimited(1, F.col("_identity"))]
-    if retained is not None:
-        header.append(flag_field(2, retained))
-    if qos is not None:
-        header.append(flag_field(3, qos == "RELIABLE"))
-    headed = evaluate_once(names, _header=F.concat(*header))
-    key = F.concat(
-        length_delimited(1, F.col("_header")),
-        text_field(2, F.coalesce("key", F.lit(""))),
+    headed = evaluate_once(identified, _header=F.expr(f"concat({header})"))
+    encoded = evaluate_once(
+        headed,
+        _encoded_key=F.expr(
+            f"concat({length_delimited(1, '_header')}, {text_field(2, '_key')})"
+        ),
+        _encoded_value=encode_data("value"),
     )
-    encoded = evaluate_once(headed, _key=key, _value=encode_data(F.col("value")))
-    replaced = {"key": "_key", "value": "_value"}
+    encoded_as = {"key": "_encoded_key", "value": "_encoded_value"}
     return encoded.select(
-        *[F.col(replaced.get(name, name)).alias(name) for name in keyed.columns]
+        *[F.col(encoded_as.get(name, name)).alias(name) for name in keyed.columns]
     )
 
 

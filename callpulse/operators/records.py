@@ -24,12 +24,13 @@ BAD_TIMESTAMP = "bad_timestamp"
 
 
 def decode_records(records: DataFrame) -> DataFrame:
-    """Add ``line`` and ``envelope_ok`` from ``value``; keep every other column."""
-    framed = evaluate_once(records, _payload=sole_payload(F.col("value")))
-    decoded = framed.withColumn("_data", data_envelope(F.col("value"), F.col("_payload")))
+    """Add ``line``, ``tracing`` and ``envelope_ok`` from ``value``; keep the rest."""
+    framed = evaluate_once(records, _payload=sole_payload("value"))
+    decoded = framed.withColumn("_data", data_envelope("value", "_payload"))
     return decoded.select(
         *[F.col(name) for name in records.columns],
         payload_text(F.col("_data")).alias("line"),
+        F.col("_data.tracing").alias("tracing"),
         F.col("_data.envelope_ok").alias("envelope_ok"),
     )
 

@@ -7,15 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callpulse.functions.envelope import (
-    decode_data,
-    decode_key,
-    length_delimited,
-    payload_text,
-    text_field,
-)
+from callpulse.functions.envelope import decode_key, length_delimited, text_field
 from callpulse.operators import filters, kpis, messages, records
 from callpulse.operators.frames import envelope, frames
+from callpulse.operators.once import evaluate_once
 from callpulse.schema import (
     AVERAGE_HANDLING_TIME,
     MESSAGE_SCHEMAS,
@@ -129,19 +124,18 @@ def envelope_data_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
         tenant=F.lit(TENANT),
         publisher=F.lit("call-log"),
     )
-    tracing = length_delimited(
-        2, F.concat(text_field(1, F.lit("area")), text_field(2, F.col("area")))
-    )
-    traced = encoded.withColumn(
-        "value",
-        F.when(F.col("area") == "error", F.concat("value", tracing)).otherwise(
-            F.col("value")
-        ),
-    )
-    return traced.select("pubTime", decode_data(F.col("value")).alias("d")).select(
+    entry = f"concat({text_field(1, 'name')}, {text_field(2, 'area')})"
+    traced = evaluate_once(
+        encoded.withColumn("name", F.lit("area")), entry=F.expr(entry)
+    ).select(
         "pubTime",
-        payload_text(F.col("d")).alias("line"),
-        F.try_element_at("d.tracing", F.lit("area")).alias("traced_area"),
+        F.expr(
+            f"""CASE WHEN area = 'error' THEN concat(value, {length_delimited(2, 'entry')})
+                     ELSE value END"""
+        ).alias("value"),
+    )
+    return records.decode_records(traced).select(
+        "pubTime", "line", F.try_element_at("tracing", F.lit("area")).alias("traced_area")
     )
 
 

@@ -4,7 +4,7 @@ No call recording ships with this repository, so queries and tests derive one:
 each event is a call, observed at every full five minutes while it is alive.
 """
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from callpulse.functions.timestamps import format_timestamp
@@ -20,58 +20,48 @@ TENANT = "demo"
 _OFFSET_STRIDE = 1_000_000_000_000
 
 
-def _later(instant: str, millis: Column | int) -> Column:
-    quantity = millis if isinstance(millis, Column) else F.lit(millis)
-    return F.timestamp_add("MILLISECOND", quantity, F.col(instant))
-
-
 def calls_from_events(events: DataFrame) -> DataFrame:
     """One row per call and snapshot, in the field order of the feed.
 
     The snapshots are counted from the call's own bounds, so no row is made
     only to be filtered away, and nothing is shuffled.
     """
-    abandoned = F.col("event_type") == "error"
-    stamped = events.select(
-        "event_id",
-        "user_id",
-        "event_type",
-        F.date_trunc("millisecond", F.col("ts").cast("timestamp")).alias("dt_offered"),
-        (F.round(F.col("value") * 100).cast("bigint") * 100).alias("wait_ms"),
-        (
-            F.get_json_object("props", "$.k").cast("bigint") * 5_000 + 60_000
-        ).alias("talk_ms"),
+    timed = (
+        events.selectExpr(
+            "event_id",
+            "user_id",
+            "event_type",
+            "unix_millis(CAST(ts AS TIMESTAMP)) AS offered",
+            "CAST(round(value * 100) AS BIGINT) * 100 AS wait",
+            "CAST(get_json_object(props, '$.k') AS BIGINT) * 5000 + 60000 AS talk",
+        )
+        .selectExpr("*", "offered + 10000 + wait AS started")
+        .selectExpr("*", "started + talk AS handled")
+        .selectExpr(
+            "*",
+            f"""CASE WHEN event_type = 'error' THEN started
+                     ELSE handled + {AFTERCARE_MILLIS} END AS ended""",
+        )
     )
-    queued = stamped.withColumn("dt_offered_queue", _later("dt_offered", 10_000))
-    helped = queued.withColumn("q_end", _later("dt_offered_queue", F.col("wait_ms")))
-    staged = helped.withColumn("helped_end", _later("q_end", F.col("talk_ms"))).select(
-        F.col("event_id").cast("string").alias("caseId"),
-        "dt_offered",
-        F.when(~abandoned, F.col("helped_end")).alias("dt_handled"),
-        _later("dt_offered", 5_000).alias("dt_offered_service"),
-        "dt_offered_queue",
-        F.when(~abandoned, F.col("q_end")).alias("dt_start"),
-        F.when(abandoned, F.col("q_end"))
-        .otherwise(_later("helped_end", AFTERCARE_MILLIS))
-        .alias("dt_end"),
-        F.concat(F.lit("service-"), (F.col("user_id") % 8).cast("string")).alias(
-            "services_name"
-        ),
-        F.when(F.col("user_id") % 3 == 0, "1")
-        .otherwise("0")
-        .alias("ind_forward_service_previous"),
-        F.col("event_type").alias("area"),
-        F.concat("event_type", F.lit("-"), (F.col("user_id") % 4).cast("string")).alias(
-            "subarea"
-        ),
+    first = f"(offered + {SNAPSHOT_MILLIS - 1}) div {SNAPSHOT_MILLIS}"
+    last = f"ended div {SNAPSHOT_MILLIS}"
+    observed = timed.selectExpr(
+        "*",
+        f"explode(CASE WHEN {first} <= {last} THEN sequence({first}, {last}) END) AS snapshot",
     )
-    first = F.ceil(F.unix_millis("dt_offered") / SNAPSHOT_MILLIS)
-    last = F.floor(F.unix_millis("dt_end") / SNAPSHOT_MILLIS)
-    snapshots = F.when(first <= last, F.sequence(first, last))
-    return (
-        staged.withColumn("snapshot", F.explode(snapshots))
-        .withColumn("pubTime", F.timestamp_millis(F.col("snapshot") * SNAPSHOT_MILLIS))
-        .select(*CALL_FIELDS)
+    return observed.selectExpr(
+        f"timestamp_millis(snapshot * {SNAPSHOT_MILLIS}) AS pubTime",
+        "CAST(event_id AS STRING) AS caseId",
+        "timestamp_millis(offered) AS dt_offered",
+        "CASE WHEN event_type <> 'error' THEN timestamp_millis(handled) END AS dt_handled",
+        "timestamp_millis(offered + 5000) AS dt_offered_service",
+        "timestamp_millis(offered + 10000) AS dt_offered_queue",
+        "CASE WHEN event_type <> 'error' THEN timestamp_millis(started) END AS dt_start",
+        "timestamp_millis(ended) AS dt_end",
+        "concat('service-', user_id % 8) AS services_name",
+        "CASE WHEN user_id % 3 = 0 THEN '1' ELSE '0' END AS ind_forward_service_previous",
+        "event_type AS area",
+        "concat(event_type, '-', user_id % 4) AS subarea",
     )
 
 
