@@ -17,9 +17,10 @@ UDF.
 
 from __future__ import annotations
 
-from functools import cache
+import sys
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -85,9 +86,8 @@ def encode_data(text: str) -> Column:
     return F.expr(length_delimited(1, text))
 
 
-@cache
-def _messages():
-    """Message classes of the two envelopes, built once per Python worker."""
+def _message_classes() -> dict:
+    """Message classes of the two envelopes."""
     try:
         from google.protobuf import descriptor_pb2, descriptor_pool, message_factory
     except ImportError as missing:
@@ -149,73 +149,73 @@ def _parse(message_class, raw: bytes | None):
         return message_class(), False
 
 
-def _qos_name(number: int) -> str:
-    names = {value: name for name, value in QOS_LEVELS.items()}
-    return names.get(number, f"UNRECOGNIZED_{number}")
-
-
-def _key_row(message, ok: bool) -> dict:
-    header = None
-    if message.HasField("header"):
-        identifier = None
-        if message.header.HasField("identifier"):
-            identifier = {
-                "tenant": message.header.identifier.tenant,
-                "publisher": message.header.identifier.publisher,
-            }
-        header = {
+def _struct(columns: dict[str, pa.Array], present: list[bool] | None = None) -> pa.Array:
+    mask = None if present is None else pa.array([not here for here in present])
+    return pa.StructArray.from_arrays(list(columns.values()), list(columns), mask=mask)
+
+
+def _parse_keys(values: pa.Array) -> pa.Array:
+    message_class = _message_classes()["Key"]
+    parsed = [_parse(message_class, raw) for raw in values.to_pylist()]
+    messages = [message for message, _ in parsed]
+    headers = [message.header for message in messages]
+    identifiers = [header.identifier for header in headers]
+    qos_names = {number: name for name, number in QOS_LEVELS.items()}
+    qos = [qos_names.get(header.qos, f"UNRECOGNIZED_{header.qos}") for header in headers]
+    identifier = _struct(
+        {
+            "tenant": pa.array([i.tenant for i in identifiers], pa.string()),
+            "publisher": pa.array([i.publisher for i in identifiers], pa.string()),
+        },
+        [header.HasField("identifier") for header in headers],
+    )
+    header = _struct(
+        {
             "identifier": identifier,
-            "retained": message.header.retained,
-            "qos": _qos_name(message.header.qos),
+            "retained": pa.array([h.retained for h in headers], pa.bool_()),
+            "qos": pa.array(qos, pa.string()),
+        },
+        [message.HasField("header") for message in messages],
+    )
+    return _struct(
+        {
+            "header": header,
+            "key": pa.array([message.key for message in messages], pa.string()),
+            "envelope_ok": pa.array([ok for _, ok in parsed], pa.bool_()),
         }
-    return {"header": header, "key": message.key, "envelope_ok": ok}
-
-
-def _data_row(message, ok: bool) -> dict:
-    return {
-        "binary": message.binary if message.HasField("binary") else None,
-        "tracing": list(message.tracing.items()),
-        "envelope_ok": ok,
-    }
+    )
 
 
-def _parse_batch(values: pa.Array, message_name: str, to_row, schema) -> pa.Array:
+def _parse_data(values: pa.Array) -> pa.Array:
     """Parse the bytes that are there; a null stays null."""
-    arrow_type = to_arrow_type(schema)
+    arrow_type = to_arrow_type(DATA_ENVELOPE)
     if values.null_count == len(values):
         return pa.nulls(len(values), arrow_type)
-    message_class = _messages()[message_name]
-    rows = [
-        None if raw is None else to_row(*_parse(message_class, raw))
-        for raw in values.to_pylist()
-    ]
+    message_class = _message_classes()["Data"]
+    rows = []
+    for raw in values.to_pylist():
+        if raw is None:
+            rows.append(None)
+            continue
+        message, ok = _parse(message_class, raw)
+        rows.append(
+            {
+                "binary": message.binary if message.HasField("binary") else None,
+                "tracing": list(message.tracing.items()),
+                "envelope_ok": ok,
+            }
+        )
     return pa.array(rows, type=arrow_type)
 
 
-@cache
-def _parse_key_udf():
-    def parse_key(values: pa.Array) -> pa.Array:
-        return _parse_batch(values, "Key", _key_row, KEY_ENVELOPE)
-
-    return F.arrow_udf(parse_key, KEY_ENVELOPE)
-
-
-@cache
-def _parse_data_udf():
-    def parse_data(values: pa.Array) -> pa.Array:
-        return _parse_batch(values, "Data", _data_row, DATA_ENVELOPE)
-
-    return F.arrow_udf(parse_data, DATA_ENVELOPE)
+# The parsers travel to the executors with the query, so that a cluster needs
+# pyarrow and protobuf there but not this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def decode_key(value: Column) -> Column:
     """Struct ``header, key, envelope_ok``; unreadable bytes give the empty envelope."""
-    empty = F.struct(
-        F.lit(None).cast(KEY_ENVELOPE["header"].dataType).alias("header"),
-        F.lit("").alias("key"),
-        F.lit(False).alias("envelope_ok"),
-    )
-    return F.coalesce(_parse_key_udf()(value), empty)
+    return F.arrow_udf(_parse_keys, KEY_ENVELOPE)(value)
 
 
 def sole_payload(value: str) -> Column:
@@ -246,7 +246,7 @@ def data_envelope(value: str, payload: str) -> Column:
         F.col(payload).isNotNull(), _envelope(F.col(payload), True)
     ).otherwise(
         F.coalesce(
-            _parse_data_udf()(other), _envelope(F.lit(None).cast("binary"), False)
+            F.arrow_udf(_parse_data, DATA_ENVELOPE)(other), _envelope(F.lit(None).cast("binary"), False)
         )
     )
 

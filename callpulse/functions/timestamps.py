@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 # The feed's timestamp pattern, and the same shape as a regex.
 TIMESTAMP_PATTERN = "yyyy-MM-dd HH:mm:ss.SSS"
-TIMESTAMP_SHAPE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}[.][0-9]{3}$"
+TIMESTAMP_SHAPE = r"\A[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}[.][0-9]{3}\z"
 
 
 def parse_timestamp(text: Column) -> Column:

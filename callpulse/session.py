@@ -39,5 +39,4 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
         root = tempfile.mkdtemp(prefix="callpulse-")
-        spark.conf.set(CHECKPOINT_DIR, root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
