@@ -102,6 +102,27 @@ service_messages AS (
 )"""
 
 
+_FRAMES = f"""
+aht AS ({_KPI_AHT}), qac AS ({_KPI_QAC}), wt AS ({_KPI_WT}), messages AS (
+  SELECT 'average-handling-time' AS key, '[{{"pubTime":' || epoch_ms(pubTime)
+    || ',"avgCallDuration":' || avgCallDuration || '}}]' AS value FROM aht
+  UNION ALL SELECT 'queuers-and-callers', '[{{"pubTime":' || epoch_ms(pubTime)
+    || ',"queueSize":' || queueSize || ',"callsAmt":' || callsAmt
+    || ',"ratioServed":' || ratioServed || '}}]' FROM qac
+  UNION ALL SELECT 'wait-time', '[{{"pubTime":' || epoch_ms(pubTime)
+    || ',"queueDuration":' || queueDuration || '}}]' FROM wt
+  UNION ALL SELECT key, value FROM service_messages
+), sized AS (
+  SELECT hex(key) AS key_text, hex(value) AS value_text, strlen(value) AS n,
+    printf('%02X', strlen(key)) AS key_size,
+    '0A' || printf('%02X', {len(TENANT)}) || hex('{TENANT}')
+      || '12' || printf('%02X', strlen(key)) || hex(key) AS identity
+  FROM messages
+), headed AS (
+  SELECT *, '0A' || printf('%02X', length(identity) // 2) || identity AS header FROM sized
+)"""
+
+
 def _with(*parts: str, select: str) -> str:
     return "WITH " + ",".join((_CALLS, *parts)) + "\n" + select
 
@@ -140,6 +161,16 @@ FROM lines WHERE number % 97 <> 0 AND number % 101 = 0""",
         _LINES,
         select="""SELECT pubTime, line,
   CASE WHEN area = 'error' THEN area END AS traced_area FROM lines""",
+    ),
+    "kpi_frames": _with(
+        _SERVICE_MESSAGES,
+        _FRAMES,
+        select="""SELECT '0A' || printf('%02X', length(header) // 2) || header
+    || '12' || key_size || key_text AS key_hex,
+  '0A' || CASE WHEN n < 128 THEN printf('%02X', n)
+    WHEN n < 16384 THEN printf('%02X%02X', n % 128 + 128, n // 128)
+    ELSE printf('%02X%02X%02X', n % 128 + 128, n // 128 % 128 + 128, n // 16384) END
+    || value_text AS value_hex FROM headed""",
     ),
     "publisher_identity": _with(
         select=f"""SELECT '{TENANT}' AS tenant, key AS publisher, key, count(*) AS frames

@@ -18,7 +18,7 @@ from callpulse.schema import (
     WAIT_TIME,
 )
 from callpulse.session import shared_folder, use_utc
-from callpulse.sources.files import parquet_sink, read_spread, stream_files
+from callpulse.sources.files import parquet_sink, spread_if_few_splits, stream_files
 from callpulse.sources.fixtures import (
     TENANT,
     call_lines,
@@ -44,18 +44,28 @@ def _named(query: Query) -> Query:
     return run
 
 
+def _events_path(folder: str) -> str:
+    return f"{folder}/events.parquet"
+
+
 def calls(spark: SparkSession, folder: str) -> DataFrame:
-    return calls_from_events(read_spread(spark, f"{folder}/events.parquet"))
+    return calls_from_events(spark.read.parquet(_events_path(folder)))
 
 
-def _events_path(folder: str) -> str:
-    return f"{folder}/events.parquet"
+def _calls_for_text(spark: SparkSession, folder: str) -> DataFrame:
+    """The same calls where each is written and parsed as text, which costs far
+    more than reading it: a table in fewer splits than cores is spread first."""
+    events = spark.read.parquet(_events_path(folder))
+    return calls_from_events(spread_if_few_splits(events, events))
 
 
-def _streamed_calls(spark: SparkSession, folder: str) -> DataFrame:
+def _streamed_calls(spark: SparkSession, folder: str, as_text: bool = False) -> DataFrame:
     path = _events_path(folder)
-    schema = spark.read.parquet(path).schema
-    return calls_from_events(stream_files(spark, path, schema))
+    events = spark.read.parquet(path)
+    stream = stream_files(spark, path, events.schema)
+    return calls_from_events(
+        spread_if_few_splits(stream, events) if as_text else stream
+    )
 
 
 # Parsing
@@ -63,20 +73,21 @@ def _streamed_calls(spark: SparkSession, folder: str) -> DataFrame:
 
 @_named
 def call_observations(spark: SparkSession, folder: str) -> DataFrame:
-    return records.observations(records.parse_lines(damaged_lines(calls(spark, folder))))
+    lines = damaged_lines(_calls_for_text(spark, folder))
+    return records.observations(records.parse_lines(lines))
 
 
 @_named
 def quarantined_lines(spark: SparkSession, folder: str) -> DataFrame:
     return records.quarantined(
-        records.parse_lines(damaged_lines(calls(spark, folder)))
+        records.parse_lines(damaged_lines(_calls_for_text(spark, folder)))
     )
 
 
 @_named
 def call_records_with_metadata(spark: SparkSession, folder: str) -> DataFrame:
     decoded = records.decode_record_keys(
-        records.decode_records(call_records(calls(spark, folder)))
+        records.decode_records(call_records(_calls_for_text(spark, folder)))
     )
     return decoded.select(
         "topic", "partition", "offset", "timestamp", "key", "tenant", "publisher", "line"
@@ -88,7 +99,7 @@ def call_records_with_metadata(spark: SparkSession, folder: str) -> DataFrame:
 
 @_named
 def envelope_key_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    keyed = calls(spark, folder).select(
+    keyed = _calls_for_text(spark, folder).select(
         "pubTime",
         "area",
         "services_name",
@@ -116,7 +127,7 @@ def envelope_key_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 @_named
 def envelope_data_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Records of abandoned calls also carry tracing, so both decoders are used."""
-    lines = call_lines(calls(spark, folder), "pubTime", "caseId", "area")
+    lines = call_lines(_calls_for_text(spark, folder), "pubTime", "caseId", "area")
     encoded = envelope(
         lines.select(
             "pubTime", "area", F.col("caseId").alias("key"), F.col("line").alias("value")
@@ -275,7 +286,7 @@ def message_queuers_per_service(spark: SparkSession, folder: str) -> DataFrame:
 @_named
 def stream_call_observations(spark: SparkSession, folder: str) -> DataFrame:
     out = shared_folder(spark, "call-observations")
-    feed = call_records(_streamed_calls(spark, folder))
+    feed = call_records(_streamed_calls(spark, folder, as_text=True))
     jobs.append_to_files(
         records.call_observations(feed), f"{out}/table", f"{out}/checkpoint", True
     ).awaitTermination()

@@ -6,15 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
-def read_spread(spark: SparkSession, path: str) -> DataFrame:
-    """A Parquet table, spread over the cores when it has too few splits for them.
+def spread_if_few_splits(df: DataFrame, table: DataFrame) -> DataFrame:
+    """``df``, spread over the cores when ``table`` has too few splits for them.
 
     A call expands to many observations after the scan, so a small table in one
     file would keep one core busy. A table with a split per core is not moved.
     """
-    table = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if table.rdd.getNumPartitions() < cores else df
 
 
 def stream_files(

@@ -3,7 +3,7 @@ from types import SimpleNamespace
 import pytest
 
 from callpulse.session import CHECKPOINT_DIR, shared_folder
-from callpulse.sources.files import read_spread
+from callpulse.sources.files import spread_if_few_splits
 from callpulse.sources.kafka import KafkaConnection, sink_options, source_options
 from conftest import SMALL
 
@@ -62,7 +62,9 @@ def test_only_a_table_with_few_splits_is_spread(spark, tmp_path, files, moved):
     before = spark.conf.get("spark.sql.files.openCostInBytes")
     spark.conf.set("spark.sql.files.openCostInBytes", str(128 << 20))
     try:
-        plan = read_spread(spark, path)._jdf.queryExecution().executedPlan().toString()
+        table = spark.read.parquet(path)
+        spread = spread_if_few_splits(table, table)
+        plan = spread._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.files.openCostInBytes", before)
     assert ("Exchange" in plan) == moved
