@@ -9,10 +9,10 @@ length stands before the bytes it counts and is named several times, so a nested
 message should be a column that is already evaluated; ``operators.frames`` builds
 the key envelope so.
 
-Decoding a data envelope is built-in too, as long as the record holds a payload
-and nothing else, which is how every publisher of this feed writes it; anything
-else (tracing, unknown fields, damage) goes to protobuf's own parser in an Arrow
-UDF.
+Decoding is built-in too for records in the plain form that every publisher of
+this feed writes: a payload and nothing else, or a key with its three short
+texts. Anything else (tracing, unknown fields, damage) goes to protobuf's own
+parser in an Arrow UDF.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from __future__ import annotations
 import sys
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -139,14 +140,20 @@ def _message_classes() -> dict:
     }
 
 
-def _parse(message_class, raw: bytes | None):
-    """The message and whether it was readable; unreadable gives the empty one."""
+def _parse_all(name: str, values: pa.Array) -> tuple[list, list[bool]]:
+    """Messages, and which were readable; unreadable bytes give the empty one."""
     from google.protobuf.message import DecodeError
 
-    try:
-        return message_class.FromString(raw), True
-    except (DecodeError, TypeError):
-        return message_class(), False
+    message_class = _message_classes()[name]
+    messages, readable = [], []
+    for raw in values.to_pylist():
+        try:
+            messages.append(message_class.FromString(raw))
+            readable.append(True)
+        except DecodeError:
+            messages.append(message_class())
+            readable.append(False)
+    return messages, readable
 
 
 def _struct(columns: dict[str, pa.Array], present: list[bool] | None = None) -> pa.Array:
@@ -154,10 +161,8 @@ def _struct(columns: dict[str, pa.Array], present: list[bool] | None = None) ->
     return pa.StructArray.from_arrays(list(columns.values()), list(columns), mask=mask)
 
 
-def _parse_keys(values: pa.Array) -> pa.Array:
-    message_class = _message_classes()["Key"]
-    parsed = [_parse(message_class, raw) for raw in values.to_pylist()]
-    messages = [message for message, _ in parsed]
+def _key_structs(values: pa.Array) -> pa.Array:
+    messages, readable = _parse_all("Key", values)
     headers = [message.header for message in messages]
     identifiers = [header.identifier for header in headers]
     qos_names = {number: name for name, number in QOS_LEVELS.items()}
@@ -181,31 +186,40 @@ def _parse_keys(values: pa.Array) -> pa.Array:
         {
             "header": header,
             "key": pa.array([message.key for message in messages], pa.string()),
-            "envelope_ok": pa.array([ok for _, ok in parsed], pa.bool_()),
+            "envelope_ok": pa.array(readable, pa.bool_()),
         }
     )
 
 
-def _parse_data(values: pa.Array) -> pa.Array:
-    """Parse the bytes that are there; a null stays null."""
-    arrow_type = to_arrow_type(DATA_ENVELOPE)
+def _data_structs(values: pa.Array) -> pa.Array:
+    rows = [
+        {
+            "binary": message.binary if message.HasField("binary") else None,
+            "tracing": list(message.tracing.items()),
+            "envelope_ok": ok,
+        }
+        for message, ok in zip(*_parse_all("Data", values))
+    ]
+    return pa.array(rows, type=to_arrow_type(DATA_ENVELOPE))
+
+
+def _only_present(values: pa.Array, structs, schema) -> pa.Array:
+    """``structs`` of the bytes that are there; a null stays null."""
     if values.null_count == len(values):
-        return pa.nulls(len(values), arrow_type)
-    message_class = _message_classes()["Data"]
-    rows = []
-    for raw in values.to_pylist():
-        if raw is None:
-            rows.append(None)
-            continue
-        message, ok = _parse(message_class, raw)
-        rows.append(
-            {
-                "binary": message.binary if message.HasField("binary") else None,
-                "tracing": list(message.tracing.items()),
-                "envelope_ok": ok,
-            }
-        )
-    return pa.array(rows, type=arrow_type)
+        return pa.nulls(len(values), to_arrow_type(schema))
+    if values.null_count == 0:
+        return structs(values)
+    present = values.is_valid()
+    position = pc.subtract(pc.cumulative_sum(present.cast(pa.int32())), 1)
+    return structs(values.drop_null()).take(pc.if_else(present, position, None))
+
+
+def _parse_keys(values: pa.Array) -> pa.Array:
+    return _only_present(values, _key_structs, KEY_ENVELOPE)
+
+
+def _parse_data(values: pa.Array) -> pa.Array:
+    return _only_present(values, _data_structs, DATA_ENVELOPE)
 
 
 # The parsers travel to the executors with the query, so that a cluster needs
@@ -213,9 +227,65 @@ def _parse_data(values: pa.Array) -> pa.Array:
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def decode_key(value: Column) -> Column:
-    """Struct ``header, key, envelope_ok``; unreadable bytes give the empty envelope."""
-    return F.arrow_udf(_parse_keys, KEY_ENVELOPE)(value)
+def byte_at(value: str, position: str) -> Column:
+    """The byte at a position as a number, if it is below 128."""
+    return F.expr(f"ascii(substring({value}, {position}, 1))")
+
+
+def plain_key(value: str, tenant_size: str, publisher_size: str) -> Column:
+    """The decoded key envelope if it is in the form ``operators.frames`` writes.
+
+    That is: all three texts are there, every length is below 128, and nothing
+    is repeated, out of order or unknown. Anything else gives null. The sizes
+    are read from the record; each part is then compared with what it must be.
+    """
+    header_size = f"ascii(substring({value}, 2, 1))"
+    identity_size = f"({tenant_size} + {publisher_size} + 4)"
+    key_size = f"(octet_length({value}) - {header_size} - 4)"
+    flags_size = f"({header_size} - {identity_size} - 2)"
+    flags = f"substring({value}, {identity_size} + 5, {flags_size})"
+    tenant = f"substring({value}, 7, {tenant_size})"
+    publisher = f"substring({value}, {tenant_size} + 9, {publisher_size})"
+    key = f"substring({value}, {header_size} + 5, {key_size})"
+
+    sizes = (header_size, identity_size, key_size, tenant_size, publisher_size)
+    conditions = [f"{size} BETWEEN 1 AND 127" for size in sizes]
+    start = (
+        f"bigint({0x0A000A000A00}) | shiftleft(bigint({header_size}), 32)"
+        f" | shiftleft(bigint({identity_size}), 16) | {tenant_size}"
+    )
+    conditions += [
+        f"substring({value}, 1, 6) = unhex(hex({start}))",
+        f"substring({value}, {tenant_size} + 7, 2) = unhex(hex({0x1200} | {publisher_size}))",
+        f"substring({value}, {header_size} + 3, 2) = unhex(hex({0x1200} | {key_size}))",
+        f"{flags_size} IN (0, 2, 4)",
+        f"{flags} IN (X'', X'1001', X'1801', X'10011801')",
+    ]
+    conditions += [
+        f"is_valid_utf8(CAST({text} AS STRING))" for text in (tenant, publisher, key)
+    ]
+    return F.expr(
+        f"""CASE WHEN {' AND '.join(conditions)} THEN named_struct(
+          'header', named_struct(
+            'identifier', named_struct(
+              'tenant', CAST({tenant} AS STRING), 'publisher', CAST({publisher} AS STRING)),
+            'retained', {flags} IN (X'1001', X'10011801'),
+            'qos', CASE WHEN {flags} IN (X'1801', X'10011801') THEN 'RELIABLE'
+                        ELSE 'BEST_EFFORT' END),
+          'key', CAST({key} AS STRING),
+          'envelope_ok', true) END"""
+    )
+
+
+def key_envelope(value: str, plain: str) -> Column:
+    """The decoded envelope in ``value``, given its ``plain_key``."""
+    other = F.expr(f"CASE WHEN {plain} IS NULL THEN {value} END")
+    empty = F.struct(
+        F.lit(None).cast(KEY_ENVELOPE["header"].dataType).alias("header"),
+        F.lit("").alias("key"),
+        F.lit(False).alias("envelope_ok"),
+    )
+    return F.coalesce(plain, F.arrow_udf(_parse_keys, KEY_ENVELOPE)(other), empty)
 
 
 def sole_payload(value: str) -> Column:

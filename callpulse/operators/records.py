@@ -7,9 +7,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from callpulse.functions.envelope import (
+    byte_at,
     data_envelope,
-    decode_key,
+    key_envelope,
     payload_text,
+    plain_key,
     sole_payload,
 )
 from callpulse.functions.timestamps import parse_timestamp
@@ -35,17 +37,33 @@ def decode_records(records: DataFrame) -> DataFrame:
     )
 
 
+def decode_keys(records: DataFrame) -> DataFrame:
+    """Replace the bytes in ``key`` by a struct ``header, key, envelope_ok``."""
+    tenant = evaluate_once(records, _tenant_size=byte_at("key", "6"))
+    publisher = evaluate_once(
+        tenant, _publisher_size=byte_at("key", "_tenant_size + 8")
+    )
+    plain = evaluate_once(
+        publisher, _plain=plain_key("key", "_tenant_size", "_publisher_size")
+    )
+    return plain.withColumn("key", key_envelope("key", "_plain")).drop(
+        "_tenant_size", "_publisher_size", "_plain"
+    )
+
+
 def decode_record_keys(records: DataFrame) -> DataFrame:
     """Replace the bytes in ``key`` by the key text; add tenant and publisher.
 
     Separate from ``decode_records`` because no figure needs the key.
     """
-    return (
-        records.withColumn("_key", decode_key(F.col("key")))
-        .withColumn("key", F.col("_key.key"))
-        .withColumn("tenant", F.col("_key.header.identifier.tenant"))
-        .withColumn("publisher", F.col("_key.header.identifier.publisher"))
-        .drop("_key")
+    identifier = "key.header.identifier"
+    return decode_keys(records).select(
+        *[
+            F.col("key.key" if name == "key" else name).alias(name)
+            for name in records.columns
+        ],
+        F.col(f"{identifier}.tenant").alias("tenant"),
+        F.col(f"{identifier}.publisher").alias("publisher"),
     )
 
 

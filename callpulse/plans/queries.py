@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callpulse.functions.envelope import decode_key, length_delimited, text_field
+from callpulse.functions.envelope import length_delimited, text_field
 from callpulse.operators import filters, kpis, messages, records
 from callpulse.operators.frames import envelope, frames
 from callpulse.operators.once import evaluate_once
@@ -33,6 +33,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 WINDOW = "15 minutes"
 WATERMARK_DELAY = "30 minutes"
 
+# A repeated batch reads at most this much again (1 TiB).
+BATCH_LIMIT = {"maxBytesPerTrigger": str(1 << 40)}
+
 QUERIES: dict[str, Query] = {}
 
 
@@ -59,10 +62,12 @@ def _calls_for_text(spark: SparkSession, folder: str) -> DataFrame:
     return calls_from_events(spread_if_few_splits(events, events))
 
 
-def _streamed_calls(spark: SparkSession, folder: str, as_text: bool = False) -> DataFrame:
+def _streamed_calls(
+    spark: SparkSession, folder: str, as_text: bool = False, **options: str
+) -> DataFrame:
     path = _events_path(folder)
     events = spark.read.parquet(path)
-    stream = stream_files(spark, path, events.schema)
+    stream = stream_files(spark, path, events.schema, **options)
     return calls_from_events(
         spread_if_few_splits(stream, events) if as_text else stream
     )
@@ -114,13 +119,13 @@ def envelope_key_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
         retained=F.col("ind_forward_service_previous") == "1",
         qos=F.when(F.col("area") == "error", "RELIABLE").otherwise("BEST_EFFORT"),
     )
-    return encoded.select("pubTime", decode_key(F.col("key")).alias("k")).select(
+    return records.decode_keys(encoded.select("pubTime", "key")).select(
         "pubTime",
-        F.col("k.key").alias("caseId"),
-        F.col("k.header.identifier.tenant").alias("tenant"),
-        F.col("k.header.identifier.publisher").alias("publisher"),
-        F.col("k.header.retained").alias("retained"),
-        F.col("k.header.qos").alias("qos"),
+        F.col("key.key").alias("caseId"),
+        F.col("key.header.identifier.tenant").alias("tenant"),
+        F.col("key.header.identifier.publisher").alias("publisher"),
+        F.col("key.header.retained").alias("retained"),
+        F.col("key.header.qos").alias("qos"),
     )
 
 
@@ -286,7 +291,7 @@ def message_queuers_per_service(spark: SparkSession, folder: str) -> DataFrame:
 @_named
 def stream_call_observations(spark: SparkSession, folder: str) -> DataFrame:
     out = shared_folder(spark, "call-observations")
-    feed = call_records(_streamed_calls(spark, folder, as_text=True))
+    feed = call_records(_streamed_calls(spark, folder, as_text=True, **BATCH_LIMIT))
     jobs.append_to_files(
         records.call_observations(feed), f"{out}/table", f"{out}/checkpoint", True
     ).awaitTermination()
@@ -297,7 +302,7 @@ def stream_call_observations(spark: SparkSession, folder: str) -> DataFrame:
 def stream_kpi_per_batch(spark: SparkSession, folder: str) -> DataFrame:
     out = shared_folder(spark, "kpi-per-batch")
     jobs.store_measures(
-        _streamed_calls(spark, folder),
+        _streamed_calls(spark, folder, **BATCH_LIMIT),
         parquet_sink(f"{out}/table"),
         f"{out}/checkpoint",
         True,
@@ -307,6 +312,8 @@ def stream_kpi_per_batch(spark: SparkSession, folder: str) -> DataFrame:
 
 @_named
 def stream_kpi_windowed(spark: SparkSession, folder: str) -> DataFrame:
+    """The table's files are in no time order, so all of them are one batch: the
+    watermark rises after it, and no row of a stored table counts as late."""
     out = shared_folder(spark, "kpi-windowed")
     windowed = jobs.windowed_measures(
         _streamed_calls(spark, folder), WINDOW, WATERMARK_DELAY
@@ -327,7 +334,7 @@ def stream_restart(spark: SparkSession, folder: str) -> DataFrame:
     early = F.col("ts") < F.lit(middle).cast("timestamp_ntz")
     for delivery in (early, ~early):
         events.where(delivery).write.mode("append").parquet(f"{out}/feed")
-        feed = stream_files(spark, f"{out}/feed", events.schema)
+        feed = stream_files(spark, f"{out}/feed", events.schema, **BATCH_LIMIT)
         jobs.store_measures(
             calls_from_events(feed),
             parquet_sink(f"{out}/table"),

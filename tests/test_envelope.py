@@ -1,9 +1,12 @@
+import random
+
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from callpulse.functions import envelope as codec
 from callpulse.operators.frames import envelope, frames
-from callpulse.operators.records import decode_records
+from callpulse.operators.records import decode_keys, decode_records
 
 
 def encoded(spark, key="", value="", tenant="", publisher="", **more):
@@ -36,12 +39,19 @@ def test_key_bytes_are_what_protobuf_writes(spark, tenant, retained, qos):
     assert bytes(row.key) == message.SerializeToString(deterministic=True)
 
 
+def decoded_keys(spark, *keys):
+    df = spark.createDataFrame(list(enumerate(keys)), "i int, key binary")
+    return [row.key for row in decode_keys(df).orderBy("i").collect()]
+
+
+def by_protobuf(raw):
+    return codec._key_structs(pa.array([raw], pa.binary())).to_pylist()[0]
+
+
 def test_key_roundtrip_and_damage(spark):
     good = bytes(encoded(spark, key="k", tenant="t", publisher="p").key)
     cases = [good, b"", None, b"\xff\xff", b"\x12\x01\xff", b"\x0a\x00", b"\x0a\x02\x18\x07"]
-    df = spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "i int, key binary")
-    rows = df.select("i", codec.decode_key(F.col("key")).alias("k")).orderBy("i").collect()
-    found = [row.k for row in rows]
+    found = decoded_keys(spark, *cases)
     assert found[0].header.identifier.asDict() == {"tenant": "t", "publisher": "p"}
     assert (found[0].header.retained, found[0].header.qos) == (False, "BEST_EFFORT")
     assert (found[1].header, found[1].key, found[1].envelope_ok) == (None, "", True)
@@ -51,6 +61,51 @@ def test_key_roundtrip_and_damage(spark):
     assert found[6].header.qos == "UNRECOGNIZED_7"
 
 
+def key_variants():
+    """Well-formed keys of many sizes, each also damaged at every byte."""
+    pick = random.Random(5)
+    for size in (1, 2, 5, 60, 119, 120, 123, 124, 127, 128, 200):
+        message = codec._message_classes()["Key"](key="k" * pick.choice([0, 1, size]))
+        message.header.identifier.tenant = "é" * (size // 2) or "t"
+        message.header.identifier.publisher = "p" * pick.choice([0, 1, 3])
+        message.header.retained = pick.random() < 0.5
+        message.header.qos = pick.choice([0, 1, 2])
+        yield message.SerializeToString()
+    short = bytes.fromhex("0A0C0A0A0A0461636D651202703012026B30")
+    flagged = bytes.fromhex("0A100A0A0A0461636D65120270301001180112026B30")
+    for raw in (short, flagged):
+        yield raw
+        for index in range(len(raw)):
+            yield raw[:index]
+            for value in (0, 1, 2, 0x0A, 0x12, 0x7F, 0x80, 0xFF):
+                yield raw[:index] + bytes([value]) + raw[index + 1 :]
+                yield raw[:index] + bytes([value]) + raw[index:]
+
+
+def test_keys_decode_as_protobuf_does(spark):
+    cases = list(key_variants())
+    found = decoded_keys(spark, *cases)
+    assert len(found) > 500
+    for raw, row in zip(cases, found):
+        assert row.asDict(recursive=True) == by_protobuf(raw), raw.hex()
+
+
+def test_plain_keys_do_not_reach_python(spark):
+    keyed = spark.createDataFrame(
+        [(f"k{i}", "", bool(i % 2), "RELIABLE" if i % 3 else "BEST_EFFORT") for i in range(9)],
+        "key string, value string, retained boolean, qos string",
+    )
+    raw = envelope(keyed, F.lit("acme"), F.lit("p"), F.col("retained"), F.col("qos"))
+    sizes = raw.withColumns(
+        {"t": codec.byte_at("key", "6"), "p": codec.byte_at("key", "12")}
+    )
+    assert sizes.where(codec.plain_key("key", "t", "p").isNull()).isEmpty()
+    found = decode_keys(raw).select("key.header.retained", "key.header.qos", "key.key")
+    assert sorted(map(tuple, found.collect())) == sorted(
+        (row.retained, row.qos, row.key) for row in keyed.collect()
+    )
+
+
 @pytest.mark.parametrize(
     "length", [0, 1, 127, 128, 129, 130, 131, 16_383, 16_384, 16_390, 2_097_151, 2_097_152]
 )
