@@ -232,14 +232,15 @@ def byte_at(value: str, position: str) -> Column:
     return F.expr(f"ascii(substring({value}, {position}, 1))")
 
 
-def plain_key(value: str, tenant_size: str, publisher_size: str) -> Column:
+def plain_key(
+    value: str, header_size: str, tenant_size: str, publisher_size: str
+) -> Column:
     """The decoded key envelope if it is in the form ``operators.frames`` writes.
 
     That is: all three texts are there, every length is below 128, and nothing
     is repeated, out of order or unknown. Anything else gives null. The sizes
     are read from the record; each part is then compared with what it must be.
     """
-    header_size = f"ascii(substring({value}, 2, 1))"
     identity_size = f"({tenant_size} + {publisher_size} + 4)"
     key_size = f"(octet_length({value}) - {header_size} - 4)"
     flags_size = f"({header_size} - {identity_size} - 2)"

@@ -39,16 +39,13 @@ def decode_records(records: DataFrame) -> DataFrame:
 
 def decode_keys(records: DataFrame) -> DataFrame:
     """Replace the bytes in ``key`` by a struct ``header, key, envelope_ok``."""
-    tenant = evaluate_once(records, _tenant_size=byte_at("key", "6"))
-    publisher = evaluate_once(
-        tenant, _publisher_size=byte_at("key", "_tenant_size + 8")
-    )
-    plain = evaluate_once(
-        publisher, _plain=plain_key("key", "_tenant_size", "_publisher_size")
-    )
-    return plain.withColumn("key", key_envelope("key", "_plain")).drop(
-        "_tenant_size", "_publisher_size", "_plain"
+    sizes = ["_header_size", "_tenant_size", "_publisher_size"]
+    fixed = evaluate_once(
+        records, _header_size=byte_at("key", "2"), _tenant_size=byte_at("key", "6")
     )
+    sized = evaluate_once(fixed, _publisher_size=byte_at("key", "_tenant_size + 8"))
+    plain = evaluate_once(sized, _plain=plain_key("key", *sizes))
+    return plain.withColumn("key", key_envelope("key", "_plain")).drop(*sizes, "_plain")
 
 
 def decode_record_keys(records: DataFrame) -> DataFrame:

@@ -96,10 +96,9 @@ def test_plain_keys_do_not_reach_python(spark):
         "key string, value string, retained boolean, qos string",
     )
     raw = envelope(keyed, F.lit("acme"), F.lit("p"), F.col("retained"), F.col("qos"))
-    sizes = raw.withColumns(
-        {"t": codec.byte_at("key", "6"), "p": codec.byte_at("key", "12")}
-    )
-    assert sizes.where(codec.plain_key("key", "t", "p").isNull()).isEmpty()
+    positions = {"h": "2", "t": "6", "p": "12"}
+    sizes = raw.withColumns({n: codec.byte_at("key", at) for n, at in positions.items()})
+    assert sizes.where(codec.plain_key("key", *positions).isNull()).isEmpty()
     found = decode_keys(raw).select("key.header.retained", "key.header.qos", "key.key")
     assert sorted(map(tuple, found.collect())) == sorted(
         (row.retained, row.qos, row.key) for row in keyed.collect()
