@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callpulse.llm import neardup, toxicity
+from callpulse.llm import decontam, neardup, packing, secrets, toxicity
 from callpulse.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,11 +46,62 @@ def _scored(scores: DataFrame, threshold: float) -> DataFrame:
     )
 
 
+def packed_pieces(documents: DataFrame) -> DataFrame:
+    """Pieces and their places, with the checksum of their ids in the ids' stead."""
+    pieces = packing.tokenized(documents)
+    return packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+
+
+@_named
+def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packed_pieces(_documents(spark, folder))
+
+
 @_named
 def op3_minhash_neardup(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.linked_documents(_documents(spark, folder))
 
 
+@_named
+def op4_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _documents(spark, folder)
+    found = secrets.find(documents, secrets.fit(documents))
+
+    def counted(kind: str):
+        ours = F.filter("findings", lambda f: f["kind"] == kind)
+        return F.size(ours).cast("long").alias(f"n_{kind}")
+
+    def joined(findings):
+        return F.concat_ws(
+            ",", F.transform(findings, lambda f: F.concat_ws(":", f["kind"], f["start"], f["end"]))
+        )
+
+    base = F.filter("findings", lambda f: f["kind"] != "model")
+    return found.select(
+        "doc_id",
+        *(counted(kind) for kind in ("assign", "access", "hex")),
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(F.col("findings")).alias("spans"),
+    )
+
+
+@_named
+def op5_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    marked = decontam.contamination(_documents(spark, folder), table(spark, folder, "benchmark"))
+    n_hit = F.aggregate(
+        "hits", F.lit(0).cast("long"), lambda all, run: all + run["end"] - run["start"]
+    )
+    items = F.array_sort(F.transform("items", lambda i: i.cast("string")))
+    return marked.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", items), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
 @_named
 def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     documents = _documents(spark, folder)

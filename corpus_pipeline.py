@@ -11,9 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callpulse.llm import neardup, toxicity
+from callpulse.llm import decontam, neardup, secrets, toxicity
 from callpulse.llm.common import stored, table
-from callpulse.llm.queries import toxicity_model
+from callpulse.llm.queries import packed_pieces, toxicity_model
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -36,9 +36,38 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that share no window of words with a benchmark item."""
+    marked = decontam.contamination(docs, table(spark, sf_dir, "benchmark"))
+    return marked.where(F.size("hits") == 0).select(*docs.columns)
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with secrets replaced by their kind and n_chars counted anew
+    where that changed the text."""
+    found = secrets.find(docs, secrets.fit(docs))
+    redacted = secrets.redact(found)
+    changed = F.size("findings") > 0
+    columns = [
+        F.when(changed, F.char_length("text")).otherwise(F.col(c)).cast(kind).alias(c)
+        if c == "n_chars"
+        else F.col(f"`{c}`")
+        for c, kind in docs.dtypes
+    ]
+    return redacted.select(*columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents, each with its place in a sequence."""
+    return packed_pieces(docs)
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("toxicity", drop_toxic),
     ("near_duplicates", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("secrets", redact_secrets),
+    ("packing", pack_sequences),
 ]
 
 # The trained and hashed stages have no SQL; the tests hold run() against plain Python.
