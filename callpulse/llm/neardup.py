@@ -291,7 +291,7 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: list[tuple] = []
     found: set[tuple[int, int]] = set()
 
-    def compare(left, right):
+    def compare(band, left, right):
         for lo in range(0, len(right["id"]), 256):
             part = {k: v[lo : lo + 256] for k, v in right.items()}
             other = left["component"][:, None] != part["component"][None, :]
@@ -307,6 +307,11 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not len(i):
                 continue
             ra, rb = left["regs"][i], part["regs"][j]
+            # Of the bands a pair shares, the first one answers for it.
+            first = (ra.view(np.int64) == rb.view(np.int64)).argmax(1) == band
+            i, j, ra, rb = i[first], j[first], ra[first], rb[first]
+            if not len(i):
+                continue
             good = credible((ra < rb).sum(1), (ra == rb).sum(1), (ra > rb).sum(1), left["n"][i], part["n"][j])
             for p, q in zip(i[good], j[good], strict=True):
                 mine = (left["size"][p], -left["component"][p])
@@ -318,6 +323,7 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def finish():
         if held:
+
             def side(flag):
                 rows = [h for h in held if h[0] == flag]
                 return {
@@ -329,7 +335,7 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 }
             fixed, moving = side(0), side(1)
             if len(fixed["id"]) and len(moving["id"]):
-                compare(fixed, moving)
+                compare(last[1], fixed, moving)
         held.clear()
 
     def flush():
@@ -342,13 +348,13 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     last = None
     for rows in batches:
         regs = _as_registers(rows.column("bands"))
-        names = ("bucket", "row", "col", "side", "id", "component", "size", "n_shingles")
+        names = ("bucket", "band", "row", "col", "side", "id", "component", "size", "n_shingles")
         columns = [rows.column(c).to_pylist() for c in names]
-        for k, (bucket, row, col, side, *rest) in enumerate(zip(*columns, strict=True)):
-            if (bucket, row, col) != last:
+        for k, (bucket, band, row, col, side, *rest) in enumerate(zip(*columns, strict=True)):
+            if (bucket, band, row, col) != last:
                 finish()
-                last = (bucket, row, col)
-                if len(found) > 20_000:
+                last = (bucket, band, row, col)
+                if len(found) > 100_000:
                     yield flush()
             held.append((side, *rest, regs[k]))
     finish()
@@ -356,9 +362,9 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _buckets(classes: DataFrame) -> DataFrame:
-    """(bucket, id): every class in the buckets of its bands."""
+    """(bucket, band, id): every class in the buckets of its bands."""
     return classes.select(F.col("id"), F.posexplode("bands").alias("band", "key")).select(
-        F.xxhash64("band", "key").alias("bucket"), "id"
+        F.xxhash64("band", "key").alias("bucket"), "band", "id"
     )
 
 
@@ -388,7 +394,7 @@ def _rest(shared: DataFrame, membership: DataFrame, classes: DataFrame) -> DataF
     )
     members = placed.join(mixed, "bucket")
     block = F.xxhash64("id", F.lit(9))
-    names = ["bucket", "row", "col", "side", "id", "component", "size"]
+    names = ["bucket", "band", "row", "col", "side", "id", "component", "size"]
     fixed = (
         members.where("component <> leader")
         .withColumn("row", F.pmod(block, F.col("rows")).cast("int"))
@@ -403,7 +409,7 @@ def _rest(shared: DataFrame, membership: DataFrame, classes: DataFrame) -> DataF
         .select(names)
     )
     rows = fixed.union(moving).join(classes.select("id", "n_shingles", "bands"), "id")
-    keys = ["bucket", "row", "col"]
+    keys = ["bucket", "band", "row", "col"]
     dealt = rows.repartition(*keys).sortWithinPartitions(*keys)
     return map_arrow(dealt, _across, "x long, target long").distinct()
 
@@ -451,7 +457,7 @@ def linked_documents(documents: DataFrame) -> DataFrame:
     membership = ids.join(joined, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
     sizes = membership.groupBy("component").agg(F.count("*").alias("size"))
     membership = stored(membership.join(sizes, "component"), "membership")
-    rest = stored(_rest(shared.select("bucket", "id"), membership, classes), "rest")
+    rest = stored(_rest(shared.select("bucket", "band", "id"), membership, classes), "rest")
     targets = rest.select(F.col("target").alias("component")).distinct()
     members = stored(membership.select("id", "component").join(targets, "component"), "members")
     wanted = rest.select(F.col("x").alias("id")).union(members.select("id")).distinct()
