@@ -14,6 +14,7 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -72,11 +73,6 @@ def fold(key: str, parts: int) -> Column:
     return F.crc32(text) % parts
 
 
-def with_defaults(df: DataFrame, **kinds: str) -> DataFrame:
-    """Only the named columns, cast to their types."""
-    return df.select(*(F.col(f"`{name}`").cast(kind).alias(name) for name, kind in kinds.items()))
-
-
 def text_blocks(
     batches: Iterator[pa.RecordBatch], column: str, limit: int = BLOCK_BYTES
 ) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
@@ -160,13 +156,14 @@ class Words:
         #: index of the first word of each text, and the number of words at last
         self.first = np.searchsorted(self.start, offsets)
         self.text = np.repeat(np.arange(len(offsets) - 1), np.diff(self.first))
-        self.hash = self._hashes()
+        up, self._down = Powers.get(len(self.data) + 1)
+        self._sums = np.zeros(len(self.data) + 1, np.uint64)
+        np.cumsum(_BYTE_VALUES[self.data] * up[:-1], out=self._sums[1:])
+        self.hash = self.hash_of(self.start, self.end)
 
-    def _hashes(self) -> np.ndarray:
-        up, down = Powers.get(len(self.data) + 1)
-        sums = np.zeros(len(self.data) + 1, np.uint64)
-        np.cumsum(_BYTE_VALUES[self.data] * up[:-1], out=sums[1:])
-        return mix((sums[self.end] - sums[self.start]) * down[self.start])
+    def hash_of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """A hash of the bytes from each start to before its end."""
+        return mix((self._sums[end] - self._sums[start]) * self._down[start])
 
     def grams(self, size: int) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of ``size`` words in a row, and whether one text holds them all."""
@@ -226,8 +223,6 @@ def may_contain(words, column: str) -> Column:
         seen = True
         for place in (one.to_numpy(np.int64), two.to_numpy(np.int64)):
             seen &= (words.value[place >> 6] >> (place & 63)) & 1 == 1
-        import pandas as pd
-
         return pd.Series(seen)
 
     return hit(*(F.pmod(F.xxhash64(column, F.lit(seed)), F.lit(bits)) for seed in (1, 2)))

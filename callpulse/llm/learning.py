@@ -119,17 +119,24 @@ class Isotonic:
 
 
 class Platt:
-    """Logistic calibration of a score, by Newton steps on two numbers."""
+    """Logistic calibration of a score: two numbers, by damped Newton steps.
+
+    A small penalty on the slope keeps it finite where the labels are separable.
+    """
 
     def fit(self, x: np.ndarray, y: np.ndarray) -> Platt:
         ones, zeros = y.sum(), len(y) - y.sum()
         target = np.where(y == 1, (ones + 1) / (ones + 2), 1 / (zeros + 2))
+        self.centre, self.scale = float(x.mean()), float(x.std() + 1e-9)
+        x = (x - self.centre) / self.scale
         a, b = 1.0, 0.0
-        for _ in range(40):
+        for _ in range(100):
             p = sigmoid(a * x + b)
             g, w = p - target, np.maximum(p * (1 - p), 1e-9)
-            hessian = np.array([[(w * x * x).sum() + 1e-3, (w * x).sum()], [(w * x).sum(), w.sum() + 1e-3]])
-            step = np.linalg.solve(hessian, [(g * x).sum(), g.sum()])
+            cross = (w * x).mean()
+            hessian = np.array([[(w * x * x).mean() + 1e-3, cross], [cross, w.mean() + 1e-6]])
+            step = np.linalg.solve(hessian, [(g * x).mean() + 1e-3 * a, g.mean() + 1e-6 * b])
+            step = np.clip(step, -1, 1)
             a, b = a - step[0], b - step[1]
             if abs(step).max() < 1e-6:
                 break
@@ -137,4 +144,4 @@ class Platt:
         return self
 
     def __call__(self, x: np.ndarray) -> np.ndarray:
-        return sigmoid(self.a * x + self.b)
+        return sigmoid(self.a * (x - self.centre) / self.scale + self.b)

@@ -2,4 +2,114 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def _words(column: str, pattern: str) -> str:
+    lower = f"translate(coalesce({column}, ''), '{_UPPER}', '{_UPPER.lower()}')"
+    return f"regexp_extract_all({lower}, '{pattern}')"
+
+
+_BENCHMARK_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_SHINGLE_WORD = r"[^\x20\x09-\x0D]+"
+
+ORACLES: dict[str, str] = {
+    "op3_minhash_neardup": f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, {_words("text", _SHINGLE_WORD)} AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, list_aggregate(w[i : i + 4], 'string_agg', ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i
+        FROM words WHERE len(w) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+  GROUP BY ALL
+), links AS (
+  SELECT x, y FROM pairs JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE 100 * common >= 75 * (p.n + q.n - common)
+), reach AS (
+  SELECT doc_id AS x, doc_id AS y FROM documents
+  UNION
+  SELECT reach.x, links.y FROM reach JOIN links ON links.x = reach.y
+), least AS (
+  SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM documents JOIN least USING (doc_id) LEFT JOIN sizes USING (doc_id)
+""",
+    "op5_benchmark_decontamination": f"""
+WITH d AS (
+  SELECT doc_id, {_words("text", _BENCHMARK_WORD)} AS w FROM documents
+), b AS (
+  SELECT item_id, {_words("text", _BENCHMARK_WORD)} AS w FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, w[i : i + 9] AS s
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i
+        FROM b WHERE len(w) > 0)
+), runs AS (
+  SELECT doc_id, n, i, w[i : i + n - 1] AS s
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+        FROM d, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n)
+), hits AS (
+  SELECT doc_id, i, runs.n AS n, item_id FROM runs JOIN windows ON runs.s = windows.s
+), covered AS (
+  SELECT doc_id, count(DISTINCT place) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + n)) AS place FROM hits) GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
+""",
+    "op7_chat_formatting": """
+WITH c AS (
+  SELECT conv_id,
+         list(struct_pack(role := coalesce(role, 'user'), "text" := coalesce("text", ''))
+              ORDER BY turn, role, "text") AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), r AS (
+  SELECT conv_id, turns,
+         list_filter(range(1, len(turns) + 1), lambda i: turns[i].role = 'assistant') AS replies
+  FROM c
+), p AS (
+  SELECT conv_id, turns, replies[-1] AS last, turns[replies[-1]]."text" AS good,
+         CASE WHEN len(replies) > 1 THEN turns[replies[-2]]."text" ELSE '' END AS bad
+  FROM r WHERE len(replies) > 0
+), q AS (
+  SELECT *, CASE WHEN good = bad THEN last ELSE last - 1 END AS prefix FROM p
+)
+SELECT conv_id, CAST(prefix AS INTEGER) AS prefix_turns,
+       sha256(coalesce(list_aggregate(list_transform(turns[1 : prefix],
+              lambda t: '<|' || t.role || '|>' || chr(10) || t."text" || '<|end|>' || chr(10)),
+              'string_agg', ''), '')) AS prompt_sha256,
+       sha256(CASE WHEN good = bad THEN '' ELSE
+              '<|assistant|>' || chr(10) || good || '<|end|>' || chr(10) END) AS chosen_sha256,
+       CASE WHEN good = bad THEN '' ELSE '14-' || (21 + length(good)) END AS chosen_spans,
+       sha256(CASE WHEN good = bad THEN '' ELSE
+              '<|assistant|>' || chr(10) || bad || '<|end|>' || chr(10) END) AS rejected_sha256,
+       CASE WHEN good = bad THEN '' ELSE '14-' || (21 + length(bad)) END AS rejected_spans
+FROM q
+""",
+    "op10_exact_topk": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+         CAST(coalesce(list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i])), 0) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS "rank"
+  FROM scores
+)
+SELECT query_id, "rank", vec_id, score FROM ranked WHERE "rank" <= 10
+""",
+}

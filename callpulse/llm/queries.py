@@ -11,7 +11,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callpulse.llm import decontam, neardup, packing, secrets, toxicity
+from callpulse.llm import (
+    decontam,
+    langid,
+    license_scan,
+    neardup,
+    packing,
+    preference,
+    quality,
+    secret_scan,
+    topk,
+    toxicity,
+)
 from callpulse.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +63,15 @@ def packed_pieces(documents: DataFrame) -> DataFrame:
     return packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
 
 
+@_named
+def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """The unlabelled texts learned from are those of the learning folds as well."""
+    documents = _documents(spark, folder)
+    taught = documents.where(fold("doc_id", 3) != 1)
+    model = quality.fit(taught, _labels(spark, folder, "quality"))
+    return _scored(quality.score(documents, model, "score"), threshold=0.5)
+
+
 @_named
 def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed_pieces(_documents(spark, folder))
@@ -65,7 +85,7 @@ def op3_minhash_neardup(spark: SparkSession, folder: str) -> DataFrame:
 @_named
 def op4_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     documents = _documents(spark, folder)
-    found = secrets.find(documents, secrets.fit(documents))
+    found = secret_scan.find(documents, secret_scan.fit(documents))
 
     def counted(kind: str):
         ours = F.filter("findings", lambda f: f["kind"] == kind)
@@ -107,3 +127,57 @@ def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     documents = _documents(spark, folder)
     scores = toxicity.score(documents, toxicity_model(spark, folder), "score")
     return _scored(scores, threshold=0.7)
+
+
+@_named
+def op7_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = preference.conversations_of(table(spark, folder, "conversations"))
+    pairs = preference.formatted(preference.against_repetition(conversations))
+
+    def spelled(spans: str):
+        ends = F.transform(spans, lambda s: F.concat_ws("-", s["start"], s["end"]))
+        return F.concat_ws(",", ends).alias(spans)
+
+    return pairs.select(
+        "conv_id",
+        "prefix_turns",
+        F.sha2("prompt", 256).alias("prompt_sha256"),
+        F.sha2("chosen", 256).alias("chosen_sha256"),
+        spelled("chosen_spans"),
+        F.sha2("rejected", 256).alias("rejected_sha256"),
+        spelled("rejected_spans"),
+    )
+
+
+@_named
+def op8_license_scans(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _documents(spark, folder)
+    found = license_scan.scan(documents, license_scan.fit(documents))
+    families = F.array_sort(F.array_distinct(F.col("licenses.family")))
+    spans = F.transform(
+        "licenses", lambda f: F.concat_ws(":", f["family"], f["start"], f["end"])
+    )
+    return found.select(
+        "doc_id",
+        F.col("paragraphs").alias("n_paragraphs"),
+        F.size("licenses").cast("long").alias("n_licensed"),
+        F.concat_ws(",", families).alias("families"),
+        F.concat_ws(",", spans).alias("spans"),
+    )
+
+
+@_named
+def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _documents(spark, folder, "doc_id", "text", "lang")
+    model = langid.fit(documents.where(fold("doc_id", 4) != 2))
+    return langid.identify(documents.select("doc_id", "text"), model).select(
+        "doc_id",
+        (fold("doc_id", 4) == 2).alias("held_out"),
+        "lang_pred",
+        F.col("lang_score").alias("score"),
+    )
+
+
+@_named
+def op10_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_k(table(spark, folder, "embeddings"), F.col("id") % 100 == 0, k=10)

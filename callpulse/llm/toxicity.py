@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callpulse.llm.common import Words, bytes_where, map_arrow, stored, text_blocks
+from callpulse.llm.common import Words, bytes_where, map_arrow, mix, stored, text_blocks
 from callpulse.llm.learning import BoostedTrees, Isotonic, sample_of
 
 #: Labelled rows that are learned from, at most (about).
@@ -60,16 +60,10 @@ def _person_hashes() -> np.ndarray:
 
 def _prefix_hashes(words: Words, size: int) -> np.ndarray:
     """The hash of each word's first bytes, 0 for shorter words."""
-    from callpulse.llm.common import _BYTE_VALUES, Powers, mix
-
-    up, down = Powers.get(len(words.data) + 1)
-    sums = np.zeros(len(words.data) + 1, np.uint64)
-    np.cumsum(_BYTE_VALUES[words.data] * up[:-1], out=sums[1:])
     end = words.start + size
     long = end < words.end
-    end = np.where(long, end, words.start)
-    found = mix((sums[end] - sums[words.start]) * down[words.start] + np.uint64(size))
-    return np.where(long, found, np.uint64(0))
+    found = words.hash_of(words.start, np.where(long, end, words.start))
+    return np.where(long, mix(found + np.uint64(size)), np.uint64(0))
 
 
 def _present(sorted_values: np.ndarray, wanted: np.ndarray) -> np.ndarray:

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callpulse.llm import decontam, neardup, secrets, toxicity
+from callpulse.llm import decontam, neardup, secret_scan, toxicity
 from callpulse.llm.common import stored, table
 from callpulse.llm.queries import packed_pieces, toxicity_model
 
@@ -45,8 +45,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets replaced by their kind and n_chars counted anew
     where that changed the text."""
-    found = secrets.find(docs, secrets.fit(docs))
-    redacted = secrets.redact(found)
+    found = secret_scan.find(docs, secret_scan.fit(docs))
+    redacted = secret_scan.redact(found)
     changed = F.size("findings") > 0
     columns = [
         F.when(changed, F.char_length("text")).otherwise(F.col(c)).cast(kind).alias(c)
