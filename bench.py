@@ -9,6 +9,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 from callpulse.plans.queries import QUERIES
@@ -32,6 +33,8 @@ HEADLINE = [
     "stream_kpi_per_batch",
     "stream_kpi_windowed",
     "stream_restart",
+    "stream_publish_figures",
+    "stream_quarantine",
 ]
 
 
@@ -40,11 +43,14 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     names = sys.argv[1:] or HEADLINE
+    shared = os.environ.get("BENCH_SHARED") or tempfile.mkdtemp(prefix="callpulse-bench-")
     spark = build_session(
         "callpulse-bench",
+        spark__checkpoint__dir=f"file://{shared}",
         spark__master=f"local[{cpus}]",
         spark__driver__memory=os.environ.get("BENCH_MEMORY", "8g"),
         spark__sql__shuffle__partitions=cpus,
+        spark__sql__session__timeZone="UTC",
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
     )

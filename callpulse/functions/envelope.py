@@ -34,9 +34,6 @@ QOS_LEVELS = {"BEST_EFFORT": 0, "RELIABLE": 1}
 # A length takes at most this many varint bytes (binary columns end at 2 GiB).
 _MAX_LENGTH_BYTES = 5
 
-# Payloads below 2 MiB, twice Kafka's default record limit, decode by expression.
-_EXPRESSION_LENGTH_BYTES = 3
-
 
 def _binary(*values: int) -> str:
     return f"X'{bytes(values).hex().upper()}'"
@@ -97,6 +94,7 @@ def _message_classes() -> dict:
         ) from missing
 
     field_type = descriptor_pb2.FieldDescriptorProto
+    # Names, numbers and types of the envelopes' fields.
     file = descriptor_pb2.FileDescriptorProto(
         name="callpulse_envelope.proto", package="callpulse", syntax="proto3"
     )
@@ -296,7 +294,7 @@ def sole_payload(value: str) -> Column:
     take, so the record is compared with the one prefix it can start with.
     """
     cases = []
-    for count in range(1, _EXPRESSION_LENGTH_BYTES + 1):
+    for count in range(1, _MAX_LENGTH_BYTES + 1):
         length = f"(octet_length({value}) - {1 + count})"
         shortest = 0 if count == 1 else 1 << 7 * (count - 1)
         longest = (1 << 7 * count) - 1

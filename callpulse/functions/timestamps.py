@@ -1,10 +1,12 @@
-"""Timestamp text of the call feed: ``yyyy-MM-dd HH:mm:ss.SSS``, strict, UTC."""
+"""Timestamp text of the call feed: ``yyyy-MM-dd HH:mm:ss.SSS``, strict, UTC.
+
+Neither direction depends on the session's time zone.
+"""
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The feed's timestamp pattern, and the same shape as a regex.
-TIMESTAMP_PATTERN = "yyyy-MM-dd HH:mm:ss.SSS"
+# Fixed value: the shape of the feed's timestamps.
 TIMESTAMP_SHAPE = r"\A[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}[.][0-9]{3}\z"
 
 
@@ -15,8 +17,22 @@ def parse_timestamp(text: Column) -> Column:
     pattern parser; it rejects impossible dates, and the shape test rejects
     the other forms it would take (short fractions, zones, bare dates).
     """
-    return F.when(text.rlike(TIMESTAMP_SHAPE), text.try_cast("timestamp"))
+    in_utc = F.concat(text, F.lit("Z")).try_cast("timestamp")
+    return F.when(text.rlike(TIMESTAMP_SHAPE), in_utc)
+
 
+def format_timestamp(name: str) -> Column:
+    """The instant in the named column as text.
 
-def format_timestamp(instant: Column) -> Column:
-    return F.date_format(instant, TIMESTAMP_PATTERN)
+    The wall clock of UTC is a timestamp without zone, counted from 1970; as text
+    it has no fixed number of fraction digits, so these are written on their own.
+    """
+    millis = f"unix_millis({name})"
+    clock = (
+        f"TIMESTAMP_NTZ'1970-01-01 00:00:00' + make_dt_interval("
+        f"CAST({millis} div 86400000 AS INT), 0, 0, CAST(floor({millis} / 1000D) - 86400 * ({millis} div 86400000) AS INT))"
+    )
+    return F.expr(
+        f"concat(substring(CAST({clock} AS STRING), 1, 19), '.', "
+        f"lpad(pmod({millis}, 1000), 3, '0'))"
+    )

@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from callpulse.functions import stages
 
 
+_LARGEST_INT = (1 << 31) - 1
+
+
 def average_handling_time(calls: DataFrame, unit: str = "minutes") -> DataFrame:
     """``pubTime, avgCallDuration`` over handled calls."""
     return (
@@ -53,13 +56,18 @@ def wait_time(calls: DataFrame, unit: str = "minutes") -> DataFrame:
 def queuers_per_service(calls: DataFrame, count_type: str = "int") -> DataFrame:
     """``pubTime, serviceName, amtOfQueuersInService`` for services with a queue.
 
-    The count is published as an int; Spark raises on overflow rather than
-    wrapping. Ask for ``bigint`` where one queue can pass two thousand million.
+    The count is published as an int, and one that is no int raises, whether or
+    not the session is in ANSI mode. Ask for ``bigint`` where one queue can pass
+    two thousand million.
     """
+    queued = F.count("*")
+    if count_type == "int":
+        too_many = F.raise_error(F.lit("a queue is longer than an int can say"))
+        queued = F.when(queued > _LARGEST_INT, too_many.cast("bigint")).otherwise(queued)
     return (
         calls.where(stages.in_service_queue())
         .groupBy("pubTime", F.col("services_name").alias("serviceName"))
-        .agg(F.count("*").cast(count_type).alias("amtOfQueuersInService"))
+        .agg(queued.cast(count_type).alias("amtOfQueuersInService"))
     )
 
 

@@ -12,7 +12,7 @@ from callpulse.schema import (
     WAIT_TIME,
 )
 
-# Published fields of the one-object messages, after pubTime.
+# Published fields of the one-object messages, after pubTime.
 _FIELDS = {
     AVERAGE_HANDLING_TIME: ["avgCallDuration"],
     QUEUERS_AND_CALLERS: ["queueSize", "callsAmt", "ratioServed"],

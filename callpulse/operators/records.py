@@ -68,7 +68,8 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     """Split ``line`` at commas and bind it, by position, to the call fields.
 
     Adds the twelve fields and ``reason``, which is null for a good line.
-    Commas are never quoted in this feed, so a quoted comma still separates.
+    Commas are never quoted in this feed, so a quoted comma still separates. A
+    null line has no fields and is set aside like any other.
     """
     parts = evaluate_once(lines, _parts=F.split("line", ",", -1))
 
@@ -83,12 +84,13 @@ def parse_lines(lines: DataFrame) -> DataFrame:
         (text(CALL_FIELDS.index(name)) != "") & F.col(name).isNull()
         for name in TIMESTAMP_FIELDS
     ]
-    complete = F.size("_parts") == len(CALL_FIELDS)
+    complete = F.coalesce(F.size("_parts"), F.lit(0)) == len(CALL_FIELDS)
     if "envelope_ok" in lines.columns:
-        reason = F.when(~F.col("envelope_ok"), BAD_ENVELOPE).when(~complete, FIELD_COUNT)
+        opened = F.coalesce("envelope_ok", F.lit(False))
+        reason = F.when(~opened, BAD_ENVELOPE).when(~complete, FIELD_COUNT)
     else:
         reason = F.when(~complete, FIELD_COUNT)
-    reason = reason.when(text(0) == "", MISSING_PUB_TIME).when(
+    reason = reason.when(F.coalesce(text(0), F.lit("")) == "", MISSING_PUB_TIME).when(
         reduce(or_, unreadable), BAD_TIMESTAMP
     )
     return (
@@ -102,8 +104,14 @@ def observations(parsed: DataFrame, *keep: str) -> DataFrame:
 
 
 def quarantined(parsed: DataFrame) -> DataFrame:
-    """The lines set aside, each with its reason and without parsed fields."""
-    return parsed.where(F.col("reason").isNotNull()).drop(*CALL_FIELDS)
+    """The lines set aside, each with its reason and without parsed fields.
+
+    Every other column stays: of records that is the undecoded key and value and
+    where they were read from, so that they can be inspected and sent again.
+    """
+    return parsed.where(F.col("reason").isNotNull()).drop(
+        *CALL_FIELDS, "tracing", "envelope_ok"
+    )
 
 
 def call_observations(records: DataFrame) -> DataFrame:

@@ -16,6 +16,10 @@ SNAPSHOT_MILLIS = 300_000
 AFTERCARE_MILLIS = 600_000
 TENANT = "demo"
 
+# The events' ts has no zone; it is the wall clock of UTC.
+_MILLIS = """CAST(floor(CAST(CAST(ts - TIMESTAMP_NTZ'1970-01-01 00:00:00' AS INTERVAL SECOND)
+  AS DECIMAL(18, 6)) * 1000) AS BIGINT)"""
+
 # Room for case numbers below 10^12 between the offsets of two snapshots.
 _OFFSET_STRIDE = 1_000_000_000_000
 
@@ -31,7 +35,7 @@ def calls_from_events(events: DataFrame) -> DataFrame:
             "event_id",
             "user_id",
             "event_type",
-            "unix_millis(CAST(ts AS TIMESTAMP)) AS offered",
+            f"{_MILLIS} AS offered",
             "CAST(round(value * 100) AS BIGINT) * 100 AS wait",
             "CAST(get_json_object(props, '$.k') AS BIGINT) * 5000 + 60000 AS talk",
         )
@@ -69,7 +73,7 @@ def call_lines(calls: DataFrame, *keep: str) -> DataFrame:
     """Each call observation as the text line a publisher would send."""
     fields = [
         F.coalesce(
-            format_timestamp(F.col(name)) if name in TIMESTAMP_FIELDS else F.col(name),
+            format_timestamp(name) if name in TIMESTAMP_FIELDS else F.col(name),
             F.lit(""),
         )
         for name in CALL_FIELDS
@@ -96,9 +100,13 @@ def call_records(calls: DataFrame, topic: str = "calls") -> DataFrame:
     Offsets rise with the snapshot and have gaps, as a compacted topic's do;
     dense ones would need a sort of each whole partition.
     """
+    return _records(call_lines(calls, "caseId", "pubTime", "services_name"), topic)
+
+
+def _records(lines: DataFrame, topic: str) -> DataFrame:
     number = F.col("caseId").cast("bigint")
     snapshot = F.floor(F.unix_millis("pubTime") / SNAPSHOT_MILLIS)
-    keyed = call_lines(calls, "caseId", "pubTime", "services_name").select(
+    keyed = lines.select(
         F.col("caseId").alias("key"),
         F.col("line").alias("value"),
         number.alias("number"),
@@ -113,3 +121,20 @@ def call_records(calls: DataFrame, topic: str = "calls") -> DataFrame:
         (snapshot * F.lit(_OFFSET_STRIDE) + F.col("number")).alias("offset"),
         F.col("pubTime").alias("timestamp"),
     )
+
+
+def damaged_records(calls: DataFrame) -> DataFrame:
+    """Records of which known parts are broken in each way a record can be: too many
+    fields, a bad timestamp, no pubTime, and a value that is no envelope."""
+    number = F.col("caseId").cast("bigint")
+    line = F.col("line")
+    lines = call_lines(calls, "caseId", "pubTime", "services_name").withColumn(
+        "line",
+        F.when(number % 97 == 0, F.concat(F.lit("x,"), line))
+        .when(number % 101 == 0, F.replace(line, F.lit("."), F.lit(".9")))
+        .when(number % 103 == 0, F.substring(line, len("2024-01-01 00:00:00.000") + 1, 1 << 20))
+        .otherwise(line),
+    )
+    number = (F.col("offset") % F.lit(_OFFSET_STRIDE)).alias("number")
+    broken = F.when(number % 107 == 0, F.concat(F.expr("X'FF'"), F.col("value")))
+    return _records(lines, "calls").withColumn("value", F.coalesce(broken, F.col("value")))

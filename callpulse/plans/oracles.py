@@ -5,7 +5,7 @@ from hour bounds and filtered, envelopes are spelt as hexadecimal text, and
 averages are taken directly.
 """
 
-from callpulse.sources.fixtures import TENANT
+from callpulse.plans.fixtures import TENANT
 
 _CALLS = """
 e AS (
@@ -58,6 +58,22 @@ lines AS (
   FROM calls
 )"""
 
+_DAMAGED = f"""
+damaged AS (
+  SELECT *, CASE WHEN number % 97 = 0 THEN 'x,' || line
+                 WHEN number % 101 = 0 THEN replace(line, '.', '.9')
+                 WHEN number % 103 = 0 THEN substr(line, 24) ELSE line END AS sent,
+    CASE WHEN number % 107 = 0 THEN 'bad_envelope' WHEN number % 97 = 0 THEN 'field_count'
+         WHEN number % 101 = 0 THEN 'bad_timestamp'
+         WHEN number % 103 = 0 THEN 'missing_pub_time' END AS reason
+  FROM lines
+), framed AS (
+  SELECT *, strlen(sent) AS n,
+    '0A' || printf('%02X', {len(TENANT)}) || hex('{TENANT}')
+      || '12' || printf('%02X', strlen(services_name)) || hex(services_name) AS identity
+  FROM damaged
+)"""
+
 _HANDLED = "dt_handled <= pubTime"
 _SERVED = "dt_start <= pubTime"
 _WAITING = "(dt_start IS NULL OR dt_start > pubTime)"
@@ -231,10 +247,44 @@ WHERE dt_end < dt_offered HAVING count(*) > 0"""
     "stream_kpi_per_batch": _with(select=_PER_PUB_TIME),
     "stream_kpi_windowed": _with(
         "w AS (SELECT *, time_bucket(INTERVAL 15 MINUTE, pubTime) AS windowStart FROM calls)",
-        select=f"""SELECT windowStart, windowStart + INTERVAL 15 MINUTE AS windowEnd,
-  {_ALL_FIGURES} FROM w GROUP BY windowStart
-HAVING windowStart + INTERVAL 15 MINUTE
-  <= (SELECT max(pubTime) FROM calls) - INTERVAL 30 MINUTE""",
+        """l AS (SELECT *, max(pubTime) OVER (PARTITION BY windowStart) AS last FROM w)""",
+        select=f"""SELECT windowStart, windowStart + INTERVAL 15 MINUTE AS windowEnd, pubTime,
+  {_ALL_FIGURES} FROM l WHERE pubTime = last GROUP BY windowStart, pubTime""",
+    ),
+    "stream_publish_figures": _with(
+        _SERVICE_MESSAGES,
+        f"f AS ({_PER_PUB_TIME})",
+        select="""SELECT 'average-handling-time' AS key, epoch_ms(pubTime) AS pubTime,
+  avgCallDuration, CAST(NULL AS BIGINT) AS queueSize, CAST(NULL AS BIGINT) AS callsAmt,
+  CAST(NULL AS DOUBLE) AS ratioServed, CAST(NULL AS DOUBLE) AS queueDuration,
+  CAST(NULL AS VARCHAR) AS services FROM f WHERE avgCallDuration IS NOT NULL
+UNION ALL SELECT 'queuers-and-callers', epoch_ms(pubTime), NULL, queueSize, callsAmt,
+  ratioServed, NULL, NULL FROM f
+UNION ALL SELECT 'wait-time', epoch_ms(pubTime), NULL, NULL, NULL, NULL, queueDuration, NULL
+FROM f WHERE queueDuration IS NOT NULL
+UNION ALL SELECT key, epoch_ms(pubTime), NULL, NULL, NULL, NULL, NULL, value
+FROM service_messages WHERE value <> '[]'""",
+    ),
+    "stream_quarantine": _with(
+        _LINES,
+        _DAMAGED,
+        select=f"""SELECT 'calls' AS topic, CAST(number % 4 AS INTEGER) AS partition,
+  epoch_ms(pubTime) // 300000 * 1000000000000 + number AS "offset",
+  pubTime AS timestamp,
+  '0A' || printf('%02X', length(identity) // 2 + 2) || '0A'
+    || printf('%02X', length(identity) // 2) || identity
+    || '12' || printf('%02X', strlen(caseId)) || hex(caseId) AS key_hex,
+  CASE WHEN reason = 'bad_envelope' THEN 'FF' ELSE '' END || '0A'
+    || CASE WHEN n < 128 THEN printf('%02X', n)
+       ELSE printf('%02X%02X', n % 128 + 128, n // 128) END || hex(sent) AS value_hex,
+  reason FROM framed WHERE reason IS NOT NULL""",
+    ),
+    "stream_accounting": _with(
+        _LINES,
+        _DAMAGED,
+        select="""SELECT 'read' AS records, count(*) AS n FROM framed
+UNION ALL SELECT 'used', count(*) FROM framed WHERE reason IS NULL
+UNION ALL SELECT 'set_aside', count(*) FROM framed WHERE reason IS NOT NULL""",
     ),
     "stream_restart": _with(select=_PER_PUB_TIME),
 }

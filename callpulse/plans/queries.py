@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,36 +17,34 @@ from callpulse.schema import (
     AVERAGE_HANDLING_TIME,
     MESSAGE_SCHEMAS,
     QUEUERS_AND_CALLERS,
+    QUEUERS_PER_SERVICE,
     WAIT_TIME,
 )
-from callpulse.session import shared_folder, use_utc
-from callpulse.sources.files import parquet_sink, spread_if_few_splits, stream_files
-from callpulse.sources.fixtures import (
+from callpulse.session import shared_folder
+from callpulse.sources.files import parquet_sink, stream_files
+from callpulse.plans.fixtures import (
     TENANT,
     call_lines,
     call_records,
     calls_from_events,
     damaged_lines,
+    damaged_records,
 )
 from callpulse.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 WINDOW = "15 minutes"
-WATERMARK_DELAY = "30 minutes"
 
-# A repeated batch reads at most this much again (1 TiB).
-BATCH_LIMIT = {"maxBytesPerTrigger": str(1 << 40)}
+# The table's files are the deliveries of the feed, one batch each.
+DELIVERIES = {"maxFilesPerTrigger": "1"}
 
 QUERIES: dict[str, Query] = {}
 
 
 def _named(query: Query) -> Query:
-    def run(spark: SparkSession, folder: str) -> DataFrame:
-        return query(use_utc(spark), folder)
-
-    QUERIES[query.__name__] = run
-    return run
+    QUERIES[query.__name__] = query
+    return query
 
 
 def _events_path(folder: str) -> str:
@@ -55,22 +55,10 @@ def calls(spark: SparkSession, folder: str) -> DataFrame:
     return calls_from_events(spark.read.parquet(_events_path(folder)))
 
 
-def _calls_for_text(spark: SparkSession, folder: str) -> DataFrame:
-    """The same calls where each is written and parsed as text, which costs far
-    more than reading it: a table in fewer splits than cores is spread first."""
-    events = spark.read.parquet(_events_path(folder))
-    return calls_from_events(spread_if_few_splits(events, events))
-
-
-def _streamed_calls(
-    spark: SparkSession, folder: str, as_text: bool = False, **options: str
-) -> DataFrame:
+def _streamed_calls(spark: SparkSession, folder: str) -> DataFrame:
     path = _events_path(folder)
-    events = spark.read.parquet(path)
-    stream = stream_files(spark, path, events.schema, **options)
-    return calls_from_events(
-        spread_if_few_splits(stream, events) if as_text else stream
-    )
+    schema = spark.read.parquet(path).schema
+    return calls_from_events(stream_files(spark, path, schema, **DELIVERIES))
 
 
 # Parsing
@@ -78,21 +66,21 @@ def _streamed_calls(
 
 @_named
 def call_observations(spark: SparkSession, folder: str) -> DataFrame:
-    lines = damaged_lines(_calls_for_text(spark, folder))
+    lines = damaged_lines(calls(spark, folder))
     return records.observations(records.parse_lines(lines))
 
 
 @_named
 def quarantined_lines(spark: SparkSession, folder: str) -> DataFrame:
     return records.quarantined(
-        records.parse_lines(damaged_lines(_calls_for_text(spark, folder)))
+        records.parse_lines(damaged_lines(calls(spark, folder)))
     )
 
 
 @_named
 def call_records_with_metadata(spark: SparkSession, folder: str) -> DataFrame:
     decoded = records.decode_record_keys(
-        records.decode_records(call_records(_calls_for_text(spark, folder)))
+        records.decode_records(call_records(calls(spark, folder)))
     )
     return decoded.select(
         "topic", "partition", "offset", "timestamp", "key", "tenant", "publisher", "line"
@@ -104,7 +92,7 @@ def call_records_with_metadata(spark: SparkSession, folder: str) -> DataFrame:
 
 @_named
 def envelope_key_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    keyed = _calls_for_text(spark, folder).select(
+    keyed = calls(spark, folder).select(
         "pubTime",
         "area",
         "services_name",
@@ -132,7 +120,7 @@ def envelope_key_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 @_named
 def envelope_data_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Records of abandoned calls also carry tracing, so both decoders are used."""
-    lines = call_lines(_calls_for_text(spark, folder), "pubTime", "caseId", "area")
+    lines = call_lines(calls(spark, folder), "pubTime", "caseId", "area")
     encoded = envelope(
         lines.select(
             "pubTime", "area", F.col("caseId").alias("key"), F.col("line").alias("value")
@@ -291,9 +279,9 @@ def message_queuers_per_service(spark: SparkSession, folder: str) -> DataFrame:
 @_named
 def stream_call_observations(spark: SparkSession, folder: str) -> DataFrame:
     out = shared_folder(spark, "call-observations")
-    feed = call_records(_streamed_calls(spark, folder, as_text=True, **BATCH_LIMIT))
+    feed = call_records(_streamed_calls(spark, folder))
     jobs.append_to_files(
-        records.call_observations(feed), f"{out}/table", f"{out}/checkpoint", True
+        records.call_observations(feed), out, available_now=True
     ).awaitTermination()
     return spark.read.parquet(f"{out}/table")
 
@@ -302,43 +290,128 @@ def stream_call_observations(spark: SparkSession, folder: str) -> DataFrame:
 def stream_kpi_per_batch(spark: SparkSession, folder: str) -> DataFrame:
     out = shared_folder(spark, "kpi-per-batch")
     jobs.store_measures(
-        _streamed_calls(spark, folder, **BATCH_LIMIT),
-        parquet_sink(f"{out}/table"),
-        f"{out}/checkpoint",
-        True,
+        _streamed_calls(spark, folder), out, available_now=True
     ).awaitTermination()
-    return kpis.figures_of(spark.read.parquet(f"{out}/table"))
+    return kpis.figures_of(jobs.stored_measures(spark, out))
 
 
 @_named
 def stream_kpi_windowed(spark: SparkSession, folder: str) -> DataFrame:
-    """The table's files are in no time order, so all of them are one batch: the
-    watermark rises after it, and no row of a stored table counts as late."""
     out = shared_folder(spark, "kpi-windowed")
-    windowed = jobs.windowed_measures(
-        _streamed_calls(spark, folder), WINDOW, WATERMARK_DELAY
-    )
-    jobs.append_to_files(
-        windowed, f"{out}/table", f"{out}/checkpoint", True
+    jobs.store_measures(
+        _streamed_calls(spark, folder), out, available_now=True
     ).awaitTermination()
-    table = spark.read.parquet(f"{out}/table")
-    return kpis.figures_of(table, "windowStart", "windowEnd")
+    return jobs.windowed_figures(jobs.stored_measures(spark, out), WINDOW)
+
+
+class _StoppedAfterStoring(Exception):
+    pass
 
 
 @_named
 def stream_restart(spark: SparkSession, folder: str) -> DataFrame:
-    """The feed arrives in two deliveries; the job stops between them."""
+    """The job dies once a batch is stored and before it is done; started again on
+    the same folder it repeats that batch, and each batch is stored once."""
     out = shared_folder(spark, "restart")
-    events = spark.read.parquet(_events_path(folder))
-    middle = events.agg(F.expr("min(ts) + (max(ts) - min(ts)) / 2").alias("ts")).first().ts
-    early = F.col("ts") < F.lit(middle).cast("timestamp_ntz")
-    for delivery in (early, ~early):
-        events.where(delivery).write.mode("append").parquet(f"{out}/feed")
-        feed = stream_files(spark, f"{out}/feed", events.schema, **BATCH_LIMIT)
-        jobs.store_measures(
-            calls_from_events(feed),
-            parquet_sink(f"{out}/table"),
-            f"{out}/checkpoint",
-            True,
-        ).awaitTermination()
-    return kpis.figures_of(spark.read.parquet(f"{out}/table"))
+
+    def stop(batch_id: int) -> None:
+        raise _StoppedAfterStoring(batch_id)
+
+    first = jobs.store_measures(
+        _streamed_calls(spark, folder), out, available_now=True, then=stop
+    )
+    try:
+        first.awaitTermination()
+    except StreamingQueryException as stopped:
+        if _StoppedAfterStoring.__name__ not in str(stopped):
+            raise
+    jobs.store_measures(
+        _streamed_calls(spark, folder), out, available_now=True
+    ).awaitTermination()
+    return kpis.figures_of(jobs.stored_measures(spark, out))
+
+
+# The job itself, on a topic written beforehand: the records of the feed in several
+# deliveries, each with a part of every snapshot.
+
+TOPIC_FILES = 3
+
+
+def _topic(spark: SparkSession, feed: DataFrame, out: str) -> DataFrame:
+    """The records as a stream of ``TOPIC_FILES`` or more files. Records of one case
+    are in one file, so that every snapshot is cut by the borders of batches."""
+    feed.repartition(TOPIC_FILES, "key").write.parquet(f"{out}/topic")
+    return stream_files(spark, f"{out}/topic", feed.schema, **DELIVERIES)
+
+
+def _publish(spark: SparkSession, feed: DataFrame, out: str) -> None:
+    jobs.publish_figures(
+        _topic(spark, feed, out),
+        publish=parquet_sink(f"{out}/published"),
+        quarantine=parquet_sink(f"{out}/quarantine"),
+        folder=out,
+        tenant=TENANT,
+        available_now=True,
+    ).awaitTermination()
+
+
+@_named
+def stream_publish_figures(spark: SparkSession, folder: str) -> DataFrame:
+    """The last message of each key and snapshot, decoded from the written frames,
+    with its fields as text (the services of one snapshot stay one list)."""
+    out = shared_folder(spark, "publish-figures")
+    _publish(spark, call_records(calls(spark, folder)), out)
+    decoded = records.decode_record_keys(
+        records.decode_records(spark.read.parquet(f"{out}/published"))
+    )
+    # An empty list of services names no snapshot.
+    stamped = decoded.select(
+        "key", "batch_id", "line", F.get_json_object("line", "$[0].pubTime").cast("bigint").alias("pubTime")
+    ).where(F.col("pubTime").isNotNull())
+    last = stamped.groupBy("key", "pubTime").agg(F.max_by("line", "batch_id").alias("line"))
+
+    def field(name: str, kind: str):
+        return F.get_json_object("line", f"$[0].{name}").cast(kind).alias(name)
+
+    services = F.when(F.col("key") == QUEUERS_PER_SERVICE, F.col("line"))
+    return last.select(
+        "key",
+        "pubTime",
+        field("avgCallDuration", "double"),
+        field("queueSize", "bigint"),
+        field("callsAmt", "bigint"),
+        field("ratioServed", "double"),
+        field("queueDuration", "double"),
+        services.alias("services"),
+    )
+
+
+@_named
+def stream_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """Records of every kind of damage, as the job sets them aside: the bytes as they
+    came, where they were read, and why."""
+    out = shared_folder(spark, "quarantine")
+    _publish(spark, damaged_records(calls(spark, folder)), out)
+    return spark.read.parquet(f"{out}/quarantine").select(
+        "topic",
+        "partition",
+        "offset",
+        "timestamp",
+        F.hex("key").alias("key_hex"),
+        F.hex("value").alias("value_hex"),
+        "reason",
+    )
+
+
+@_named
+def stream_accounting(spark: SparkSession, folder: str) -> DataFrame:
+    """Of the same damaged records: how many were read, used and set aside."""
+    out = shared_folder(spark, "accounting")
+    _publish(spark, damaged_records(calls(spark, folder)), out)
+    parts = {
+        "read": spark.read.parquet(f"{out}/topic").select(F.lit(1).cast("bigint").alias("n")),
+        "used": jobs.stored_measures(spark, out).select(F.col("calls").alias("n")),
+        "set_aside": spark.read.parquet(f"{out}/quarantine").select(F.lit(1).cast("bigint").alias("n")),
+    }
+    counted = [rows.select(F.lit(what).alias("records"), "n") for what, rows in parts.items()]
+    return reduce(DataFrame.union, counted).groupBy("records").agg(F.sum("n").alias("n"))

@@ -72,7 +72,8 @@ KPI_KEYS = [
     QUEUERS_PER_SERVICE,
 ]
 
-# Types of one JSON object in the message of each figure (pubTime is epoch ms).
+# Names and types of the fields of one JSON object in the message of
+# each figure (pubTime is epoch ms).
 MESSAGE_SCHEMAS = {
     AVERAGE_HANDLING_TIME: "pubTime bigint, avgCallDuration double",
     QUEUERS_AND_CALLERS: "pubTime bigint, queueSize bigint, callsAmt bigint, ratioServed double",

@@ -1,8 +1,7 @@
-"""Session settings the figures depend on, and the shared folder for written state."""
+"""Building a session, and the shared folder for written state."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -11,7 +10,7 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def build_session(app_name: str = "callpulse", **settings: str) -> SparkSession:
-    """A session with UTC timestamps. Cluster sizing stays with the caller.
+    """A session. Cluster sizing stays with the caller.
 
     ``settings`` are Spark settings with ``__`` for each dot, for instance
     ``spark__sql__shuffle__partitions="2000"``.
@@ -19,24 +18,16 @@ def build_session(app_name: str = "callpulse", **settings: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     for name, value in settings.items():
         builder = builder.config(name.replace("__", "."), value)
-    return use_utc(builder.getOrCreate())
-
-
-def use_utc(spark: SparkSession) -> SparkSession:
-    """Timestamp text in the feed has no zone; it is read and written as UTC."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark
+    return builder.getOrCreate()
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder under the cluster's checkpoint folder.
 
-    Only a local session may lack the setting; its folder is then temporary.
-    On a cluster a machine-local folder would be lost with its machine.
+    What is written there stays until its owner or the cluster's own retention
+    removes it: a returned table may be read at any later time.
     """
     root = spark.conf.get(CHECKPOINT_DIR, None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="callpulse-")
+        raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -3,37 +3,58 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def spread_if_few_splits(df: DataFrame, table: DataFrame) -> DataFrame:
-    """``df``, spread over the cores when ``table`` has too few splits for them.
-
-    A call expands to many observations after the scan, so a small table in one
-    file would keep one core busy. A table with a split per core is not moved.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if table.rdd.getNumPartitions() < cores else df
-
-
 def stream_files(
     spark: SparkSession, path: str, schema: StructType, **options: str
 ) -> DataFrame:
-    """Parquet files of a folder, or one file, as a stream."""
-    # The file source takes a plain path for a folder of partitions; as a
-    # pattern the same path may also name a single file.
-    pattern = f"{path[:-1]}[{path[-1]}]"
-    return spark.readStream.schema(schema).options(**options).parquet(pattern)
+    """Parquet files of a folder, or one file, as a stream.
 
+    How many files one batch takes is the caller's: ``maxFilesPerTrigger`` or
+    ``maxBytesPerTrigger``.
+    """
+    reader = spark.readStream.schema(schema).options(**options)
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path.rstrip("/"))
+    system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if system.getFileStatus(hadoop_path).isDirectory():
+        return reader.parquet(str(hadoop_path))
+    # The file source takes folders; a filter on names picks the one file.
+    name = hadoop_path.getName()
+    for sign in "\\[]{}*?":
+        name = name.replace(sign, f"\\{sign}")
+    return reader.option("pathGlobFilter", name).parquet(str(hadoop_path.getParent()))
 
-def parquet_sink(path: str):
-    """Writer of one micro-batch into its own folder.
+
+def parquet_sink(path: str, day: str | None = None):
+    """Writer of micro-batches into one table, each into its own part of it.
 
     A batch that is repeated after a failure replaces what its first attempt
-    wrote, so the table holds every batch once.
+    wrote, so the table holds every batch once. Batch numbers are those of one
+    checkpoint: keep table and checkpoint in one folder, as the jobs do, so that
+    a new checkpoint begins a new table.
+
+    ``day`` names a timestamp by whose UTC date the parts are kept first, so that
+    reading some days lists and opens no other.
     """
 
-    def write(frames: DataFrame, batch_id: int) -> None:
-        frames.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    def write(rows: DataFrame, batch_id: int) -> None:
+        if day is None:
+            rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+            return
+        dated = rows.withColumn("day", utc_day(day)).withColumn("batch_id", F.lit(batch_id))
+        (
+            dated.repartition("day")  # a file for each day, not for each day and task
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("day", "batch_id")
+            .parquet(path)
+        )
 
     return write
+
+
+def utc_day(instant: str):
+    """Days from 1970 to the instant in the named column, in UTC."""
+    return F.floor(F.unix_seconds(instant) / 86_400).cast("int")

@@ -64,12 +64,11 @@ def stream_records(spark: SparkSession, options: dict[str, str]) -> DataFrame:
 
 
 def read_records(spark: SparkSession, options: dict[str, str]) -> DataFrame:
-    """The same records as a table; a table cannot start at ``latest``."""
-    return (
-        spark.read.format("kafka")
-        .options(**{**options, "startingOffsets": "earliest"})
-        .load()
-    )
+    """The same records as a table. A table cannot start at ``latest`` and starts at
+    ``earliest`` then; other offsets are kept."""
+    if options.get("startingOffsets") == "latest":
+        options = {**options, "startingOffsets": "earliest"}
+    return spark.read.format("kafka").options(**options).load()
 
 
 def kafka_sink(options: dict[str, str]):

@@ -1,21 +1,22 @@
-"""Streaming jobs: figures per micro-batch, and in event-time windows.
+"""Streaming jobs: figures per snapshot that are whole, stored measures, windows.
 
-Every job names its checkpoint. A restarted job reads its offsets there and
-goes on after the last finished batch; a batch that failed half-way runs again
-under the same id, which the sinks in ``callpulse.sources`` rely on.
+A job has one folder. Its checkpoint and the tables it writes are in there, so a
+new checkpoint never meets the tables of an older one. A restarted job reads its
+offsets and goes on after the last finished batch; a batch that failed half-way
+runs again under the same number and replaces its own part of every table.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Collection, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from callpulse.operators.frames import frames
-from callpulse.operators.kpis import MEASURES, service_measures
+from callpulse.operators.kpis import MEASURES, figures, merged_measures, service_measures
 from callpulse.operators.messages import all_messages, batch_messages
 from callpulse.operators.records import (
     decode_records,
@@ -23,97 +24,151 @@ from callpulse.operators.records import (
     parse_lines,
     quarantined,
 )
+from callpulse.schema import KPI_KEYS, RECORD_METADATA
+from callpulse.sources.files import parquet_sink, utc_day
 
 BatchWriter = Callable[[DataFrame, int], None]
 
-# Fixed value: the interval at which figures are published.
+# Fixed value: the interval at which figures are published unless asked otherwise.
 BATCH_INTERVAL = "3 seconds"
 
-# How a batch is published: one set of messages per pubTime in it, or one set
-# for the whole batch, stamped with its last pubTime.
-MESSAGES = {"pubTime": all_messages, "batch": batch_messages}
 
-
-def _triggered(
-    writer: DataStreamWriter, checkpoint: str, available_now: bool
-) -> DataStreamWriter:
-    writer = writer.option("checkpointLocation", checkpoint)
+def _started(
+    writer: DataStreamWriter, folder: str, interval: str, available_now: bool
+) -> StreamingQuery:
+    writer = writer.option("checkpointLocation", f"{folder}/checkpoint")
     if available_now:
-        return writer.trigger(availableNow=True)
-    return writer.trigger(processingTime=BATCH_INTERVAL)
+        return writer.trigger(availableNow=True).start()
+    return writer.trigger(processingTime=interval).start()
+
+
+def measures_table(folder: str) -> str:
+    return f"{folder}/measures"
+
+
+def stored_measures(spark: SparkSession, folder: str) -> DataFrame:
+    """What the job in ``folder`` has stored: measures per snapshot, service and
+    batch, with the columns ``day`` and ``batch_id``."""
+    return spark.read.parquet(measures_table(folder))
+
+
+def _whole_snapshots(batch: DataFrame, folder: str) -> DataFrame:
+    """Stored measures of every snapshot that the batch has touched.
+
+    The batch's days, a handful of numbers, prune the read of the store; the
+    snapshots are then matched by a join. No call is read again.
+    """
+    touched = batch.select("pubTime", utc_day("pubTime").alias("day")).distinct()
+    days = [row.day for row in touched.select("day").distinct().collect()]
+    store = stored_measures(batch.sparkSession, folder).where(F.col("day").isin(days))
+    whole = store.join(touched.select("pubTime"), "pubTime", "left_semi")
+    return whole.groupBy("pubTime", "services_name").agg(*merged_measures())
 
 
 def publish_figures(
     records: DataFrame,
     publish: BatchWriter,
-    checkpoint: str,
+    quarantine: BatchWriter,
+    folder: str,
     tenant: str,
     publishers: Mapping[str, str] | None = None,
+    keys: Collection[str] = tuple(KPI_KEYS),
     per: str = "pubTime",
-    quarantine: BatchWriter | None = None,
+    interval: str = BATCH_INTERVAL,
     available_now: bool = False,
 ) -> StreamingQuery:
     """Start the job from enveloped records to enveloped figures.
 
-    All four figures of a batch come from one pass over it. With a quarantine
-    the decoded batch is used twice and therefore kept until both are written.
+    A batch's measures are stored, and for each snapshot it touched the figures
+    of the whole snapshot are published, merged from all that is stored of it. A
+    snapshot cut by a batch border is therefore published again, complete, and a
+    late record corrects a figure instead of making one of its own. ``per="batch"``
+    publishes one set of messages for the batch alone, stamped with its last pubTime.
+
+    ``keys`` are the message keys to publish. Records that cannot be read go to
+    ``quarantine`` with their bytes, metadata and reason; none is dropped. The
+    decoded batch is kept until both are written, so bound it at the source
+    (``maxOffsetsPerTrigger``, ``maxBytesPerTrigger``).
     """
-    messages_of = MESSAGES[per]
+    unknown = set(keys) - set(KPI_KEYS)
+    if unknown or per not in ("pubTime", "batch"):
+        raise ValueError(f"no such key or period: {sorted(unknown) or per}")
+    store = parquet_sink(measures_table(folder), day="pubTime")
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        parsed = parse_lines(decode_records(batch).select("line", "envelope_ok"))
-        if quarantine:
-            parsed = parsed.persist()
+        kept = [c for c in ("key", "value", *RECORD_METADATA) if c in batch.columns]
+        parsed = parse_lines(decode_records(batch.select(*kept))).persist()
+        measures = service_measures(observations(parsed)).persist()
         try:
-            measures = service_measures(observations(parsed))
-            publish(frames(messages_of(measures), tenant, publishers), batch_id)
-            if quarantine:
-                quarantine(quarantined(parsed), batch_id)
+            quarantine(quarantined(parsed), batch_id)
+            store(measures, batch_id)
+            if measures.isEmpty():
+                return
+            if per == "pubTime":
+                messages = all_messages(_whole_snapshots(measures, folder))
+            else:
+                messages = batch_messages(measures)
+            wanted = messages.where(F.col("key").isin(list(keys)))
+            publish(frames(wanted, tenant, publishers), batch_id)
         finally:
-            if quarantine:
-                parsed.unpersist()
+            measures.unpersist()
+            parsed.unpersist()
 
-    return _triggered(
-        records.writeStream.foreachBatch(run), checkpoint, available_now
-    ).start()
+    return _started(records.writeStream.foreachBatch(run), folder, interval, available_now)
 
 
 def store_measures(
-    calls: DataFrame, store: BatchWriter, checkpoint: str, available_now: bool = False
+    calls: DataFrame,
+    folder: str,
+    interval: str = BATCH_INTERVAL,
+    available_now: bool = False,
+    then: Callable[[int], None] | None = None,
 ) -> StreamingQuery:
     """Start the job that stores each batch's measures.
 
     A snapshot may be cut by a batch border; measures of its parts add up,
     averages would not. ``kpis.figures_of`` gives the figures of the store.
+    ``then`` is called with the batch's number once it is stored.
     """
+    store = parquet_sink(measures_table(folder), day="pubTime")
 
     def run(batch: DataFrame, batch_id: int) -> None:
         store(service_measures(batch), batch_id)
+        if then:
+            then(batch_id)
 
-    return _triggered(
-        calls.writeStream.foreachBatch(run), checkpoint, available_now
-    ).start()
+    return _started(calls.writeStream.foreachBatch(run), folder, interval, available_now)
 
 
-def windowed_measures(calls: DataFrame, window: str, delay: str) -> DataFrame:
-    """Measures per event-time window and service.
+def windowed_figures(measures: DataFrame, window: str) -> DataFrame:
+    """The figures at the end of each event-time window, from stored measures.
 
-    In append mode each window comes out once, when nothing within ``delay``
-    can still fall into it, so a replay gives the same rows whatever the
-    batches were. State holds one row per open window and service.
+    A call is observed in every snapshot of its life, so adding up snapshots would
+    count it many times: a window has the figures of its last snapshot. All stored
+    measures count, however late they came and whatever their batches were, and
+    every window is there, the last one as well.
     """
-    timed = calls.withWatermark("pubTime", delay)
-    return service_measures(timed, F.window("pubTime", window)).select(
+    snapshots = measures.groupBy("pubTime").agg(*merged_measures())
+    last = (
+        snapshots.groupBy(F.window("pubTime", window).alias("window"))
+        .agg(F.max(F.struct("pubTime", *MEASURES)).alias("last"))
+        .select("window", "last.*")
+    )
+    return last.select(
         F.col("window.start").alias("windowStart"),
         F.col("window.end").alias("windowEnd"),
-        "services_name",
-        *MEASURES,
+        "pubTime",
+        *[column.alias(name) for name, column in figures().items()],
     )
 
 
 def append_to_files(
-    rows: DataFrame, path: str, checkpoint: str, available_now: bool = False
+    rows: DataFrame,
+    folder: str,
+    interval: str = BATCH_INTERVAL,
+    available_now: bool = False,
 ) -> StreamingQuery:
-    """Start the job that appends streamed rows to a Parquet table, each once."""
-    writer = rows.writeStream.format("parquet").option("path", path).outputMode("append")
-    return _triggered(writer, checkpoint, available_now).start()
+    """Start the job that appends streamed rows to the Parquet table ``folder/table``,
+    each once."""
+    writer = rows.writeStream.format("parquet").option("path", f"{folder}/table")
+    return _started(writer.outputMode("append"), folder, interval, available_now)

@@ -13,14 +13,16 @@ SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "callpulse-tests",
         spark__master="local[4]",
         spark__sql__shuffle__partitions="4",
+        spark__sql__session__timeZone="UTC",
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
         spark__driver__memory="4g",
+        spark__checkpoint__dir=tmp_path_factory.mktemp("shared").as_uri(),
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -5,7 +5,7 @@ import pytest
 
 import __spark_entry__ as entry_points
 from callpulse.operators import kpis
-from callpulse.sources.fixtures import call_records, calls_from_events
+from callpulse.plans.fixtures import call_records, calls_from_events
 from callpulse.operators.records import call_observations
 from conftest import SMALL
 

@@ -1,9 +1,9 @@
-from datetime import datetime
+from datetime import datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
-from callpulse.functions.timestamps import parse_timestamp
+from callpulse.functions.timestamps import format_timestamp, parse_timestamp
 from callpulse.operators import records
 from callpulse.operators.frames import envelope
 from callpulse.schema import CALL_FIELDS
@@ -40,6 +40,29 @@ def test_timestamps_are_strict(spark, text, expected):
     assert df.select(parse_timestamp(F.col("t"))).first()[0] == expected
 
 
+@pytest.mark.parametrize("zone", ["UTC", "Europe/Amsterdam", "America/St_Johns"])
+@pytest.mark.parametrize(
+    "text",
+    [
+        "2024-07-01 12:00:00.000",
+        "2024-03-31 02:30:00.000",
+        "2024-10-27 02:30:00.999",
+        "1969-12-31 23:59:59.001",
+    ],
+)
+def test_timestamps_do_not_depend_on_the_session(spark, zone, text):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.createDataFrame([(text,)], "t string")
+        parsed = df.select(parse_timestamp(F.col("t")).alias("t"))
+        millis, again = parsed.select(F.unix_millis("t"), format_timestamp("t")).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    instant = datetime.fromisoformat(text).replace(tzinfo=timezone.utc)
+    assert (millis, again) == (round(instant.timestamp() * 1000), text)
+
+
 def test_good_line_binds_by_position(spark):
     row = records.observations(records.parse_lines(lines_of(spark, GOOD))).first()
     assert row.asDict() == dict(
@@ -68,6 +91,7 @@ def test_good_line_binds_by_position(spark):
     [
         (GOOD, None),
         ("", "field_count"),
+        (None, "field_count"),
         ("x," + GOOD, "field_count"),
         (GOOD.rsplit(",", 1)[0], "field_count"),
         (GOOD.rsplit(",", 1)[0] + ",", None),

@@ -3,8 +3,13 @@ from types import SimpleNamespace
 import pytest
 
 from callpulse.session import CHECKPOINT_DIR, shared_folder
-from callpulse.sources.files import spread_if_few_splits
-from callpulse.sources.kafka import KafkaConnection, sink_options, source_options
+from callpulse.sources.files import stream_files
+from callpulse.sources.kafka import (
+    KafkaConnection,
+    read_records,
+    sink_options,
+    source_options,
+)
 from conftest import SMALL
 
 TLS = KafkaConnection(
@@ -48,23 +53,38 @@ def test_shared_folder_is_new_each_time_and_under_the_setting():
     assert first.startswith("hdfs://shared/state/x-") and first != second
 
 
-def test_only_a_local_session_may_lack_the_shared_folder():
-    assert shared_folder(session_like("local[2]"), "x")
+@pytest.mark.parametrize("master", ["local[2]", "yarn"])
+def test_no_session_may_lack_the_shared_folder(master):
     with pytest.raises(ValueError):
-        shared_folder(session_like("yarn"), "x")
+        shared_folder(session_like(master), "x")
+
+
+@pytest.mark.parametrize(
+    "asked, used",
+    [("latest", "earliest"), ("earliest", "earliest"), ('{"calls":{"0":23}}',) * 2],
+)
+def test_a_table_of_records_keeps_explicit_offsets(asked, used):
+    reader = SimpleNamespace(given={})
+    reader.format = lambda name: reader
+    reader.options = lambda **options: reader.given.update(options) or reader
+    reader.load = lambda: reader
+    options = source_options(TLS, "calls", starting_offsets=asked)
+    read_records(SimpleNamespace(read=reader), options)
+    assert reader.given["startingOffsets"] == used
+    assert options["startingOffsets"] == asked
 
 
-@pytest.mark.parametrize("files, moved", [(1, True), (16, False)])
-def test_only_a_table_with_few_splits_is_spread(spark, tmp_path, files, moved):
-    path = f"{tmp_path}/t"
+@pytest.mark.parametrize("name", ["events.parquet", "odd [1] {x}*?.parquet"])
+@pytest.mark.parametrize("end", ["", "/"])
+def test_a_file_or_a_folder_is_streamed_whatever_its_name(spark, tmp_path, name, end):
     events = spark.read.parquet(f"{SMALL}/events.parquet")
-    events.repartition(files).write.parquet(path)
-    before = spark.conf.get("spark.sql.files.openCostInBytes")
-    spark.conf.set("spark.sql.files.openCostInBytes", str(128 << 20))
-    try:
-        table = spark.read.parquet(path)
-        spread = spread_if_few_splits(table, table)
-        plan = spread._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.set("spark.sql.files.openCostInBytes", before)
-    assert ("Exchange" in plan) == moved
+    (tmp_path / "other").mkdir()
+    folder = tmp_path / "folder"
+    events.limit(10).coalesce(1).write.parquet(str(folder))
+    (part,) = folder.glob("*.parquet")
+    one = tmp_path / name
+    one.write_bytes(part.read_bytes())
+    for path, out in ((one, "one"), (folder, "all")):
+        stream = stream_files(spark, f"{path}{end}", events.schema)
+        stream.writeStream.format("memory").queryName(out).trigger(availableNow=True).start().awaitTermination()
+        assert spark.table(out).count() == 10
