@@ -203,7 +203,8 @@ def _marker(index):
 def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents with ``n_words``, ``hits`` (runs of words inside windows, by
     word number) and ``items`` (the item_ids found). ``documents`` needs a column
-    text, and none of these names."""
+    text; its columns of these names are replaced."""
+    documents = documents.drop("n_words", "hits", "items")
     spark = documents.sparkSession
     items = benchmark.where("item_id is not null and text is not null").select(
         F.col("item_id").cast("long"), "text"

@@ -152,7 +152,9 @@ def fit(documents: DataFrame, limit: int = LABELLED_ROWS, landmarks: int = LANDM
 
 def identify(documents: DataFrame, model: LanguageModel) -> DataFrame:
     """The documents, all their columns, with ``lang_pred`` and ``lang_score``: the
-    share of the best language among the softmax of the values."""
+    share of the best language among the softmax of the values. Input columns of
+    these names are replaced."""
+    documents = documents.drop("lang_pred", "lang_score")
     sent = documents.sparkSession.sparkContext.broadcast(model)
     schema = documents.select(
         "*", F.lit("").alias("lang_pred"), F.lit(0.0).alias("lang_score")

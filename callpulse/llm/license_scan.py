@@ -313,7 +313,8 @@ def fit(documents: DataFrame, limit: int = SAMPLE_DOCUMENTS) -> LicenseModel:
 def scan(documents: DataFrame, model: LicenseModel) -> DataFrame:
     """The documents, all their columns, with ``paragraphs`` (their number) and
     ``licenses``: family, paragraph (from 0), start and end in code points, score and
-    match of every licensed paragraph."""
+    match of every licensed paragraph. Input columns of these names are replaced."""
+    documents = documents.drop("paragraphs", "licenses")
     sent = documents.sparkSession.sparkContext.broadcast(model)
     schema = documents.select(
         "*", F.lit(0).cast("long").alias("paragraphs"), F.array().cast(LICENSES).alias("licenses")

@@ -186,38 +186,46 @@ def pack(pieces: DataFrame, capacity: int = SEQUENCE) -> DataFrame:
     """The pieces, all their columns, with ``sequence_id`` and ``offset``.
 
     ``pieces`` has a column length, from 1 to ``capacity``. It is stored first: the
-    numbering must see the same rows as the counting.
+    numbering must see the same rows as the counting. Columns named as the results
+    are replaced.
     """
     spark = pieces.sparkSession
-    pieces = stored(pieces, "pieces")
+    pieces = stored(pieces.drop("sequence_id", "offset"), "pieces")
     names = pieces.columns
     lengths = {r[0]: r[1] for r in pieces.groupBy("length").count().collect()}
     moves = spark.sparkContext.broadcast(plan(lengths, capacity))
     salts = max(LEAST_SALTS, sum(lengths.values()) // SALT_ROWS)
-    salted = pieces.withColumn("salt", F.pmod(F.xxhash64(*names), F.lit(salts)).cast("int"))
+    columns = [F.col(f"`{name}`") for name in names]
+    salted = pieces.select(
+        F.struct(*columns).alias("row"),
+        F.col("length"),
+        F.pmod(F.xxhash64(*columns), F.lit(salts)).cast("int").alias("salt"),
+    )
     before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     base = salted.groupBy("length", "salt").agg(F.count("*").alias("n")).select(
         "length", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")
     )
-    nth = F.row_number().over(Window.partitionBy("length", "salt").orderBy(*names))
+    nth = F.row_number().over(Window.partitionBy("length", "salt").orderBy("row"))
     ranked = (
         salted.withColumn("nth", nth)
         .join(base, ["length", "salt"])
-        .select(*names, (F.col("base") + F.col("nth") - 1).alias("rank"))
+        .select("row", "length", (F.col("base") + F.col("nth") - 1).alias("rank"))
     )
-    schema = ranked.select(*names, F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset")).schema
+    schema = ranked.select(
+        "row", F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset")
+    ).schema
 
     def run(batches):
         for rows in batches:
             if not rows.num_rows:
                 continue
             sequence, offset = _placed(rows, moves.value)
-            kept = [rows.column(n) for n in names]
             yield pa.RecordBatch.from_arrays(
-                [*kept, pa.array(sequence), pa.array(offset)], names=[*names, "sequence_id", "offset"]
+                [rows.column("row"), pa.array(sequence), pa.array(offset)],
+                names=["row", "sequence_id", "offset"],
             )
 
-    return map_arrow(ranked, run, schema)
+    return map_arrow(ranked, run, schema).select("row.*", "sequence_id", "offset")
 
 
 def sequences(packed: DataFrame) -> DataFrame:

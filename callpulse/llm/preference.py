@@ -75,17 +75,21 @@ def _without_nulls(turns: Column) -> Column:
 
 def formatted(pairs: DataFrame, chosen: str = "chosen", rejected: str = "rejected") -> DataFrame:
     """The other columns of ``pairs`` with prefix_turns, prompt, and for each side
-    its completion and the spans of it to learn from."""
-    rest = [F.col(f"`{c}`") for c in pairs.columns if c not in (chosen, rejected)]
+    its completion and the spans of it to learn from. Columns named as the results
+    are replaced."""
+    made = ("prefix_turns", "prompt", "chosen_spans", "rejected_spans", chosen, rejected)
+    rest = [F.col(f"`{c}`") for c in pairs.columns if c not in made]
     both = pairs.select(
-        *rest, _without_nulls(F.col(chosen)).alias("_c"), _without_nulls(F.col(rejected)).alias("_r")
+        F.struct(*rest).alias("_rest"),
+        _without_nulls(F.col(chosen)).alias("_c"),
+        _without_nulls(F.col(rejected)).alias("_r"),
     ).withColumn("prefix_turns", common_turns(F.col("_c"), F.col("_r")))
 
     def after(turns: str) -> Column:
         return F.slice(turns, F.col("prefix_turns") + 1, F.size(turns))
 
     return both.select(
-        *rest,
+        "_rest.*",
         "prefix_turns",
         rendered(F.slice("_c", 1, F.col("prefix_turns"))).alias("prompt"),
         rendered(after("_c")).alias("chosen"),

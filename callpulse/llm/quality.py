@@ -248,7 +248,9 @@ def fit(
 
 
 def score(documents: DataFrame, model: QualityModel, column: str = "quality") -> DataFrame:
-    """The documents, all their columns, with a score from 0 to 1 in ``column``."""
+    """The documents, all their columns, with a score from 0 to 1 in ``column``, which
+    replaces an input column of that name."""
+    documents = documents.drop(column)
     sent = documents.sparkSession.sparkContext.broadcast(model)
     schema = documents.select("*", F.lit(0.0).alias(column)).schema
 

@@ -21,11 +21,27 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 TOXIC = 0.7
 
 
+def _bundled(docs: DataFrame) -> DataFrame:
+    """All columns but the text as one, so that none clashes with an operator's."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    return docs.select(F.struct(*rest).alias("rest"), "text")
+
+
+def _unbundled(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` again."""
+    return rows.select(
+        *(
+            F.col("text") if c == "text" else F.col("rest").getField(c).alias(c)
+            for c in docs.columns
+        )
+    )
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below the threshold. The model learns from the labels and
     texts of the given tables."""
-    scored = toxicity.score(docs, toxicity_model(spark, sf_dir), "__toxicity")
-    return scored.where(F.col("__toxicity") < TOXIC).drop("__toxicity")
+    scored = toxicity.score(_bundled(docs), toxicity_model(spark, sf_dir), "toxicity")
+    return _unbundled(scored.where(F.col("toxicity") < TOXIC), docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,28 +49,29 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     without doc_id stay."""
     linked = neardup.linked_documents(docs)
     gone = linked.where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(gone, "doc_id", "left_anti").select(*(f"`{c}`" for c in docs.columns))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that share no window of words with a benchmark item."""
-    marked = decontam.contamination(docs, table(spark, sf_dir, "benchmark"))
-    return marked.where(F.size("hits") == 0).select(*docs.columns)
+    marked = decontam.contamination(_bundled(docs), table(spark, sf_dir, "benchmark"))
+    return _unbundled(marked.where(F.size("hits") == 0), docs)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets replaced by their kind and n_chars counted anew
     where that changed the text."""
-    found = secret_scan.find(docs, secret_scan.fit(docs))
+    found = secret_scan.find(_bundled(docs), secret_scan.fit(docs))
     redacted = secret_scan.redact(found)
-    changed = F.size("findings") > 0
-    columns = [
-        F.when(changed, F.char_length("text")).otherwise(F.col(c)).cast(kind).alias(c)
-        if c == "n_chars"
-        else F.col(f"`{c}`")
-        for c, kind in docs.dtypes
-    ]
-    return redacted.select(*columns)
+    if "n_chars" in docs.columns:
+        counted = F.when(F.size("findings") > 0, F.char_length("text")).otherwise(
+            F.col("rest.n_chars")
+        )
+        kind = docs.schema["n_chars"].dataType
+        redacted = redacted.withColumn(
+            "rest", F.col("rest").withField("n_chars", counted.cast(kind))
+        )
+    return _unbundled(redacted, docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
