@@ -92,12 +92,13 @@ class BallTree:
         self.rows = self.x if self.exact is np.float64 else self.rows[order]
         self.centre = np.array(centre).reshape(len(centre), -1)
         self.radius = np.array(radius)
+        self.far = np.sqrt((self.centre**2).sum(1))
         self.children = np.array([self.left, self.right]).T.reshape(-1, 2)
 
     def bounds(self, queries: np.ndarray, norms: np.ndarray, nodes: np.ndarray) -> np.ndarray:
         """At least every inner product in the node; a little more for rounding."""
         top = queries @ self.centre[nodes].T + norms[:, None] * self.radius[nodes]
-        return top + 1 + 1e-9 * np.abs(top)
+        return top + 1 + 1e-12 * norms[:, None] * (self.far[nodes] + self.radius[nodes])
 
     def search(self, ids, queries, floor, k, promising_only=False):
         """(query, vec_id, score) of the ``k`` best rows of each query that reach its
@@ -111,7 +112,9 @@ class BallTree:
 
         def score(leaf: int, active: np.ndarray) -> None:
             first, last = self.span[leaf]
-            found = np.rint(typed[active] @ self.rows[first:last].T).astype(np.int64)
+            found = typed[active] @ self.rows[first:last].T
+            if found.dtype != np.int64:
+                found = np.rint(found).astype(np.int64)
             names = np.broadcast_to(self.ids[first:last], found.shape)
             found = np.where(names == ids[active][:, None], np.iinfo(np.int64).min, found)
             hopeful = (found >= floor[active][:, None]).any(1)
