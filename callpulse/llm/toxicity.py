@@ -34,11 +34,18 @@ PREFIXES = (4, 5, 6)
 SECOND_PERSON = """you your yours yourself u ur du dich dir dein deine deiner ihr euch euer
 tu te toi ton ta tes vous votre vos ti tus usted ustedes vosotros""".split()
 
+# Common insults, in four languages; the rest of the lexicon is learned.
+LISTED = """idiot idiots stupid moron morons loser losers pathetic worthless scum trash clown
+disgusting dumb fool jerk creep ugly garbage imbecile freak coward filth vermin scumbag
+dumm idioten trottel versager abschaum widerlich dreckig ekelhaft
+stupide imbécile raté ordure dégoûtant minable crétin abruti
+idiota estúpido estúpida imbécil basura asqueroso perdedor escoria patético""".split()
+
 # Signs written for letters.
 LOOKALIKES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s"}
 
 FEATURES = """hits hit_density best_weight weight_density prefix_hits prefix_density prefix_best
-hidden_hits near_person near_share person_density capitals shouted marks punctuation digits
+hidden_hits listed_hits listed_density near_person near_share person_density capitals shouted marks punctuation digits
 letters_apart mixed_words stretched words""".split()
 
 _LETTERS = bytes_where(lambda b: chr(b).isalnum() and b < 128 or b >= 128 or b == 39)
@@ -53,8 +60,8 @@ _MARKS = bytes_where(lambda b: b in b"!?")
 _PUNCTUATION = bytes_where(lambda b: 32 < b < 127 and not chr(b).isalnum())
 
 
-def _person_hashes() -> np.ndarray:
-    raw = np.frombuffer(" ".join(SECOND_PERSON).encode(), np.uint8)
+def _hashes_of(listed: list[str]) -> np.ndarray:
+    raw = np.frombuffer(" ".join(listed).encode(), np.uint8)
     return np.sort(Words(raw, np.array([0, len(raw)]), _LETTERS).hash)
 
 
@@ -147,10 +154,12 @@ def text_features(data: np.ndarray, offsets: np.ndarray, lexicon: Lexicon) -> np
     exact = lexicon.weigh(words.hash)
     begun = np.max([lexicon.weigh(_prefix_hashes(words, s)) for s in PREFIXES], 0)
     read = Words(_READ[data], offsets, _WITH_SIGNS)
-    hidden = np.bincount(read.text, lexicon.weigh(read.hash) > 0, size)
+    bad = (lexicon.weigh(read.hash) > 0) | (_present(_LISTED, read.hash) >= 0)
+    hidden = np.bincount(read.text, bad, size)
+    listed = _present(_LISTED, words.hash) >= 0
 
     person = _present(_PERSON, words.hash) >= 0
-    hit = np.flatnonzero((exact > 0) | (begun > 0))
+    hit = np.flatnonzero((exact > 0) | (begun > 0) | listed)
     near = np.zeros(len(words.hash))
     if len(hit) and person.any():
         at = np.flatnonzero(person)
@@ -175,7 +184,8 @@ def text_features(data: np.ndarray, offsets: np.ndarray, lexicon: Lexicon) -> np
     columns = [
         total(exact > 0), total(exact > 0) / per_word, most(exact), total(exact) / per_word,
         total(begun > 0), total(begun > 0) / per_word, most(begun),
-        np.maximum(hidden - total(exact > 0), 0), most(near), total(near) / per_word,
+        np.maximum(hidden - total((exact > 0) | listed), 0),
+        total(listed), total(listed) / per_word, most(near), total(near) / per_word,
         total(person) / per_word, share(_UPPER), total((upper == long) & (long > 1)) / per_word,
         share(_MARKS), share(_PUNCTUATION), share(_DIGITS), total(long == 1) / per_word,
         total((digits > 0) & (letters > 0)) / per_word, total(stretched) / per_word,
@@ -184,7 +194,7 @@ def text_features(data: np.ndarray, offsets: np.ndarray, lexicon: Lexicon) -> np
     return np.stack(columns, 1)
 
 
-_PERSON = _person_hashes()
+_PERSON, _LISTED = _hashes_of(SECOND_PERSON), _hashes_of(LISTED)
 
 
 @dataclass
@@ -253,7 +263,7 @@ def fit(documents: DataFrame, labels: DataFrame, limit: int = LABELLED_ROWS) ->
     found = map_arrow(sample, features, "x array<double>, label int, part int").toArrow()
     y = found["label"].to_numpy().astype(float)
     p = found["part"].to_numpy()
-    x = found["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(y), -1)
+    x = found["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(y), len(FEATURES))
     order = np.lexsort((*x.T, y))  # the rows' order must not matter
     x, y, p = x[order], y[order], p[order]
     trees = BoostedTrees().fit(x[p < 2], y[p < 2])
