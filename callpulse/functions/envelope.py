@@ -10,8 +10,8 @@ message should be a column that is already evaluated; ``operators.frames`` build
 the key envelope so.
 
 Decoding is built-in too for records in the plain form that every publisher of
-this feed writes: a payload and nothing else, or a key with its three short
-texts. Anything else (tracing, unknown fields, damage) goes to protobuf's own
+this feed writes: a payload and nothing else, or a key with its three texts, of
+any length. Anything else (tracing, unknown fields, damage) goes to protobuf's own
 parser in an Arrow UDF.
 """
 
@@ -225,55 +225,72 @@ def _parse_data(values: pa.Array) -> pa.Array:
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def byte_at(value: str, position: str) -> Column:
-    """The byte at a position as a number, if it is below 128."""
-    return F.expr(f"ascii(substring({value}, {position}, 1))")
+def _let(name: str, value: str, body: str) -> str:
+    """``body``, in which ``name`` stands for ``value``, evaluated once."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
 
 
-def plain_key(
-    value: str, header_size: str, tenant_size: str, publisher_size: str
-) -> Column:
+def _varint_at(value: str, position: str) -> str:
+    """The number written at ``position`` (``n``) and where it ends (``next``); null
+    unless it takes one to five bytes and no more than it needs."""
+    five = f"CAST(conv(rpad(hex(substring({value}, {position}, 5)), 10, '0'), 16, 10) AS BIGINT)"
+    cases = []
+    for count in range(1, _MAX_LENGTH_BYTES + 1):
+        shifts = [8 * (_MAX_LENGTH_BYTES - 1 - index) for index in range(count)]
+        groups = [
+            f"shiftleft(shiftright(x, {shift}) & 127, {7 * index})"
+            for index, shift in enumerate(shifts)
+        ]
+        needed = "" if count == 1 else f" AND shiftright(x, {shifts[-1]}) & 127 > 0"
+        cases.append(
+            f"WHEN x & {128 << shifts[-1]} = 0{needed} THEN named_struct("
+            f"'n', {' | '.join(groups)}, 'next', CAST({position} AS INT) + {count})"
+        )
+        if count > 1:
+            cases.append(f"WHEN x & {128 << shifts[-1]} = 0 THEN NULL")
+    return _let("x", five, f"CASE {' '.join(cases)} END")
+
+
+def plain_key(value: str) -> Column:
     """The decoded key envelope if it is in the form ``operators.frames`` writes.
 
-    That is: all three texts are there, every length is below 128, and nothing
-    is repeated, out of order or unknown. Anything else gives null. The sizes
-    are read from the record; each part is then compared with what it must be.
+    That is: all three texts are there, of whatever length, and nothing is
+    repeated, out of order or unknown. Anything else gives null. Each size is read
+    where the one before it ends.
     """
-    identity_size = f"({tenant_size} + {publisher_size} + 4)"
-    key_size = f"(octet_length({value}) - {header_size} - 4)"
-    flags_size = f"({header_size} - {identity_size} - 2)"
-    flags = f"substring({value}, {identity_size} + 5, {flags_size})"
-    tenant = f"substring({value}, 7, {tenant_size})"
-    publisher = f"substring({value}, {tenant_size} + 9, {publisher_size})"
-    key = f"substring({value}, {header_size} + 5, {key_size})"
-
-    sizes = (header_size, identity_size, key_size, tenant_size, publisher_size)
-    conditions = [f"{size} BETWEEN 1 AND 127" for size in sizes]
-    start = (
-        f"bigint({0x0A000A000A00}) | shiftleft(bigint({header_size}), 32)"
-        f" | shiftleft(bigint({identity_size}), 16) | {tenant_size}"
-    )
+    identity_end, header_end = "(i.next + int(i.n))", "(h.next + int(h.n))"
+    tenant_end, publisher_end = "(t.next + int(t.n))", "(p.next + int(p.n))"
+    tenant = f"substring({value}, t.next, int(t.n))"
+    publisher = f"substring({value}, p.next, int(p.n))"
+    key = f"substring({value}, k.next, int(k.n))"
+    flags = f"substring({value}, {identity_end}, {header_end} - {identity_end})"
+
+    tags = {"1": "0A", "h.next": "0A", "i.next": "0A", tenant_end: "12", header_end: "12"}
+    conditions = [f"substring({value}, {at}, 1) = X'{tag}'" for at, tag in tags.items()]
+    conditions += [f"{size}.n > 0" for size in "tpk"]
     conditions += [
-        f"substring({value}, 1, 6) = unhex(hex({start}))",
-        f"substring({value}, {tenant_size} + 7, 2) = unhex(hex({0x1200} | {publisher_size}))",
-        f"substring({value}, {header_size} + 3, 2) = unhex(hex({0x1200} | {key_size}))",
-        f"{flags_size} IN (0, 2, 4)",
+        f"{publisher_end} = {identity_end}",
+        f"{header_end} - {identity_end} IN (0, 2, 4)",
         f"{flags} IN (X'', X'1001', X'1801', X'10011801')",
+        f"k.next + k.n = octet_length({value}) + 1",
     ]
     conditions += [
         f"is_valid_utf8(CAST({text} AS STRING))" for text in (tenant, publisher, key)
     ]
-    return F.expr(
-        f"""CASE WHEN {' AND '.join(conditions)} THEN named_struct(
-          'header', named_struct(
-            'identifier', named_struct(
-              'tenant', CAST({tenant} AS STRING), 'publisher', CAST({publisher} AS STRING)),
-            'retained', {flags} IN (X'1001', X'10011801'),
-            'qos', CASE WHEN {flags} IN (X'1801', X'10011801') THEN 'RELIABLE'
-                        ELSE 'BEST_EFFORT' END),
-          'key', CAST({key} AS STRING),
-          'envelope_ok', true) END"""
-    )
+    decoded = f"""CASE WHEN {' AND '.join(conditions)} THEN named_struct(
+      'header', named_struct(
+        'identifier', named_struct(
+          'tenant', CAST({tenant} AS STRING), 'publisher', CAST({publisher} AS STRING)),
+        'retained', {flags} IN (X'1001', X'10011801'),
+        'qos', CASE WHEN {flags} IN (X'1801', X'10011801') THEN 'RELIABLE'
+                    ELSE 'BEST_EFFORT' END),
+      'key', CAST({key} AS STRING),
+      'envelope_ok', true) END"""
+    places = {"h": "2", "i": "h.next + 1", "t": "i.next + 1"}
+    places |= {"p": f"{tenant_end} + 1", "k": f"{header_end} + 1"}
+    for name, place in reversed(places.items()):
+        decoded = _let(name, _varint_at(value, place), decoded)
+    return F.expr(decoded)
 
 
 def key_envelope(value: str, plain: str) -> Column:

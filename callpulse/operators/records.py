@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from callpulse.functions.envelope import (
-    byte_at,
     data_envelope,
     key_envelope,
     payload_text,
@@ -39,13 +38,8 @@ def decode_records(records: DataFrame) -> DataFrame:
 
 def decode_keys(records: DataFrame) -> DataFrame:
     """Replace the bytes in ``key`` by a struct ``header, key, envelope_ok``."""
-    sizes = ["_header_size", "_tenant_size", "_publisher_size"]
-    fixed = evaluate_once(
-        records, _header_size=byte_at("key", "2"), _tenant_size=byte_at("key", "6")
-    )
-    sized = evaluate_once(fixed, _publisher_size=byte_at("key", "_tenant_size + 8"))
-    plain = evaluate_once(sized, _plain=plain_key("key", *sizes))
-    return plain.withColumn("key", key_envelope("key", "_plain")).drop(*sizes, "_plain")
+    plain = evaluate_once(records, _plain=plain_key("key"))
+    return plain.withColumn("key", key_envelope("key", "_plain")).drop("_plain")
 
 
 def decode_record_keys(records: DataFrame) -> DataFrame:
