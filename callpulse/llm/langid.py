@@ -95,6 +95,15 @@ def _in_rows(data: np.ndarray, offsets: np.ndarray):
         yield first, first + len(own) - 1, data[own[0] : own[-1]], own - own[0]
 
 
+def _packed(batches):
+    """The flags of each text, eight to a byte."""
+    for rows, data, offsets in text_blocks(batches, "text"):
+        for first, last, part, own in _in_rows(data, offsets):
+            flags = [row.tobytes() for row in np.packbits(presence(part, own), axis=1)]
+            ids = rows.column("doc_id").slice(first, last - first)
+            yield pa.RecordBatch.from_arrays([ids, pa.array(flags, pa.binary())], names=["doc_id", "flags"])
+
+
 def _nystroem(landmarks):
     """Kernel values of each text with the landmarks."""
 
@@ -119,19 +128,20 @@ def _nystroem(landmarks):
 def fit(documents: DataFrame, limit: int = LABELLED_ROWS, landmarks: int = LANDMARKS) -> LanguageModel:
     """Learns from ``documents`` (doc_id, text, lang), about ``limit`` rows of them."""
     spark = documents.sparkSession
-    usable = documents.where("lang is not null and text is not null").select("doc_id", "text", "lang")
+    usable = documents.where("lang is not null and text is not null").select(
+        F.col("doc_id").cast("long"), "text", "lang"
+    )
     sample = stored(sample_of(usable, "doc_id", limit), "language-sample")
-    drawn = sample.orderBy(F.xxhash64("doc_id", F.lit(13)), "text").limit(landmarks)
-    texts = [r[0].encode() for r in drawn.select("text").collect()]
-    texts = [t for t in texts if t]
-    if not texts:
+    packed = map_arrow(sample.where("text <> ''").select("doc_id", "text"), _packed, "doc_id long, flags binary")
+    drawn = packed.orderBy(F.xxhash64("doc_id", F.lit(13)), "flags").limit(landmarks).collect()
+    if not drawn:
         return LanguageModel([], np.zeros((ENTRIES, 0), np.float32))
-    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
-    flags = presence(np.frombuffer(b"".join(texts), np.uint8), offsets)
+    bits = np.frombuffer(b"".join(bytes(r.flags) for r in drawn), np.uint8)
+    flags = np.unpackbits(bits.reshape(len(drawn), -1), axis=1).astype(bool)
     sizes = flags.sum(1).astype(np.float64)
     sent = spark.sparkContext.broadcast((flags, sizes))
     found = map_arrow(sample, _nystroem(sent), "lang string, kernel binary").toArrow()
-    x = np.frombuffer(b"".join(found["kernel"].to_pylist()), "<f4").reshape(-1, len(texts)).astype(float)
+    x = np.frombuffer(b"".join(found["kernel"].to_pylist()), "<f4").reshape(-1, len(drawn)).astype(float)
     names = np.array(found["lang"].to_pylist())
     order = np.lexsort((*x.T[:4], names))  # the rows' order must not matter
     x, names = x[order], names[order]
@@ -144,7 +154,7 @@ def fit(documents: DataFrame, limit: int = LABELLED_ROWS, landmarks: int = LANDM
     for k in range(len(languages)):
         ones = max((target[:, k] > 0).sum(), 1)
         weight = np.where(target[:, k] > 0, 0.5 / ones, 0.5 / max(len(names) - ones, 1))
-        system = (x * weight[:, None]).T @ x + RIDGE * between + 1e-9 * np.eye(len(texts))
+        system = (x * weight[:, None]).T @ x + RIDGE * between + 1e-9 * np.eye(len(drawn))
         columns.append(np.linalg.solve(system, (x * weight[:, None]).T @ target[:, k]))
     alpha = np.stack(columns, 1) / np.sqrt(sizes)[:, None]
     return LanguageModel(languages, (dense.T @ alpha.astype(np.float32)).astype(np.float32))

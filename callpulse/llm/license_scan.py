@@ -24,6 +24,8 @@ from callpulse.llm.learning import Platt, sample_of
 
 #: Documents whose paragraphs are trained on, and such paragraphs, at most (about).
 SAMPLE_DOCUMENTS, SAMPLE_PARAGRAPHS = 2_000, 3_000
+#: Characters of such a paragraph that are trained on; scanned ones are read whole.
+SAMPLE_LENGTH = 2_000
 VARIANTS = 60
 ENTRIES_BITS = 15
 SIZES = (1, 2, 3)
@@ -277,6 +279,7 @@ def fit(documents: DataFrame, limit: int = SAMPLE_DOCUMENTS) -> LicenseModel:
     paragraph = F.explode(F.split("text", "\n")).alias("paragraph")
     rows = (
         drawn.select(paragraph)
+        .select(F.substring("paragraph", 1, SAMPLE_LENGTH).alias("paragraph"))
         .where("trim(paragraph) <> ''")
         .distinct()
         .orderBy(F.xxhash64("paragraph"))
