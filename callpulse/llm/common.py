@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from callpulse.session import shared_folder
 
 #: Bytes of text that are worked on at once, unless one text is longer.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
