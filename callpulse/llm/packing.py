@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from callpulse.llm.common import map_arrow, stored
+from callpulse.llm.common import give_back, map_arrow, stored
 
 SEQUENCE = 1024
 END_ID = 2
@@ -98,6 +98,8 @@ def tokenized(
                     at, piece, start, size, ids, held = [], [], [], [], [], 0
             if at:
                 yield flush()
+            at, piece, start, size, ids = [], [], [], [], []
+            give_back()
 
     source = documents.select(F.col("doc_id").cast("long"), "text")
     return map_arrow(source, run, PIECES)

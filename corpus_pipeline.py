@@ -61,8 +61,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets replaced by their kind and n_chars counted anew
     where that changed the text."""
-    found = secret_scan.find(_bundled(docs), secret_scan.fit(docs))
-    redacted = secret_scan.redact(found)
+    redacted = secret_scan.find(_bundled(docs), secret_scan.fit(docs), redact=True)
     if "n_chars" in docs.columns:
         counted = F.when(F.size("findings") > 0, F.char_length("text")).otherwise(
             F.col("rest.n_chars")
