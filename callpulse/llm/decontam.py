@@ -9,9 +9,10 @@ then extended along its diagonal to the whole shared runs.
 Items of fewer than ten words are one window; documents look their windows of
 that length up directly. Words are compared by hashes of 64 bits.
 
-The benchmark is split into blocks of bounded size. A block's index is sent to
-all tasks, and documents go through one step after another, one for each block,
-so nothing but documents is shuffled or held, however large the benchmark is.
+The benchmark is split into blocks of bounded size. A few blocks' indexes are sent
+to all tasks, and documents go through one step after another until all blocks have
+been seen, so no document is shuffled and no task holds more than those blocks,
+however large the benchmark is.
 
 Null or wordless texts have no words and no hits; items without item_id or words
 are never found; rows of one item_id are one item. Every input row gives one row.
@@ -26,14 +27,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callpulse.llm.common import Words, bytes_where, gram_hashes, map_arrow, text_blocks
+from callpulse.llm.common import Words, bytes_where, gram_hashes, map_arrow, stored, text_blocks
 
 #: Words of a window; words of a fingerprint; fingerprints that one is kept of.
 WINDOW = 10
 GRAM = 5
 KEEP = WINDOW - GRAM + 1
-#: Bytes of benchmark text in one block, about.
-BLOCK = 8 << 20
+#: Bytes of benchmark text in one block, about, and blocks of one step.
+BLOCK, BLOCKS_AT_ONCE = 8 << 20, 4
 
 _WORD = bytes_where(lambda b: 48 <= b <= 57 or 97 <= b <= 122 or b >= 128)
 
@@ -165,14 +166,16 @@ def _merged(text: np.ndarray, start: np.ndarray, end: np.ndarray):
     return text[new], start[new], reach[last] if len(end) else end
 
 
-def _marker(index):
+def _marker(indexes):
     def mark(batches):
         for rows, data, offsets in text_blocks(batches, "text"):
             words = Words(data, offsets, _WORD)
-            start, end, item = index.value.matches(words)
-            text, ids = words.text[start], index.value.ids[item]
+            parts = [index.value.matches(words) for index in indexes]
+            start, end = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
+            ids = np.concatenate([i.value.ids[p[2]] for i, p in zip(indexes, parts, strict=True)])
+            text = words.text[start]
             seen = np.stack([text, ids], 1)
-            # What the earlier blocks have found.
+            # What the earlier steps have found.
             before, runs = _flat(rows.column("hits"))
             text = np.concatenate([text, before])
             start = np.concatenate([start, runs.field("start").to_numpy() + words.first[before]])
@@ -217,9 +220,14 @@ def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.array().cast(HITS).alias("hits"),
         F.array().cast("array<long>").alias("items"),
     )
-    for block in range(blocks):
-        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
-        index = BenchmarkIndex([r[0] for r in rows], [r[1] for r in rows])
-        sent = spark.sparkContext.broadcast(index)
+    for first in range(0, blocks, BLOCKS_AT_ONCE):
+        sent = []
+        for block in range(first, min(first + BLOCKS_AT_ONCE, blocks)):
+            own = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block
+            rows = items.where(own).collect()
+            index = BenchmarkIndex([r[0] for r in rows], [r[1] for r in rows])
+            sent.append(spark.sparkContext.broadcast(index))
+        if first:  # one step at a time holds its blocks and a worker
+            marked = stored(marked, "marked")
         marked = map_arrow(marked, _marker(sent), marked.schema)
     return marked
