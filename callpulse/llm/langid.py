@@ -100,8 +100,8 @@ def _packed(batches):
     for rows, data, offsets in text_blocks(batches, "text"):
         for first, last, part, own in _in_rows(data, offsets):
             flags = [row.tobytes() for row in np.packbits(presence(part, own), axis=1)]
-            ids = rows.column("doc_id").slice(first, last - first)
-            yield pa.RecordBatch.from_arrays([ids, pa.array(flags, pa.binary())], names=["doc_id", "flags"])
+            keys = rows.column("key").slice(first, last - first)
+            yield pa.RecordBatch.from_arrays([keys, pa.array(flags, pa.binary())], names=["key", "flags"])
 
 
 def _nystroem(landmarks):
@@ -132,11 +132,15 @@ def fit(documents: DataFrame, limit: int = LABELLED_ROWS, landmarks: int = LANDM
         F.col("doc_id").cast("long"), "text", "lang"
     )
     sample = stored(sample_of(usable, "doc_id", limit), "language-sample")
-    packed = map_arrow(sample.where("text <> ''").select("doc_id", "text"), _packed, "doc_id long, flags binary")
-    drawn = packed.orderBy(F.xxhash64("doc_id", F.lit(13)), "flags").limit(landmarks).collect()
+    # The landmarks are drawn by hash first, so that only their flags come here.
+    hashed = F.xxhash64("doc_id", "text", F.lit(13)).alias("key")
+    keyed = sample.where("text <> ''").select(hashed, "text")
+    drawn = [r.key for r in keyed.select("key").distinct().orderBy("key").limit(landmarks).collect()]
     if not drawn:
         return LanguageModel([], np.zeros((ENTRIES, 0), np.float32))
-    bits = np.frombuffer(b"".join(bytes(r.flags) for r in drawn), np.uint8)
+    packed = map_arrow(keyed.where(F.col("key").isin(drawn)), _packed, "key long, flags binary")
+    by_key = {r.key: bytes(r.flags) for r in packed.distinct().collect()}
+    bits = np.frombuffer(b"".join(by_key[key] for key in drawn), np.uint8)
     flags = np.unpackbits(bits.reshape(len(drawn), -1), axis=1).astype(bool)
     sizes = flags.sum(1).astype(np.float64)
     sent = spark.sparkContext.broadcast((flags, sizes))
