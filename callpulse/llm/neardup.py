@@ -112,7 +112,8 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             one[full], two[full] = _digests(values, starts)
             bands = np.ascontiguousarray(registers(values, starts)).view(np.int64)
         ends = np.cumsum(np.where(sizes > 0, BANDS, 0), dtype=np.int32)
-        lists = pa.ListArray.from_arrays(np.concatenate([[0], ends]).astype(np.int32), pa.array(bands.ravel()))
+        offsets = np.concatenate([[0], ends]).astype(np.int32)
+        lists = pa.ListArray.from_arrays(offsets, pa.array(bands.ravel()))
         yield pa.RecordBatch.from_arrays(
             [rows.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(one), pa.array(two), lists],
             names=["doc_id", "n_shingles", "one", "two", "bands"],
@@ -216,7 +217,8 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     members, found = _Members(), ([], [])
 
     def flush():
-        return pa.RecordBatch.from_pydict({"a": pa.array(found[0], pa.int64()), "b": pa.array(found[1], pa.int64())})
+        a, b = (pa.array(side, pa.int64()) for side in found)
+        return pa.RecordBatch.from_pydict({"a": a, "b": b})
 
     last = None
     for rows, data, offsets in text_blocks(batches, "text"):
@@ -341,9 +343,8 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def flush():
         pairs = sorted(found)
         found.clear()
-        return pa.RecordBatch.from_pydict(
-            {"x": pa.array([p[0] for p in pairs], pa.int64()), "target": pa.array([p[1] for p in pairs], pa.int64())}
-        )
+        x, target = (pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1))
+        return pa.RecordBatch.from_pydict({"x": x, "target": target})
 
     last = None
     for rows in batches:
@@ -443,11 +444,12 @@ def linked_documents(documents: DataFrame) -> DataFrame:
     )
     shared = stored(_buckets(classes).join(hubs, "bucket"), "buckets")
     stars = shared.where("id <> hub").select(F.col("id").alias("x"), F.col("hub").alias("target")).distinct()
-    a = classes.select(F.col("id").alias("x"), F.col("n_shingles").alias("a_size"), F.col("bands").alias("a_bands"))
-    b = classes.select(F.col("id").alias("target"), F.col("n_shingles").alias("b_size"), F.col("bands").alias("b_bands"))
-    stars = stored(
-        map_arrow(stars.join(a, "x").join(b, "target"), _estimate, "x long, target long"), "stars"
-    )
+    for name, side in (("x", "a"), ("target", "b")):
+        sketch = classes.selectExpr(
+            f"id AS {name}", f"n_shingles AS {side}_size", f"bands AS {side}_bands"
+        )
+        stars = stars.join(sketch, name)
+    stars = stored(map_arrow(stars, _estimate, "x long, target long"), "stars")
     alone = stars.select(F.col("target").alias("id")).distinct().select("id", F.col("id").alias("component"))
     wanted = stars.select(F.col("x").alias("id")).union(alone.select("id")).distinct()
     links = stored(verified(stars, alone, _texts(documents, classes, wanted)), "star-links")

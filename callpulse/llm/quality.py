@@ -40,7 +40,8 @@ def _bytes_of(text: bytes) -> np.ndarray:
     return bytes_where(lambda b: b in text)
 
 
-_UPPER, _LOWER = bytes_where(lambda b: 65 <= b <= 90), bytes_where(lambda b: 97 <= b <= 122 or b >= 128)
+_UPPER = bytes_where(lambda b: 65 <= b <= 90)
+_LOWER = bytes_where(lambda b: 97 <= b <= 122 or b >= 128)
 _DIGIT, _BEYOND = bytes_where(lambda b: 48 <= b <= 57), bytes_where(lambda b: b >= 128)
 _SIGNS = _bytes_of(b"#$%&*+=<>^~@\\_{}[]`")
 _PUNCTUATION = bytes_where(lambda b: 32 < b < 127 and not chr(b).isalnum())

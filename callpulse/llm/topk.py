@@ -166,7 +166,8 @@ def _searcher(sent, width: int, k: int, promising_only: bool):
         shard = pa.Table.from_batches(tables)
         block = sent.value
         rows = _matrix(shard["v"], width)
-        largest = float(np.abs(rows).max(initial=0)) * float(np.abs(block["v"]).max(initial=0)) * max(width, 1)
+        sizes = [float(np.abs(v).max(initial=0)) for v in (rows, block["v"])]
+        largest = sizes[0] * sizes[1] * max(width, 1)
         tree = BallTree(shard["id"].to_numpy(), rows, np.float64 if largest < 2**52 else np.int64)
         for first in range(0, len(block["id"]), TOGETHER):
             part = slice(first, first + TOGETHER)

@@ -254,16 +254,16 @@ def fit(documents: DataFrame, labels: DataFrame, limit: int = LABELLED_ROWS) ->
                     x[parts == p] = text_features(data, offsets, lexicon)[parts == p]
             yield pa.RecordBatch.from_pydict(
                 {
-                    "x": pa.FixedSizeListArray.from_arrays(x.ravel(), x.shape[1]).cast(pa.list_(pa.float64())),
+                    "x": pa.array([row.astype("<f8").tobytes() for row in x], pa.binary()),
                     "label": rows.column("label"),
                     "part": rows.column("part"),
                 }
             )
 
-    found = map_arrow(sample, features, "x array<double>, label int, part int").toArrow()
+    found = map_arrow(sample, features, "x binary, label int, part int").toArrow()
     y = found["label"].to_numpy().astype(float)
     p = found["part"].to_numpy()
-    x = found["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(y), len(FEATURES))
+    x = np.frombuffer(b"".join(found["x"].to_pylist()), "<f8").reshape(-1, len(FEATURES))
     order = np.lexsort((*x.T, y))  # the rows' order must not matter
     x, y, p = x[order], y[order], p[order]
     trees = BoostedTrees().fit(x[p < 2], y[p < 2])
@@ -282,6 +282,8 @@ def score(documents: DataFrame, model: ToxicityModel, column: str = "toxicity")
     def run(batches):
         for rows, data, offsets in text_blocks(batches, "text"):
             found = pa.array(sent.value.score(data, offsets))
-            yield pa.RecordBatch.from_arrays([*rows.columns, found], schema=rows.schema.append(pa.field(column, pa.float64())))
+            yield pa.RecordBatch.from_arrays(
+                [*rows.columns, found], names=[*rows.schema.names, column]
+            )
 
     return map_arrow(documents, run, schema)
