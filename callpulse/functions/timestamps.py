@@ -29,8 +29,8 @@ def format_timestamp(name: str) -> Column:
     """
     millis = f"unix_millis({name})"
     clock = (
-        f"TIMESTAMP_NTZ'1970-01-01 00:00:00' + make_dt_interval("
-        f"CAST({millis} div 86400000 AS INT), 0, 0, CAST(floor({millis} / 1000D) - 86400 * ({millis} div 86400000) AS INT))"
+        "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+        f" + make_dt_interval(0, 0, 0, floor({millis} / 1000))"
     )
     return F.expr(
         f"concat(substring(CAST({clock} AS STRING), 1, 19), '.', "
