@@ -40,6 +40,18 @@ def test_ids_of_the_corpus_and_of_odd_texts(spark):
         assert ENCODER.encode_ordinary(text) == OTHER.encode(text, add_special_tokens=False).ids
 
 
+def test_added_tokens_are_those_of_the_vocabulary(spark):
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    r = random.Random(9)
+    parts = ["<|endoftext|>", "<|endof", "text|>", "<|", " ", "  ", "\n", "a", "é", "don't", "12", "日"]
+    texts = ["a <|endoftext|> b"] + ["".join(r.choices(parts, k=r.randint(1, 12))) for _ in range(500)]
+    found = packing.tokenized(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    ids = {r.doc_id: np.frombuffer(bytes(r.ids), "<u4").tolist() for r in found.collect()}
+    assert ids[0] == [64, 220, 50256, 275, packing.END_ID]
+    for k, text in enumerate(texts):
+        assert ids[k] == [*plain.encode(text, add_special_tokens=False).ids, packing.END_ID]
+
+
 @pytest.mark.parametrize("capacity", [8, 20, 64, 1024])
 def test_the_plan_is_best_fit_decreasing(capacity):
     r = random.Random(capacity)
