@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from callpulse.llm import (
     decontam,
+    hard_negatives,
     langid,
     license_scan,
     neardup,
@@ -181,3 +182,15 @@ def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
 @_named
 def op10_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(table(spark, folder, "embeddings"), F.col("id") % 100 == 0, k=10)
+
+
+@_named
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Every seventh row has a label that is not its own, as mislabelled rows would."""
+    label = F.col("label").cast("long")
+    rows = table(spark, folder, "embeddings").select(
+        "vec_id",
+        "embedding",
+        F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label).alias("label"),
+    )
+    return hard_negatives.hard_negatives(rows, F.col("id") % 100 == 0)
