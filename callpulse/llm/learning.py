@@ -96,26 +96,31 @@ class BoostedTrees:
 
 
 class Isotonic:
-    """The non-decreasing step function nearest to the labels (pool adjacent violators)."""
+    """The non-decreasing function nearest to the labels (pool adjacent violators).
+
+    Between its levels it rises in a straight line; below the first and above the last
+    it is flat.
+    """
 
     def fit(self, x: np.ndarray, y: np.ndarray) -> Isotonic:
         levels, place = np.unique(x, return_inverse=True)
         sums, counts = np.bincount(place, y), np.bincount(place).astype(float)
-        blocks: list[list[float]] = []
+        blocks: list[list[float]] = []  # first and last x, sum, count
         for level, s, c in zip(levels, sums, counts):
-            blocks.append([level, s, c])
-            while len(blocks) > 1 and blocks[-2][1] * blocks[-1][2] >= blocks[-1][1] * blocks[-2][2]:
-                _, s, c = blocks.pop()
-                blocks[-1][1] += s
-                blocks[-1][2] += c
-        self.at = np.array([b[0] for b in blocks])
-        self.value = np.array([b[1] / b[2] for b in blocks])
+            blocks.append([level, level, s, c])
+            while len(blocks) > 1 and blocks[-2][2] * blocks[-1][3] >= blocks[-1][2] * blocks[-2][3]:
+                _, last, s, c = blocks.pop()
+                blocks[-1][1] = last
+                blocks[-1][2] += s
+                blocks[-1][3] += c
+        self.at = np.array([end for b in blocks for end in b[:2]])
+        self.value = np.repeat([b[2] / b[3] for b in blocks], 2)
         return self
 
     def __call__(self, x: np.ndarray) -> np.ndarray:
         if not len(self.at):
             return sigmoid(x)
-        return self.value[np.maximum(np.searchsorted(self.at, x, "right") - 1, 0)]
+        return np.interp(x, self.at, self.value)
 
 
 class Platt:

@@ -29,6 +29,8 @@ LEXICON_SIZE = 20_000
 #: How many times likelier in toxic texts an entry is, in logarithms.
 LEAST_ODDS = 1.3
 PREFIXES = (4, 5, 6)
+#: Parts of the sample that are left out in turn to score them for calibration.
+FOLDS = 4
 
 # Second person, in four languages.
 SECOND_PERSON = """you your yours yourself u ur du dich dir dein deine deiner ihr euch euer
@@ -210,9 +212,10 @@ class ToxicityModel:
 def fit(documents: DataFrame, labels: DataFrame, limit: int = LABELLED_ROWS) -> ToxicityModel:
     """Learns from ``labels`` (doc_id, label 0/1), about ``limit`` rows of them.
 
-    Two parts of the sample learn lexicon and trees; each part's features come
-    from the other's lexicon, so that the trees see words as new texts show them.
-    The third part calibrates.
+    The sample has two halves. Each half's features come from the lexicon of the
+    other, so that the trees see words as new texts show them. Scores are calibrated on
+    all rows, each scored by trees that have not learned from it; the trees that are
+    kept have learned from all.
     """
     one_label = (
         labels.where("doc_id is not null and label in (0, 1)")
@@ -221,29 +224,30 @@ def fit(documents: DataFrame, labels: DataFrame, limit: int = LABELLED_ROWS) ->
         .where("label = other")
     )
     drawn = sample_of(one_label, "doc_id", limit)
-    fifth = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(5))
-    part = F.when(fifth < 2, 0).when(fifth < 4, 1).otherwise(2)
+    draw = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(2 * FOLDS)).cast("int")
+    part, fold = draw % 2, F.floor(draw / 2).cast("int")
     labelled = documents.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
     sample = stored(
-        labelled.select("text", F.col("label").cast("int").alias("label"), part.alias("part")),
+        labelled.select(
+            "text", F.col("label").cast("int").alias("label"), part.alias("part"), fold.alias("fold")
+        ),
         "toxicity-sample",
     )
-    taught = sample.where("part < 2")
     schema = "key long, n0 long, n1 long, n2 long, n3 long"
     sums = [F.sum(f"n{k}").alias(f"n{k}") for k in range(4)]
     counted = (
-        map_arrow(taught, _count_entries, schema)
+        map_arrow(sample, _count_entries, schema)
         .groupBy("key")
         .agg(*sums)
         .where("n1 + n3 >= 2 and (n1 + n3) * 3 >= n0 + n2")
         .toPandas()
     )
     sizes = np.zeros(4)
-    for row in taught.groupBy("part", "label").count().collect():
+    for row in sample.groupBy("part", "label").count().collect():
         sizes[2 * row[0] + row[1]] = row[2]
     first, second, both = (_lexicon(counted, sizes, p) for p in ((0,), (1,), (0, 1)))
     del counted
-    lexicons = (second, first, both)
+    lexicons = (second, first)
 
     def features(batches):
         for rows, data, offsets in text_blocks(batches, "text"):
@@ -256,20 +260,20 @@ def fit(documents: DataFrame, labels: DataFrame, limit: int = LABELLED_ROWS) ->
                 {
                     "x": pa.array([row.astype("<f8").tobytes() for row in x], pa.binary()),
                     "label": rows.column("label"),
-                    "part": rows.column("part"),
+                    "fold": rows.column("fold"),
                 }
             )
 
-    found = map_arrow(sample, features, "x binary, label int, part int").toArrow()
+    found = map_arrow(sample, features, "x binary, label int, fold int").toArrow()
     y = found["label"].to_numpy().astype(float)
-    p = found["part"].to_numpy()
+    fold = found["fold"].to_numpy()
     x = np.frombuffer(b"".join(found["x"].to_pylist()), "<f8").reshape(-1, len(FEATURES))
-    order = np.lexsort((*x.T, y))  # the rows' order must not matter
-    x, y, p = x[order], y[order], p[order]
-    trees = BoostedTrees().fit(x[p < 2], y[p < 2])
-    held = p == 2 if 0 < y[p == 2].sum() < (p == 2).sum() else p < 3
-    calibrate = Isotonic().fit(trees.decide(x[held]), y[held])
-    return ToxicityModel(both, trees, calibrate)
+    order = np.lexsort((*x.T, y, fold))  # the rows' order must not matter
+    x, y, fold = x[order], y[order], fold[order]
+    unseen = np.zeros(len(y))
+    for f in range(FOLDS):
+        unseen[fold == f] = BoostedTrees().fit(x[fold != f], y[fold != f]).decide(x[fold == f])
+    return ToxicityModel(both, BoostedTrees().fit(x, y), Isotonic().fit(unseen, y))
 
 
 def score(documents: DataFrame, model: ToxicityModel, column: str = "toxicity") -> DataFrame:

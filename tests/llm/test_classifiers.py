@@ -1,10 +1,12 @@
 """Held-out accuracy of the trained classifiers, and their edge cases."""
 
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from brute import fold
+from brute import LOWER, fold
 from callpulse.llm import langid, license_scan, quality, toxicity
 from callpulse.llm.learning import BoostedTrees, Isotonic, Platt
 from callpulse.llm.queries import QUERIES
@@ -156,3 +158,54 @@ def test_trees_isotonic_and_platt():
     assert (np.diff(values) >= 0).all() and 0 <= values.min() <= values.max() <= 1
     p = Platt().fit(score[:1000], y[:1000])(np.sort(score))
     assert (np.diff(p) >= 0).all() and p[0] < 0.1 and p[-1] > 0.9
+
+
+def test_isotonic_rises_between_its_levels():
+    fit = Isotonic().fit(np.array([0.0, 1.0, 2.0, 3.0, 10.0, 11.0]), np.array([0, 1, 0, 1, 1, 1.0]))
+    assert fit(np.array([-5.0, 0.0, 1.0, 2.0, 2.5, 3.0, 99.0])).tolist() == [0, 0, 0.5, 0.5, 0.75, 1, 1]
+
+
+def plain_features(text, weights):
+    """Features of one text, in plain Python; ``weights`` is the lexicon of whole words."""
+    word = re.compile(r"(?:[A-Za-z0-9']|[^\x00-\x7f])+")
+    size = max(len(text.encode()), 1)
+    found = [w.translate(LOWER) for w in word.findall(text)]
+    hits = [weights.get(w, 0.0) for w in found]
+    listed = [w in toxicity.LISTED for w in found]
+    person = [k for k, w in enumerate(found) if w in toxicity.SECOND_PERSON]
+    near = [max((1 / (1 + abs(k - p)) for p in person), default=0) for k, h in enumerate(hits) if h or listed[k]]
+    read = text.translate(str.maketrans(toxicity.LOOKALIKES))
+    read = [w.translate(LOWER) for w in re.findall(r"(?:[A-Za-z0-9'@$]|[^\x00-\x7f])+", read)]
+    hidden = sum(w in weights or w in toxicity.LISTED for w in read)
+    n = max(len(found), 1)
+    return {
+        "hits": sum(h > 0 for h in hits), "hit_density": sum(h > 0 for h in hits) / n,
+        "best_weight": max(hits, default=0), "weight_density": sum(hits) / n,
+        "hidden_hits": max(hidden - sum(h > 0 or x for h, x in zip(hits, listed)), 0),
+        "listed_hits": sum(listed), "listed_density": sum(listed) / n,
+        "near_person": max(near, default=0), "near_share": sum(near) / n,
+        "person_density": len(person) / n,
+        "capitals": len(re.findall("[A-Z]", text)) / size,
+        "marks": len(re.findall("[!?]", text)) / size,
+        "digits": len(re.findall("[0-9]", text)) / size,
+        "punctuation": len([c for c in text if "!" <= c <= "~" and not c.isalnum()]) / size,
+        "stretched": sum(bool(re.search(r"([a-z]|[^\x00-\x7f])\1\1", w)) for w in found) / n if text.isascii() else None,
+        "words": np.log1p(len(found)),
+    }
+
+
+def test_toxicity_features_are_those_of_plain_python():
+    weights = {"zorb": 2.5, "grint": 1.5, "d'accord": 3.0}
+    keys = toxicity._hashes_of(list(weights))
+    by_key = {int(toxicity._hashes_of([w])[0]): v for w, v in weights.items()}
+    lexicon = toxicity.Lexicon(keys, np.array([by_key[int(k)] for k in keys]))
+    r = np.random.default_rng(4)
+    some = ["you", "Zorb", "z0rb", "GRINT", "gr1nt!", "idiot", "1d10t", "id1ot", "sooooo", "été", "d'accord", "a", "42", "?!", "Your", "x"]
+    texts = ["", " ", "you zorb", "ZORB you", *(" ".join(r.choice(some, r.integers(0, 30))) for _ in range(80))]
+    raw = [t.encode() for t in texts]
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in raw])])
+    found = toxicity.text_features(np.frombuffer(b"".join(raw), np.uint8), offsets, lexicon)
+    for text, row in zip(texts, found):
+        given = dict(zip(toxicity.FEATURES, row))
+        for name, value in plain_features(text, weights).items():
+            assert value is None or abs(given[name] - value) < 1e-9, (name, text)

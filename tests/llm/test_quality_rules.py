@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from callpulse.llm import quality_rules as qr
 from callpulse.llm import queries
-from tests.llm.brute import SHINGLE_WORD, fold
+from brute import SHINGLE_WORD, fold
 
 
 def brute(text):

@@ -6,7 +6,7 @@ import pytest
 
 from callpulse.llm import queries, spelling
 from callpulse.llm.acceptor import Acceptor, one_edit_pairs
-from tests.llm.brute import LOWER
+from brute import LOWER
 from zlib import crc32
 
 
