@@ -89,6 +89,26 @@ def _measures() -> list[Column]:
     return [columns[name].alias(name) for name in MEASURES]
 
 
+def call_measures() -> list[Column]:
+    """The measures of one observation, as a row: what ``service_measures`` adds up."""
+    handled, served = stages.is_handled(), stages.is_served()
+
+    def where(condition: Column, value: Column | None = None) -> Column:
+        value = F.lit(1) if value is None else value
+        return F.when(condition, value).otherwise(0).cast("bigint")
+
+    columns = {
+        "calls": F.lit(1).cast("bigint"),
+        "waiting": where(stages.is_waiting()),
+        "handled": where(handled),
+        "handled_ms": where(handled, stages.handling_millis()),
+        "served": where(served),
+        "served_ms": where(served, stages.queue_millis()),
+        "queued": where(stages.in_service_queue()),
+    }
+    return [columns[name].alias(name) for name in MEASURES]
+
+
 def merged_measures() -> list[Column]:
     return [F.sum(name).alias(name) for name in MEASURES]
 

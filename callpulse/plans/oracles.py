@@ -287,7 +287,35 @@ UNION ALL SELECT 'used', count(*) FROM framed WHERE reason IS NULL
 UNION ALL SELECT 'set_aside', count(*) FROM framed WHERE reason IS NOT NULL""",
     ),
     "stream_restart": _with(select=_PER_PUB_TIME),
+    "stream_store_compaction": _with(select=_PER_PUB_TIME),
+    "stream_lost_checkpoint": _with(select=_PER_PUB_TIME),
+    "stream_windows_live": _with(
+        """w AS (
+  SELECT *, time_bucket(INTERVAL 15 MINUTE, pubTime) AS windowStart,
+    windowStart + INTERVAL 15 MINUTE AS windowEnd,
+    date_diff('day', DATE '1970-01-01', CAST(pubTime AS DATE)) % 2 AS delivery
+  FROM calls
+), marks AS (
+  SELECT max(pubTime) FILTER (WHERE delivery = 0) - INTERVAL 1 HOUR AS first_mark,
+    max(pubTime) - INTERVAL 1 HOUR AS last_mark FROM w
+), k AS (
+  SELECT *, CASE WHEN delivery = 1 AND windowEnd <= first_mark THEN 'late'
+                 WHEN windowEnd <= last_mark THEN 'closed' ELSE 'open' END AS kind,
+    max(pubTime) OVER (PARTITION BY windowStart) AS last
+  FROM w, marks
+)""",
+        select=f"""SELECT 'late' AS kind, windowStart, windowEnd, max(pubTime) AS pubTime,
+  count(*) AS observations, CAST(NULL AS DOUBLE) AS avgCallDuration,
+  CAST(NULL AS BIGINT) AS queueSize, CAST(NULL AS BIGINT) AS callsAmt,
+  CAST(NULL AS DOUBLE) AS ratioServed, CAST(NULL AS DOUBLE) AS queueDuration
+FROM k WHERE kind = 'late' GROUP BY windowStart, windowEnd
+UNION ALL SELECT kind, windowStart, windowEnd, pubTime,
+  any_value(observed), {_ALL_FIGURES}
+FROM (SELECT *, count(*) OVER (PARTITION BY windowStart) AS observed FROM k)
+WHERE kind <> 'late' AND pubTime = last GROUP BY kind, windowStart, windowEnd, pubTime""",
+    ),
 }
+_ORACLES["stream_snapshot_state"] = _ORACLES["stream_publish_figures"]
 
 
 def oracles() -> dict[str, str]:

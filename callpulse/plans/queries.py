@@ -6,7 +6,7 @@ from collections.abc import Callable
 from functools import reduce
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callpulse.functions.envelope import length_delimited, text_field
@@ -15,13 +15,14 @@ from callpulse.operators.frames import envelope, frames
 from callpulse.operators.once import evaluate_once
 from callpulse.schema import (
     AVERAGE_HANDLING_TIME,
+    CALL_SCHEMA,
     MESSAGE_SCHEMAS,
     QUEUERS_AND_CALLERS,
     QUEUERS_PER_SERVICE,
     WAIT_TIME,
 )
 from callpulse.session import shared_folder
-from callpulse.sources.files import parquet_sink, stream_files
+from callpulse.sources.files import parquet_sink, read_parts, remove, stream_files, utc_day
 from callpulse.plans.fixtures import (
     TENANT,
     call_lines,
@@ -30,7 +31,8 @@ from callpulse.plans.fixtures import (
     damaged_lines,
     damaged_records,
 )
-from callpulse.streaming import jobs
+from callpulse.streaming import jobs, state
+from callpulse.streaming.ledger import Ledger
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -283,7 +285,7 @@ def stream_call_observations(spark: SparkSession, folder: str) -> DataFrame:
     jobs.append_to_files(
         records.call_observations(feed), out, available_now=True
     ).awaitTermination()
-    return spark.read.parquet(f"{out}/table")
+    return read_parts(spark, f"{out}/table", CALL_SCHEMA)
 
 
 @_named
@@ -331,39 +333,54 @@ def stream_restart(spark: SparkSession, folder: str) -> DataFrame:
     return kpis.figures_of(jobs.stored_measures(spark, out))
 
 
-# The job itself, on a topic written beforehand: the records of the feed in several
-# deliveries, each with a part of every snapshot.
+# The jobs on a feed that comes in several deliveries. After each the job is started on
+# its folder again and reads what is new, as one batch unless that is very much.
 
-TOPIC_FILES = 3
+DELIVERED = 3
+FRAMES = "key binary, value binary, batch_id bigint"
 
 
-def _topic(spark: SparkSession, feed: DataFrame, out: str) -> DataFrame:
-    """The records as a stream of ``TOPIC_FILES`` or more files. Records of one case
-    are in one file, so that every snapshot is cut by the borders of batches."""
-    feed.repartition(TOPIC_FILES, "key").write.parquet(f"{out}/topic")
-    return stream_files(spark, f"{out}/topic", feed.schema, **DELIVERIES)
+def _by_case() -> Column:
+    """Deliveries that each hold a part of every snapshot."""
+    return F.pmod(F.xxhash64("dt_offered"), F.lit(DELIVERED)).cast("int")
+
+
+def _deliver(
+    spark: SparkSession, feed: DataFrame, delivery: Column, out: str, start: Callable[[DataFrame], object], **options: str
+) -> None:
+    """Writes the feed once, by delivery, and adds one delivery after the other to the
+    folder that the job streams."""
+    feed.withColumn("delivery", delivery).write.partitionBy("delivery").parquet(f"{out}/feed")
+    sent = spark.read.schema(f"{_fields_of(feed)}, delivery int").parquet(f"{out}/feed")
+    for number in range(DELIVERED):
+        part = sent.where(F.col("delivery") == number).select(feed.columns)
+        part.write.mode("append").parquet(f"{out}/topic")
+        start(stream_files(spark, f"{out}/topic", feed.schema, **options)).awaitTermination()
+
+
+def _fields_of(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
 
 
 def _publish(spark: SparkSession, feed: DataFrame, out: str) -> None:
-    jobs.publish_figures(
-        _topic(spark, feed, out),
-        publish=parquet_sink(f"{out}/published"),
-        quarantine=parquet_sink(f"{out}/quarantine"),
-        folder=out,
-        tenant=TENANT,
-        available_now=True,
-    ).awaitTermination()
+    def start(records: DataFrame):
+        return jobs.publish_figures(
+            records,
+            publish=parquet_sink(f"{out}/published"),
+            quarantine=parquet_sink(f"{out}/quarantine"),
+            folder=out,
+            tenant=TENANT,
+            available_now=True,
+        )
 
+    delivery = F.pmod(F.xxhash64("key"), F.lit(DELIVERED)).cast("int")
+    _deliver(spark, feed, delivery, out, start, maxBytesPerTrigger=str(8 << 30))
 
-@_named
-def stream_publish_figures(spark: SparkSession, folder: str) -> DataFrame:
+
+def _last_messages(published: DataFrame) -> DataFrame:
     """The last message of each key and snapshot, decoded from the written frames,
     with its fields as text (the services of one snapshot stay one list)."""
-    out = shared_folder(spark, "publish-figures")
-    _publish(spark, call_records(calls(spark, folder)), out)
-    decoded = records.decode_record_keys(
-        records.decode_records(spark.read.parquet(f"{out}/published"))
-    )
+    decoded = records.decode_record_keys(records.decode_records(published))
     # An empty list of services names no snapshot.
     stamped = decoded.select(
         "key", "batch_id", "line", F.get_json_object("line", "$[0].pubTime").cast("bigint").alias("pubTime")
@@ -386,13 +403,124 @@ def stream_publish_figures(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@_named
+def stream_publish_figures(spark: SparkSession, folder: str) -> DataFrame:
+    """The last message of each key and snapshot, by the job that stores measures."""
+    out = shared_folder(spark, "publish-figures")
+    _publish(spark, call_records(calls(spark, folder)), out)
+    return _last_messages(read_parts(spark, f"{out}/published", FRAMES))
+
+
+@_named
+def stream_snapshot_state(spark: SparkSession, folder: str) -> DataFrame:
+    """The last message of each key and snapshot, by the job that keeps snapshots in
+    keyed state; they are held for longer than the feed lasts."""
+    out = shared_folder(spark, "snapshot-state")
+
+    def start(feed: DataFrame):
+        return state.publish_snapshots(
+            feed,
+            publish=parquet_sink(f"{out}/published"),
+            late=parquet_sink(f"{out}/late"),
+            folder=out,
+            tenant=TENANT,
+            retention="10000 days",
+            available_now=True,
+        )
+
+    _deliver(spark, calls(spark, folder), _by_case(), out, start)
+    return _last_messages(read_parts(spark, f"{out}/published", FRAMES))
+
+
+LATENESS = "1 hour"
+
+
+@_named
+def stream_windows_live(spark: SparkSession, folder: str) -> DataFrame:
+    """Every window as the live job has it, and every late row: the even days come
+    first, then the odd ones, most of them too late. ``observations`` are all there are."""
+    out = shared_folder(spark, "windows-live")
+
+    def start(feed: DataFrame):
+        return state.publish_windows(
+            feed,
+            publish=parquet_sink(f"{out}/closed"),
+            late=parquet_sink(f"{out}/late"),
+            folder=out,
+            window=WINDOW,
+            delay=LATENESS,
+            available_now=True,
+        )
+
+    _deliver(spark, calls(spark, folder), F.pmod(utc_day("pubTime"), F.lit(2)), out, start)
+    bounds = "windowStart timestamp, windowEnd timestamp, pubTime timestamp, observations bigint"
+    figures = "avgCallDuration double, queueSize bigint, callsAmt bigint, ratioServed double, queueDuration double"
+    names = [f.split()[0] for f in f"{bounds}, {figures}".split(", ")]
+    closed = read_parts(spark, f"{out}/closed", f"{bounds}, {figures}")
+    late = read_parts(spark, f"{out}/late", bounds)
+    open_now = state.open_windows(spark, out).select(
+        *names[:4], *[c.alias(n) for n, c in kpis.figures().items()]
+    )
+    # Several tasks and batches may have had late rows of one window.
+    late = late.groupBy("windowStart", "windowEnd").agg(
+        F.max("pubTime").alias("pubTime"), F.sum("observations").alias("observations")
+    )
+    parts = {"closed": closed, "open": open_now, "late": late}
+    return reduce(
+        lambda a, b: a.unionByName(b, allowMissingColumns=True),
+        [rows.select(F.lit(kind).alias("kind"), *rows.columns) for kind, rows in parts.items()],
+    ).select("kind", *names)
+
+
+@_named
+def stream_store_compaction(spark: SparkSession, folder: str) -> DataFrame:
+    """Figures of a store of which the first batches are closed and the last is not; the
+    job closes parts after every second batch."""
+    out = shared_folder(spark, "store-compaction")
+
+    def start(feed: DataFrame):
+        return jobs.store_measures(feed, out, available_now=True, compact_every=2)
+
+    _deliver(spark, calls(spark, folder), _by_case(), out, start)
+    return kpis.figures_of(jobs.stored_measures(spark, out))
+
+
+@_named
+def stream_lost_checkpoint(spark: SparkSession, folder: str) -> DataFrame:
+    """Figures of a job whose checkpoint is lost after the first delivery: the next run
+    goes on after the offsets of its ledger, and each record is used once."""
+    out = shared_folder(spark, "lost-checkpoint")
+    feed = call_records(calls(spark, folder))
+    first, last = feed.agg(F.min("timestamp"), F.max("timestamp")).first()
+    started = []
+
+    def start(records: DataFrame):
+        if len(started) == 1:
+            remove(spark, f"{out}/checkpoint")
+        started.append(records)
+        return jobs.publish_figures(
+            Ledger(spark, out).unread(records),  # a new checkpoint begins with the first file
+            publish=parquet_sink(f"{out}/published"),
+            quarantine=parquet_sink(f"{out}/quarantine"),
+            folder=out,
+            tenant=TENANT,
+            available_now=True,
+        )
+
+    span = F.unix_micros(F.lit(last)) - F.unix_micros(F.lit(first)) + 1
+    third = (F.unix_micros("timestamp") - F.unix_micros(F.lit(first))) * DELIVERED / span
+    _deliver(spark, feed, F.floor(third).cast("int"), out, start)
+    return kpis.figures_of(jobs.stored_measures(spark, out))
+
+
 @_named
 def stream_quarantine(spark: SparkSession, folder: str) -> DataFrame:
     """Records of every kind of damage, as the job sets them aside: the bytes as they
     came, where they were read, and why."""
     out = shared_folder(spark, "quarantine")
-    _publish(spark, damaged_records(calls(spark, folder)), out)
-    return spark.read.parquet(f"{out}/quarantine").select(
+    feed = damaged_records(calls(spark, folder))
+    _publish(spark, feed, out)
+    return read_parts(spark, f"{out}/quarantine", f"{_fields_of(feed)}, reason string").select(
         "topic",
         "partition",
         "offset",
@@ -405,13 +533,18 @@ def stream_quarantine(spark: SparkSession, folder: str) -> DataFrame:
 
 @_named
 def stream_accounting(spark: SparkSession, folder: str) -> DataFrame:
-    """Of the same damaged records: how many were read, used and set aside."""
+    """Of the same damaged records: how many were read, used and set aside. No records
+    give counts of 0."""
     out = shared_folder(spark, "accounting")
     _publish(spark, damaged_records(calls(spark, folder)), out)
+    one = F.lit(1).cast("bigint").alias("n")
     parts = {
-        "read": spark.read.parquet(f"{out}/topic").select(F.lit(1).cast("bigint").alias("n")),
+        "read": Ledger(spark, out).read().select(F.col("records").alias("n")),
         "used": jobs.stored_measures(spark, out).select(F.col("calls").alias("n")),
-        "set_aside": spark.read.parquet(f"{out}/quarantine").select(F.lit(1).cast("bigint").alias("n")),
+        "set_aside": read_parts(spark, f"{out}/quarantine", "reason string").select(one),
     }
-    counted = [rows.select(F.lit(what).alias("records"), "n") for what, rows in parts.items()]
-    return reduce(DataFrame.union, counted).groupBy("records").agg(F.sum("n").alias("n"))
+    counted = [
+        rows.agg(F.lit(what).alias("records"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+        for what, rows in parts.items()
+    ]
+    return reduce(DataFrame.union, counted)

@@ -7,6 +7,36 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+def located(spark: SparkSession, path: str):
+    """The path and its file system, whichever that is."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path.rstrip("/"))
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """What lies directly in a folder; nothing if there is no such folder."""
+    at, system = located(spark, path)
+    return [str(s.getPath().getName()) for s in system.listStatus(at)] if system.exists(at) else []
+
+
+def mark(spark: SparkSession, path: str) -> None:
+    """Makes an empty file, at once or not at all. Its name is what it says."""
+    at, system = located(spark, path)
+    system.create(at, True).close()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    at, system = located(spark, path)
+    system.delete(at, True)
+
+
+def read_parts(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    """A table of ``parquet_sink``, which has no folder until a row was written."""
+    if names_in(spark, path):
+        return spark.read.schema(schema).parquet(path)
+    return spark.createDataFrame([], schema)
+
+
 def stream_files(
     spark: SparkSession, path: str, schema: StructType, **options: str
 ) -> DataFrame:
@@ -16,8 +46,7 @@ def stream_files(
     ``maxBytesPerTrigger``.
     """
     reader = spark.readStream.schema(schema).options(**options)
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path.rstrip("/"))
-    system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    hadoop_path, system = located(spark, path)
     if system.getFileStatus(hadoop_path).isDirectory():
         return reader.parquet(str(hadoop_path))
     # The file source takes folders; a filter on names picks the one file.
@@ -27,30 +56,19 @@ def stream_files(
     return reader.option("pathGlobFilter", name).parquet(str(hadoop_path.getParent()))
 
 
-def parquet_sink(path: str, day: str | None = None):
+def parquet_sink(path: str):
     """Writer of micro-batches into one table, each into its own part of it.
 
     A batch that is repeated after a failure replaces what its first attempt
     wrote, so the table holds every batch once. Batch numbers are those of one
     checkpoint: keep table and checkpoint in one folder, as the jobs do, so that
-    a new checkpoint begins a new table.
-
-    ``day`` names a timestamp by whose UTC date the parts are kept first, so that
-    reading some days lists and opens no other.
+    a new checkpoint begins a new table. A batch without rows writes nothing;
+    ``read_parts`` reads the table also where none has any.
     """
 
     def write(rows: DataFrame, batch_id: int) -> None:
-        if day is None:
+        if not rows.isEmpty():
             rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-            return
-        dated = rows.withColumn("day", utc_day(day)).withColumn("batch_id", F.lit(batch_id))
-        (
-            dated.repartition("day")  # a file for each day, not for each day and task
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("day", "batch_id")
-            .parquet(path)
-        )
 
     return write
 

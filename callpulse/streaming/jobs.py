@@ -1,9 +1,10 @@
 """Streaming jobs: figures per snapshot that are whole, stored measures, windows.
 
-A job has one folder. Its checkpoint and the tables it writes are in there, so a
-new checkpoint never meets the tables of an older one. A restarted job reads its
-offsets and goes on after the last finished batch; a batch that failed half-way
-runs again under the same number and replaces its own part of every table.
+A job has one folder. Its checkpoint and the tables it writes are in there. A
+restarted job reads its offsets and goes on after the last finished batch; a batch that
+failed half-way runs again under the same number and replaces its own part of every
+table. If the checkpoint is lost, the next run numbers its batches after those of the
+run before (``ledger``).
 """
 
 from __future__ import annotations
@@ -25,13 +26,18 @@ from callpulse.operators.records import (
     quarantined,
 )
 from callpulse.schema import KPI_KEYS, RECORD_METADATA
-from callpulse.sources.files import parquet_sink, utc_day
+from callpulse.sources.files import utc_day
+from callpulse.streaming.ledger import Ledger
+from callpulse.streaming.store import MeasureStore
 
 BatchWriter = Callable[[DataFrame, int], None]
 
 # Fixed value: the interval at which figures are published unless asked otherwise.
 BATCH_INTERVAL = "3 seconds"
 
+#: Batches after which open parts of the store are closed.
+COMPACT_EVERY = 100
+
 
 def _started(
     writer: DataStreamWriter, folder: str, interval: str, available_now: bool
@@ -42,26 +48,21 @@ def _started(
     return writer.trigger(processingTime=interval).start()
 
 
-def measures_table(folder: str) -> str:
-    return f"{folder}/measures"
-
-
 def stored_measures(spark: SparkSession, folder: str) -> DataFrame:
     """What the job in ``folder`` has stored: measures per snapshot, service and
-    batch, with the columns ``day`` and ``batch_id``."""
-    return spark.read.parquet(measures_table(folder))
+    part, with the columns ``day`` and ``batch_id``."""
+    return MeasureStore(spark, folder).read()
 
 
-def _whole_snapshots(batch: DataFrame, folder: str) -> DataFrame:
+def _whole_snapshots(batch: DataFrame, store: MeasureStore) -> DataFrame:
     """Stored measures of every snapshot that the batch has touched.
 
-    The batch's days, a handful of numbers, prune the read of the store; the
-    snapshots are then matched by a join. No call is read again.
+    The batch's days, a handful of numbers, name the parts of the store that are read;
+    the snapshots are then matched by a join. No call is read again.
     """
     touched = batch.select("pubTime", utc_day("pubTime").alias("day")).distinct()
     days = [row.day for row in touched.select("day").distinct().collect()]
-    store = stored_measures(batch.sparkSession, folder).where(F.col("day").isin(days))
-    whole = store.join(touched.select("pubTime"), "pubTime", "left_semi")
+    whole = store.read(days).join(touched.select("pubTime"), "pubTime", "left_semi")
     return whole.groupBy("pubTime", "services_name").agg(*merged_measures())
 
 
@@ -76,6 +77,7 @@ def publish_figures(
     per: str = "pubTime",
     interval: str = BATCH_INTERVAL,
     available_now: bool = False,
+    compact_every: int = COMPACT_EVERY,
 ) -> StreamingQuery:
     """Start the job from enveloped records to enveloped figures.
 
@@ -88,28 +90,34 @@ def publish_figures(
     ``keys`` are the message keys to publish. Records that cannot be read go to
     ``quarantine`` with their bytes, metadata and reason; none is dropped. The
     decoded batch is kept until both are written, so bound it at the source
-    (``maxOffsetsPerTrigger``, ``maxBytesPerTrigger``).
+    (``maxOffsetsPerTrigger``, ``maxBytesPerTrigger``). The offsets of its records are
+    written to the ledger last.
     """
     unknown = set(keys) - set(KPI_KEYS)
     if unknown or per not in ("pubTime", "batch"):
         raise ValueError(f"no such key or period: {sorted(unknown) or per}")
-    store = parquet_sink(measures_table(folder), day="pubTime")
+    store, ledger = (kind(records.sparkSession, folder) for kind in (MeasureStore, Ledger))
+    first = ledger.begin()
 
     def run(batch: DataFrame, batch_id: int) -> None:
+        batch_id += first
         kept = [c for c in ("key", "value", *RECORD_METADATA) if c in batch.columns]
         parsed = parse_lines(decode_records(batch.select(*kept))).persist()
         measures = service_measures(observations(parsed)).persist()
         try:
             quarantine(quarantined(parsed), batch_id)
-            store(measures, batch_id)
-            if measures.isEmpty():
-                return
-            if per == "pubTime":
-                messages = all_messages(_whole_snapshots(measures, folder))
-            else:
-                messages = batch_messages(measures)
-            wanted = messages.where(F.col("key").isin(list(keys)))
-            publish(frames(wanted, tenant, publishers), batch_id)
+            store.write(measures, batch_id)
+            if not measures.isEmpty():
+                if per == "pubTime":
+                    messages = all_messages(_whole_snapshots(measures, store))
+                else:
+                    messages = batch_messages(measures)
+                wanted = messages.where(F.col("key").isin(list(keys)))
+                publish(frames(wanted, tenant, publishers), batch_id)
+            ledger.write(parsed, batch_id)
+            if batch_id % compact_every == compact_every - 1:
+                store.compact(through=batch_id - 1)
+                ledger.compact(through=batch_id - 1)
         finally:
             measures.unpersist()
             parsed.unpersist()
@@ -123,6 +131,7 @@ def store_measures(
     interval: str = BATCH_INTERVAL,
     available_now: bool = False,
     then: Callable[[int], None] | None = None,
+    compact_every: int = COMPACT_EVERY,
 ) -> StreamingQuery:
     """Start the job that stores each batch's measures.
 
@@ -130,12 +139,14 @@ def store_measures(
     averages would not. ``kpis.figures_of`` gives the figures of the store.
     ``then`` is called with the batch's number once it is stored.
     """
-    store = parquet_sink(measures_table(folder), day="pubTime")
+    store = MeasureStore(calls.sparkSession, folder)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        store(service_measures(batch), batch_id)
+        store.write(service_measures(batch), batch_id)
         if then:
             then(batch_id)
+        if batch_id % compact_every == compact_every - 1:
+            store.compact(through=batch_id - 1)
 
     return _started(calls.writeStream.foreachBatch(run), folder, interval, available_now)
 
