@@ -22,7 +22,7 @@ from callpulse.schema import (
     WAIT_TIME,
 )
 from callpulse.session import shared_folder
-from callpulse.sources.files import parquet_sink, read_parts, remove, stream_files, utc_day
+from callpulse.sources.files import make_folder, move, parquet_sink, read_parts, remove, stream_files, utc_day
 from callpulse.plans.fixtures import (
     TENANT,
     call_lines,
@@ -348,14 +348,14 @@ def _by_case() -> Column:
 def _deliver(
     spark: SparkSession, feed: DataFrame, delivery: Column, out: str, start: Callable[[DataFrame], object], **options: str
 ) -> None:
-    """Writes the feed once, by delivery, and adds one delivery after the other to the
+    """Writes the feed once, by delivery, and moves one delivery after the other to the
     folder that the job streams."""
     feed.withColumn("delivery", delivery).write.partitionBy("delivery").parquet(f"{out}/feed")
-    sent = spark.read.schema(f"{_fields_of(feed)}, delivery int").parquet(f"{out}/feed")
+    make_folder(spark, f"{out}/topic")
     for number in range(DELIVERED):
-        part = sent.where(F.col("delivery") == number).select(feed.columns)
-        part.write.mode("append").parquet(f"{out}/topic")
-        start(stream_files(spark, f"{out}/topic", feed.schema, **options)).awaitTermination()
+        move(spark, f"{out}/feed/delivery={number}", f"{out}/topic/{number}")
+        stream = stream_files(spark, f"{out}/topic", feed.schema, recursiveFileLookup="true", **options)
+        start(stream).awaitTermination()
 
 
 def _fields_of(df: DataFrame) -> str:

@@ -30,6 +30,18 @@ def remove(spark: SparkSession, path: str) -> None:
     system.delete(at, True)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    at, system = located(spark, path)
+    system.mkdirs(at)
+
+
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Moves a file or folder, if there is one."""
+    at, system = located(spark, path)
+    if system.exists(at):
+        system.rename(at, located(spark, to)[0])
+
+
 def read_parts(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """A table of ``parquet_sink``, which has no folder until a row was written."""
     if names_in(spark, path):
