@@ -26,6 +26,7 @@ from callpulse.operators.frames import frames
 from callpulse.operators.kpis import MEASURES, call_measures, figures
 from callpulse.operators.messages import all_messages
 from callpulse.schema import KPI_KEYS
+from callpulse.sources.files import names_in
 from callpulse.streaming.jobs import BATCH_INTERVAL, BatchWriter, _started
 
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
@@ -235,7 +236,11 @@ def publish_windows(
 
 
 def open_windows(spark: SparkSession, folder: str) -> DataFrame:
-    """The windows that the job in ``folder`` still holds: the table of its state."""
+    """The windows that the job in ``folder`` still holds: the table of its state. A job
+    that has had no batch holds none."""
+    if not names_in(spark, f"{folder}/checkpoint/state"):
+        none = "start bigint, end bigint, at bigint, observations bigint"
+        return _with_times(spark.createDataFrame([], f"{none}, {_LONGS}"), "observations")
     state = (
         spark.read.format("statestore")
         .option("path", f"{folder}/checkpoint")
