@@ -3,8 +3,10 @@
 Of every six consecutive 5-word hashes of a text the least is kept (the last of
 equal ones), with its place. Two texts that share ten words in a row have such a
 window in common and keep the same hash in it, so joining the kept hashes of
-documents and benchmark items finds every shared span of ten words. Each hit is
-then extended along its diagonal to the whole shared runs.
+documents and benchmark items finds every pair that shares a span of ten words. Each
+pair's hits are then extended to whole shared runs: those of the document's windows that
+the item has. Places are never paired with places, so texts of few repeated words cost
+no more than others.
 
 Items of fewer than ten words are one window; documents look their windows of
 that length up directly. Words are compared by hashes of 64 bits.
@@ -66,25 +68,25 @@ class BenchmarkIndex:
         offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
         words = Words(data, offsets, _WORD)
         self.ids = np.array(ids, np.int64)
-        self.words, self.first = words.hash, words.first
         sizes = np.diff(words.first)
         grams, whole = words.grams(GRAM)
-        keys, items, places = [], [], []
+        keys, items = [], []
+        spans, _ = words.grams(WINDOW)
+        self.windows = {}  # sorted hashes of each item's windows
         short = defaultdict(list)
         for item, (first, size) in enumerate(zip(words.first[:-1], sizes, strict=True)):
             if size >= WINDOW:
                 own = grams[first : first + size - GRAM + 1]
-                kept = winnow(own, np.zeros(len(own), int))
-                keys.append(own[kept])
+                kept = np.unique(own[winnow(own, np.zeros(len(own), int))])
+                keys.append(kept)
                 items.append(np.full(len(kept), item))
-                places.append(kept)
+                self.windows[item] = np.unique(spans[first : first + size - WINDOW + 1])
             elif size:
                 short[int(size)].append((gram_hashes(words.hash[first : first + size], size)[0], item))
         self.keys = np.concatenate([*keys, np.empty(0, np.uint64)])
         order = np.argsort(self.keys, kind="stable")
         self.keys = self.keys[order]
         self.item = np.concatenate([*items, np.empty(0, int)])[order].astype(np.int64)
-        self.place = np.concatenate([*places, np.empty(0, int)])[order].astype(np.int64)
         self.short = {}
         for size, pairs in short.items():
             pairs.sort()
@@ -101,7 +103,7 @@ class BenchmarkIndex:
             owner = words.text[: len(grams)]
             # A window's last gram must end in the text of its first.
             kept = winnow(grams, np.where(whole, owner, -1 - np.arange(len(grams))))
-            found.append(self._extended(words, grams[kept], kept))
+            found.append(self._extended(words, grams[kept], words.text[kept]))
         if not found:
             return (np.empty(0, np.int64),) * 3
         return tuple(np.concatenate(x) for x in zip(*found, strict=True))
@@ -123,24 +125,22 @@ class BenchmarkIndex:
         start = place[good]
         return start, start + size, items[hit[good]]
 
-    def _extended(self, words: Words, hashes: np.ndarray, places: np.ndarray):
-        at, hit = self._joined(self.keys, hashes)
-        item = self.item[hit]
-        diagonal = places[at] - self.place[hit]  # document place of the item's word 0
-        text = words.text[places[at]]
-        starts, ends, items = [], [], []
-        for t, i, d in np.unique(np.stack([text, item, diagonal], 1), axis=0).tolist():
-            low = max(d, words.first[t])
-            high = min(d + self.first[i + 1] - self.first[i], words.first[t + 1])
-            mine = words.hash[low:high]
-            theirs = self.words[self.first[i] + low - d : self.first[i] + high - d]
-            edges = np.flatnonzero(np.diff(np.concatenate([[0], mine == theirs, [0]]).astype(np.int8)))
-            for start, end in zip(edges[::2], edges[1::2], strict=True):
-                if end - start >= WINDOW:
-                    starts.append(low + start)
-                    ends.append(low + end)
-                    items.append(i)
-        return tuple(np.array(x, np.int64) for x in (starts, ends, items))
+    def _extended(self, words: Words, hashes: np.ndarray, texts: np.ndarray):
+        """Runs of the windows that texts share with the items they share a hash with."""
+        known = self.keys[np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)] == hashes
+        text, at = np.unique(np.stack([texts[known].astype(np.uint64), hashes[known]]), axis=1)
+        place, hit = self._joined(self.keys, at)
+        pairs = np.unique(np.stack([text[place].astype(np.int64), self.item[hit]], 1), axis=0)
+        windows, _ = words.grams(WINDOW)
+        found = [(np.empty(0, np.int64),) * 3]
+        for t, item in pairs.tolist():
+            first, last = words.first[t], words.first[t + 1] - WINDOW + 1
+            own, theirs = windows[first : max(first, last)], self.windows[item]
+            near = np.minimum(np.searchsorted(theirs, own), len(theirs) - 1)
+            edges = np.flatnonzero(np.diff(np.concatenate([[0], theirs[near] == own, [0]]).astype(np.int8)))
+            start, end = first + edges[::2], first + edges[1::2] + WINDOW - 1
+            found.append((start, end, np.full(len(start), item)))
+        return tuple(np.concatenate(x).astype(np.int64) for x in zip(*found, strict=True))
 
 
 def _lists(owner: np.ndarray, size: int, values: pa.Array) -> pa.ListArray:
@@ -209,9 +209,8 @@ def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     text; its columns of these names are replaced."""
     documents = documents.drop("n_words", "hits", "items")
     spark = documents.sparkSession
-    items = benchmark.where("item_id is not null and text is not null").select(
-        F.col("item_id").cast("long"), "text"
-    )
+    known = benchmark.where("item_id is not null and text is not null")
+    items = known.select(F.col("item_id").cast("long"), "text").distinct()
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = size // BLOCK + 1
     marked = documents.select(

@@ -59,6 +59,30 @@ def encoding(ranks_path: str):
     )
 
 
+@functools.cache
+def encoder(ranks_path: str):
+    """A function from a text to its ids: those of ``tokenizers`` on the JSON.
+
+    The byte-pair encoder splits words by a backtracking pattern, which gives up on runs
+    of some hundred thousand blanks. Such a text is encoded by ``tokenizers`` itself.
+    """
+    fast = encoding(ranks_path)
+
+    @functools.cache
+    def plain():
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(os.path.splitext(ranks_path)[0] + ".json")
+
+    def encode(text: str) -> np.ndarray:
+        try:
+            return fast.encode_to_numpy(text, allowed_special="all")
+        except ValueError:
+            return np.array(plain().encode(text, add_special_tokens=False).ids, np.uint32)
+
+    return encode
+
+
 def tokenized(
     documents: DataFrame,
     ranks_path: str | None = None,
@@ -70,7 +94,7 @@ def tokenized(
     path = ranks_path or public_tokenizers.path("byte_bpe_50k.tiktoken")
 
     def run(batches):
-        encode = encoding(path).encode_to_numpy
+        encode = encoder(path)
         for rows in batches:
             at, piece, start, size, ids = [], [], [], [], []
 
@@ -88,7 +112,7 @@ def tokenized(
 
             held = 0
             for k, text in enumerate(rows.column("text")):
-                own = np.append(encode(text.as_py() or "", allowed_special="all"), end_id)
+                own = np.append(encode(text.as_py() or ""), end_id)
                 own = own.astype("<u4")
                 cuts = [0, *range(len(own) % length or length, len(own) + 1, length)]
                 for p, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):

@@ -10,6 +10,9 @@ leaving out what lies below the current k-th score, which starts at that shared
 one and rises with what the shard finds. Equal bounds are never left out, so ties
 go to the smaller vec_id.
 
+Rows are dealt to shards in turn and stored so, once for all blocks. Products are exact;
+where the components are so large that one might not fit a long, the search raises.
+
 Vectors that are null or hold null or non-finite components take no part, nor do
 rows without vec_id. Shorter vectors count as zero beyond their length. A row is a
 query's own if it has the query's vec_id; repeated rows of another id are separate
@@ -158,31 +161,40 @@ class BallTree:
 RESULT = "q int, query_id long, vec_id long, score long"
 
 
+def _shards(batches):
+    """The rows in tables of about ``SHARD_ROWS``."""
+    held = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= SHARD_ROWS:
+            yield pa.Table.from_batches(held)
+            held = []
+    if any(b.num_rows for b in held):
+        yield pa.Table.from_batches(held)
+
+
 def _searcher(sent, width: int, k: int, promising_only: bool):
     def run(batches):
-        tables = [b for b in batches if b.num_rows]
-        if not tables:
-            return
-        shard = pa.Table.from_batches(tables)
         block = sent.value
-        rows = _matrix(shard["v"], width)
-        sizes = [float(np.abs(v).max(initial=0)) for v in (rows, block["v"])]
-        largest = sizes[0] * sizes[1] * max(width, 1)
-        tree = BallTree(shard["id"].to_numpy(), rows, np.float64 if largest < 2**52 else np.int64)
-        for first in range(0, len(block["id"]), TOGETHER):
-            part = slice(first, first + TOGETHER)
-            place, names, scores = tree.search(
-                block["id"][part], block["v"][part], block["floor"][part], k, promising_only
-            )
-            q = place + first
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "q": pa.array(q, pa.int32()),
-                    "query_id": pa.array(block["id"][q]),
-                    "vec_id": pa.array(names),
-                    "score": pa.array(scores),
-                }
-            )
+        for shard in _shards(batches):
+            rows = _matrix(shard["v"], width)
+            sizes = [float(np.abs(v).max(initial=0)) for v in (rows, block["v"])]
+            largest = sizes[0] * sizes[1] * max(width, 1)
+            tree = BallTree(shard["id"].to_numpy(), rows, np.float64 if largest < 2**52 else np.int64)
+            for first in range(0, len(block["id"]), TOGETHER):
+                part = slice(first, first + TOGETHER)
+                place, names, scores = tree.search(
+                    block["id"][part], block["v"][part], block["floor"][part], k, promising_only
+                )
+                q = place + first
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "q": pa.array(q, pa.int32()),
+                        "query_id": pa.array(block["id"][q]),
+                        "vec_id": pa.array(names),
+                        "score": pa.array(scores),
+                    }
+                )
 
     return run
 
@@ -193,9 +205,13 @@ def top_k(
     """The ``k`` rows of highest inner product with each query: query_id, rank from 1,
     vec_id, score. ``is_query`` is a condition on the column ``id``."""
     spark = vectors.sparkSession
-    rows = stored(whole_numbers(vectors, id_column, vector), "vectors")
-    count, width = rows.agg(F.count("*"), F.coalesce(F.max(F.size("v")), F.lit(0))).first()
-    shards = rows.repartition(max(1, -(-count // SHARD_ROWS)), F.xxhash64("id", F.lit(1)))
+    usable = whole_numbers(vectors, id_column, vector)
+    largest = F.array_max(F.transform("v", lambda x: F.abs(x.cast("double"))))
+    size = [F.count("*"), F.coalesce(F.max(F.size("v")), F.lit(0)), F.coalesce(F.max(largest), F.lit(0.0))]
+    count, width, most = usable.agg(*size).first()
+    if (most + 1) ** 2 * width >= 2.0**63:
+        raise OverflowError("an inner product may be larger than a long can hold")
+    rows = shards = stored(usable.repartition(max(1, -(-count // SHARD_ROWS))), "vectors")
     queries = rows.where(is_query).distinct()
     blocks = max(1, -(-queries.count() // BLOCK))
     parts = []

@@ -1,9 +1,12 @@
 import random
+import time
 
+import numpy as np
 import pytest
 
 from brute import contaminated
 from callpulse.llm import decontam
+from callpulse.llm.common import Words
 
 
 def texts_and_items(seed):
@@ -50,6 +53,26 @@ def test_a_passage_in_a_very_long_text(spark):
     assert [tuple(h) for h in marked.hits] == [(200_000, 200_020)] and marked["items"] == [5]
 
 
+@pytest.mark.parametrize("unit", ["w", "a b", "one two three four five six seven"])
+def test_texts_of_repeated_words_cost_no_more(unit):
+    words = (unit.split() * 20_000)[:20_000]
+    item = (unit.split() * 800)[:800]
+    raw = np.frombuffer(" ".join(["x", *words, "y"]).encode(), np.uint8)
+    index = decontam.BenchmarkIndex([1, 2], [" ".join(item), " ".join(["z", *item])])
+    began = time.perf_counter()
+    found = index.matches(Words(raw, np.array([0, len(raw)]), decontam._WORD))
+    assert time.perf_counter() - began < 2
+    assert {(int(a), int(b)) for a, b, _ in zip(*found)} == {(1, 20_001)} and sorted(found[2]) == [0, 1]
+
+
+def test_repeated_rows_of_one_item(spark):
+    item = " ".join(f"i{k}" for k in range(12))
+    items = spark.createDataFrame([(5, item)] * 50 + [(5, "other words")] * 3, "item_id long, text string")
+    docs = spark.createDataFrame([(1, f"x {item}"), (1, f"x {item}"), (2, "other words")], "doc_id long, text string")
+    found = [(r.doc_id, r["items"], [tuple(h) for h in r.hits]) for r in decontam.contamination(docs, items).collect()]
+    assert sorted(found) == [(1, [5], [(1, 13)])] * 2 + [(2, [5], [(0, 2)])]
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     items = spark.createDataFrame([], "item_id long, text string")

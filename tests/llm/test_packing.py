@@ -13,8 +13,7 @@ from callpulse.llm import packing
 from callpulse.llm.queries import packed_pieces
 
 OTHER = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-OTHER.encode_special_tokens = True
-ENCODER = packing.encoding(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+ENCODE = packing.encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
 def ids_of(text):
@@ -30,14 +29,22 @@ def pieces_of(text):
 @settings(max_examples=300, deadline=None)
 @given(st.text())
 def test_ids_are_those_of_tokenizers(text):
-    assert ENCODER.encode_ordinary(text) == OTHER.encode(text, add_special_tokens=False).ids
+    assert ENCODE(text).tolist() == OTHER.encode(text, add_special_tokens=False).ids
 
 
 def test_ids_of_the_corpus_and_of_odd_texts(spark):
     rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()
     odd = ["<|endoftext|> a", " " * 5000, "a" * 5000, "\n \n\t x", "don't I'LL", "　 x", "é" * 999]
     for text in [r[0] for r in rows] + odd:
-        assert ENCODER.encode_ordinary(text) == OTHER.encode(text, add_special_tokens=False).ids
+        assert ENCODE(text).tolist() == OTHER.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("blank", [" ", "\t", "\n", "\r\n", " \n"])
+def test_very_long_runs_of_blanks(spark, blank):
+    text = "a" + blank * (1_000_000 // len(blank)) + "b <|endoftext|>"
+    found = packing.tokenized(spark.createDataFrame([(1, text), (2, "c")], "doc_id long, text string")).collect()
+    pieces = sorted((r.piece, r.start, np.frombuffer(bytes(r.ids), "<u4").tolist()) for r in found if r.doc_id == 1)
+    assert pieces == pieces_of(text) and len([r for r in found if r.doc_id == 2]) == 1
 
 
 def test_added_tokens_are_those_of_the_vocabulary(spark):

@@ -47,6 +47,12 @@ def test_large_numbers_stay_exact(spark):
     assert found(spark, rows, "double") == brute(rows)
 
 
+@pytest.mark.parametrize("large", [1e18, 3e6, -1e300])
+def test_products_beyond_a_long_raise(spark, large):
+    with pytest.raises(OverflowError):
+        found(spark, [(10, [large, large]), (11, [large, large])], "double")
+
+
 @pytest.mark.parametrize("rows", [[], [(10, [1.0])], [(10, [1.0]), (11, None)], [(1, [1.0]), (2, [2.0])]])
 def test_few_rows(spark, rows):
     assert found(spark, rows) == brute(rows)
