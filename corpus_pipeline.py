@@ -45,11 +45,18 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of linked documents the one of least doc_id. Documents without words or
-    without doc_id stay."""
+    """Of linked documents the one of least doc_id, and of rows with one doc_id and one
+    text one row. Documents without words stay, and so do rows without doc_id."""
     linked = neardup.linked_documents(docs)
     gone = linked.where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*(f"`{c}`" for c in docs.columns))
+    kept = docs.join(gone, "doc_id", "left_anti").select(*(f"`{c}`" for c in docs.columns))
+    # Rows of one doc_id are rare, so only they are compared by their texts.
+    again = stored(docs.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated-ids")
+    if again.isEmpty():
+        return kept
+    single = kept.join(again, "doc_id", "left_anti").select(*(f"`{c}`" for c in docs.columns))
+    repeated = kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return single.unionByName(repeated)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
