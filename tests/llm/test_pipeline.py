@@ -98,6 +98,16 @@ def test_odd_rows_and_columns_of_any_name(spark):
     assert docs.where("doc_id is null").count() == 4
 
 
+def test_repeated_rows_leave_one(spark):
+    t, u = "one two three four five six", "quite another text of some more words"
+    rows = [(3, t, "a"), (3, t, "a"), (3, u, "a"), (9, t, "b"), (None, t, "c"), (None, t, "c"), (4, None, "d"), (4, None, "d"), (5, "", "e")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `a.b` string")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, FOLDER)
+    assert kept.dtypes == docs.dtypes
+    found = sorted(((r[0], r[1]) for r in kept.collect()), key=str)
+    assert found == sorted([(3, t), (3, u), (None, t), (None, t), (4, None), (5, "")], key=str)
+
+
 def test_empty_documents(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").where("false")
     for name, stage in corpus_pipeline.STAGES:
