@@ -33,8 +33,9 @@ LIKELY = 0.5
 #: Words up to which a paragraph is one window; otherwise words of a window and from
 #: one window's start to the next.
 WHOLE, WINDOW, STEP = 48, 32, 16
-#: Share of a template's word pairs, or of the paragraph's, that confirms.
-CONFIRMED_TEMPLATE, CONFIRMED_PARAGRAPH = 0.6, 0.85
+#: Share of a template's word pairs, or of the paragraph's, that confirms; a template of
+#: fewer pairs than ``SHORT`` must be there whole, as its rest is common speech.
+CONFIRMED_TEMPLATE, CONFIRMED_PARAGRAPH, SHORT = 0.6, 0.85, 4
 
 # How texts state the licence they are under.
 TEMPLATES = {
@@ -158,7 +159,8 @@ class Templates:
         best, own = 0.0, np.unique(pairs)
         for template in self.pairs[family]:
             common = len(np.intersect1d(template, own, assume_unique=True))
-            best = max(best, common / len(template) / CONFIRMED_TEMPLATE)
+            needed = CONFIRMED_TEMPLATE if len(template) >= SHORT else 1
+            best = max(best, common / len(template) / needed)
             if common >= 4:
                 best = max(best, common / max(len(own), 1) / CONFIRMED_PARAGRAPH)
         return best

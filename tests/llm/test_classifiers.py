@@ -141,6 +141,13 @@ def test_corpus_licenses_are_all_found(spark, licenses):
     assert spans.where("s rlike '\\n'").isEmpty()
 
 
+def test_common_speech_is_no_short_licence(spark, licenses):
+    said = ["The new record was released under the label and sold well.", "Released under the Unlicense."]
+    df = spark.createDataFrame(list(enumerate(said)), "doc_id long, text string")
+    found = {r.doc_id: [x.family for x in r.licenses] for r in license_scan.scan(df, licenses).collect()}
+    assert found == {0: [], 1: ["unlicense"]}
+
+
 def test_licenses_of_an_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert license_scan.scan(df, license_scan.fit(df)).count() == 0
