@@ -285,6 +285,36 @@ FROM service_messages WHERE value <> '[]'""",
         select="""SELECT 'read' AS records, count(*) AS n FROM framed
 UNION ALL SELECT 'used', count(*) FROM framed WHERE reason IS NULL
 UNION ALL SELECT 'set_aside', count(*) FROM framed WHERE reason IS NOT NULL""",
+    ),
+    "stream_replay": _with(select=_PER_PUB_TIME),
+    "stream_outbox": _with(
+        """d AS (
+  SELECT *, (epoch_ms(pubTime) // 300000 * 1000000000000 + CAST(caseId AS BIGINT)) % 3
+    AS delivery FROM calls
+), versions AS (SELECT DISTINCT pubTime AS snapshot, delivery AS version FROM d
+), known AS (SELECT d.*, version FROM d JOIN versions ON pubTime = snapshot AND delivery <= version)""",
+        f"f AS (SELECT version, pubTime, {_ALL_FIGURES} FROM known GROUP BY version, pubTime)",
+        f"""waiting AS (
+  SELECT version, pubTime, services_name AS service, count(*) AS n
+  FROM known WHERE {_QUEUED} GROUP BY version, pubTime, services_name
+), lists AS (
+  SELECT version, pubTime, '[' || string_agg('{{"pubTime":' || epoch_ms(pubTime)
+    || ',"serviceName":"' || service || '","amtOfQueuersInService":' || n || '}}',
+    ',' ORDER BY service) || ']' AS services FROM waiting GROUP BY version, pubTime
+), m AS (
+  SELECT 'average-handling-time' AS key, pubTime, version, avgCallDuration,
+    CAST(NULL AS BIGINT) AS queueSize, CAST(NULL AS BIGINT) AS callsAmt,
+    CAST(NULL AS DOUBLE) AS ratioServed, CAST(NULL AS DOUBLE) AS queueDuration,
+    CAST(NULL AS VARCHAR) AS services FROM f WHERE avgCallDuration IS NOT NULL
+  UNION ALL SELECT 'queuers-and-callers', pubTime, version, NULL, queueSize, callsAmt,
+    ratioServed, NULL, NULL FROM f
+  UNION ALL SELECT 'wait-time', pubTime, version, NULL, NULL, NULL, NULL, queueDuration, NULL
+    FROM f WHERE queueDuration IS NOT NULL
+  UNION ALL SELECT 'queuers-per-service', pubTime, version, NULL, NULL, NULL, NULL, NULL,
+    services FROM lists
+)""",
+        select="""SELECT key, epoch_ms(pubTime) AS pubTime, version, CAST(1 AS BIGINT) AS sent,
+  avgCallDuration, queueSize, callsAmt, ratioServed, queueDuration, services FROM m""",
     ),
     "stream_restart": _with(select=_PER_PUB_TIME),
     "stream_store_compaction": _with(select=_PER_PUB_TIME),

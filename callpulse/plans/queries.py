@@ -22,7 +22,16 @@ from callpulse.schema import (
     WAIT_TIME,
 )
 from callpulse.session import shared_folder
-from callpulse.sources.files import make_folder, move, parquet_sink, read_parts, remove, stream_files, utc_day
+from callpulse.sources.files import (
+    make_folder,
+    move,
+    parquet_sender,
+    parquet_sink,
+    read_parts,
+    remove,
+    stream_files,
+    utc_day,
+)
 from callpulse.plans.fixtures import (
     TENANT,
     call_lines,
@@ -33,6 +42,7 @@ from callpulse.plans.fixtures import (
 )
 from callpulse.streaming import jobs, state
 from callpulse.streaming.ledger import Ledger
+from callpulse.streaming.outbox import HEADERS, Outbox, message_id
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -377,23 +387,32 @@ def _publish(spark: SparkSession, feed: DataFrame, out: str) -> None:
     _deliver(spark, feed, delivery, out, start, maxBytesPerTrigger=str(8 << 30))
 
 
-def _last_messages(published: DataFrame) -> DataFrame:
-    """The last message of each key and snapshot, decoded from the written frames,
-    with its fields as text (the services of one snapshot stay one list)."""
+def _stamped(published: DataFrame) -> DataFrame:
+    """``key, batch_id, line, pubTime`` of the written frames. An empty list of services
+    names no snapshot and is left out."""
     decoded = records.decode_record_keys(records.decode_records(published))
-    # An empty list of services names no snapshot.
-    stamped = decoded.select(
+    return decoded.select(
         "key", "batch_id", "line", F.get_json_object("line", "$[0].pubTime").cast("bigint").alias("pubTime")
     ).where(F.col("pubTime").isNotNull())
-    last = stamped.groupBy("key", "pubTime").agg(F.max_by("line", "batch_id").alias("line"))
+
+
+def _last_messages(published: DataFrame) -> DataFrame:
+    """The last message of each key and snapshot, decoded from the written frames."""
+    last = _stamped(published).groupBy("key", "pubTime")
+    return _message_fields(last.agg(F.max_by("line", "batch_id").alias("line")))
+
+
+def _message_fields(lines: DataFrame, *keep: str) -> DataFrame:
+    """The fields of each message (the services of one snapshot stay one list)."""
 
     def field(name: str, kind: str):
         return F.get_json_object("line", f"$[0].{name}").cast(kind).alias(name)
 
     services = F.when(F.col("key") == QUEUERS_PER_SERVICE, F.col("line"))
-    return last.select(
+    return lines.select(
         "key",
         "pubTime",
+        *keep,
         field("avgCallDuration", "double"),
         field("queueSize", "bigint"),
         field("callsAmt", "bigint"),
@@ -432,6 +451,89 @@ def stream_snapshot_state(spark: SparkSession, folder: str) -> DataFrame:
     return _last_messages(read_parts(spark, f"{out}/published", FRAMES))
 
 
+class _StoppedWhileSending(Exception):
+    pass
+
+
+@_named
+def stream_outbox(spark: SparkSession, folder: str) -> DataFrame:
+    """Every version of every message as the receiver has it, and how often: the job dies
+    with half of the first batch sent, and with the second sent and not confirmed."""
+    out = shared_folder(spark, "outbox")
+    append = parquet_sender(f"{out}/received")
+    received = f"key binary, value binary, headers {HEADERS}"
+    feed = call_records(calls(spark, folder))
+    runs = iter(range(DELIVERED))
+
+    def half(rows: DataFrame) -> None:
+        append(rows.where(F.crc32("value") % 2 == 0))
+        raise _StoppedWhileSending
+
+    def whole(rows: DataFrame) -> None:
+        append(rows)
+        raise _StoppedWhileSending
+
+    def start(stream: DataFrame):
+        def run(send: Callable[[DataFrame], None]):
+            outbox = Outbox(
+                spark, out, send, lambda version: read_parts(spark, f"{out}/received", received)
+            )
+            return jobs.publish_figures(
+                stream,
+                publish=outbox,
+                quarantine=parquet_sink(f"{out}/quarantine"),
+                folder=out,
+                tenant=TENANT,
+                available_now=True,
+            )
+
+        stopping = {0: half, 1: whole}.get(next(runs))
+        if stopping:
+            try:
+                run(stopping).awaitTermination()
+            except StreamingQueryException as stopped:
+                if _StoppedWhileSending.__name__ not in str(stopped):
+                    raise
+        return run(append)
+
+    _deliver(spark, feed, F.pmod("offset", F.lit(DELIVERED)).cast("int"), out, start)
+    version = F.split_part(message_id(), F.lit(":"), F.lit(1)).cast("bigint")
+    sent = read_parts(spark, f"{out}/received", received).withColumn("batch_id", version)
+    versions = _stamped(sent).groupBy("key", "pubTime", F.col("batch_id").alias("version"))
+    counted = versions.agg(F.min("line").alias("line"), F.count("*").alias("sent"))
+    return _message_fields(counted, "version", "sent")
+
+
+@_named
+def stream_replay(spark: SparkSession, folder: str) -> DataFrame:
+    """Figures of the damaged records once they have been put right: after the deliveries
+    the whole feed without damage is sent as repairs, twice. Only what was set aside is
+    used of it, and the second time nothing."""
+    out = shared_folder(spark, "replay")
+    all_calls = calls(spark, folder)
+    good = call_records(all_calls)
+    make_folder(spark, f"{out}/repairs")
+
+    def start(feed: DataFrame):
+        return jobs.publish_figures(
+            feed,
+            publish=parquet_sink(f"{out}/published"),
+            quarantine=parquet_sink(f"{out}/quarantine"),
+            folder=out,
+            tenant=TENANT,
+            available_now=True,
+            repairs=stream_files(spark, f"{out}/repairs", good.schema, recursiveFileLookup="true"),
+        )
+
+    delivery = F.pmod("offset", F.lit(DELIVERED)).cast("int")
+    _deliver(spark, damaged_records(all_calls), delivery, out, start)
+    topic = stream_files(spark, f"{out}/topic", good.schema, recursiveFileLookup="true")
+    for time in range(2):
+        good.write.parquet(f"{out}/repairs/{time}")
+        start(topic).awaitTermination()
+    return kpis.figures_of(jobs.stored_measures(spark, out))
+
+
 LATENESS = "1 hour"
 
 

@@ -85,6 +85,15 @@ def parquet_sink(path: str):
     return write
 
 
+def parquet_sender(path: str):
+    """Appends the frames of an outbox to one table. A task that fails leaves nothing."""
+
+    def send(frames: DataFrame) -> None:
+        frames.write.mode("append").parquet(path)
+
+    return send
+
+
 def utc_day(instant: str):
     """Days from 1970 to the instant in the named column, in UTC."""
     return F.floor(F.unix_seconds(instant) / 86_400).cast("int")

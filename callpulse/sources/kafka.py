@@ -71,6 +71,25 @@ def read_records(spark: SparkSession, options: dict[str, str]) -> DataFrame:
     return spark.read.format("kafka").options(**options).load()
 
 
+def kafka_sender(options: dict[str, str]):
+    """Appends the frames of an outbox, with their headers."""
+
+    def send(frames: DataFrame) -> None:
+        frames.select("key", "value", "headers").write.format("kafka").options(**options).save()
+
+    return send
+
+
+def kafka_received(spark: SparkSession, options: dict[str, str]):
+    """What a topic has got, for an outbox: messages with their headers. Bound the read by
+    ``startingTimestamp`` among the ``options``, some time before the job was stopped."""
+
+    def received(version: int) -> DataFrame:
+        return read_records(spark, {**options, "includeHeaders": "true"})
+
+    return received
+
+
 def kafka_sink(options: dict[str, str]):
     """Writer of one micro-batch of frames, for the streaming jobs."""
 

@@ -27,7 +27,7 @@ from callpulse.operators.records import (
 )
 from callpulse.schema import KPI_KEYS, RECORD_METADATA
 from callpulse.sources.files import utc_day
-from callpulse.streaming.ledger import Ledger
+from callpulse.streaming.ledger import PLACE, Ledger
 from callpulse.streaming.store import MeasureStore
 
 BatchWriter = Callable[[DataFrame, int], None]
@@ -66,6 +66,23 @@ def _whole_snapshots(batch: DataFrame, store: MeasureStore) -> DataFrame:
     return whole.groupBy("pubTime", "services_name").agg(*merged_measures())
 
 
+_REPAIR = "_repair"
+
+
+def _first_of_each(repairs: DataFrame) -> DataFrame:
+    """One of the good repairs of each offset: that of the least bytes."""
+    row = F.struct(*repairs.columns).alias("row")
+    least = repairs.groupBy(*PLACE).agg(F.min_by(row, "value").alias("row"))
+    return least.select("row.*")
+
+
+def _usable(repairs: DataFrame, ledger: Ledger, batch_id: int) -> DataFrame:
+    """Parsed lines of the repairs that count: good ones of records that are set aside
+    and not yet repaired. The others are left before anything of them is decoded."""
+    due = repairs.join(ledger.outstanding(without=batch_id), list(PLACE), "left_semi")
+    return _first_of_each(parse_lines(decode_records(due)).where("reason is null").drop("tracing"))
+
+
 def publish_figures(
     records: DataFrame,
     publish: BatchWriter,
@@ -78,6 +95,7 @@ def publish_figures(
     interval: str = BATCH_INTERVAL,
     available_now: bool = False,
     compact_every: int = COMPACT_EVERY,
+    repairs: DataFrame | None = None,
 ) -> StreamingQuery:
     """Start the job from enveloped records to enveloped figures.
 
@@ -92,20 +110,43 @@ def publish_figures(
     decoded batch is kept until both are written, so bound it at the source
     (``maxOffsetsPerTrigger``, ``maxBytesPerTrigger``). The offsets of its records are
     written to the ledger last.
+
+    ``repairs`` is a stream of records that were set aside and have been put right, under
+    their own topic, partition and offset. Each corrects the figures of its snapshot, once:
+    repairs of a record that was good, is repaired already or was never read change
+    nothing, as do those that still cannot be read, and a repair sent before its record is
+    lost. Of several good ones in a batch that of the least bytes counts. Both streams
+    need Kafka's metadata, and a checkpoint that was begun with ``repairs`` keeps them.
+    Only what is set aside by such a job can be repaired.
     """
     unknown = set(keys) - set(KPI_KEYS)
     if unknown or per not in ("pubTime", "batch"):
         raise ValueError(f"no such key or period: {sorted(unknown) or per}")
     store, ledger = (kind(records.sparkSession, folder) for kind in (MeasureStore, Ledger))
     first = ledger.begin()
+    kept = [c for c in ("key", "value", *RECORD_METADATA) if c in records.columns]
+    if repairs is not None:
+        fixed = repairs.select(*kept, F.lit(True).alias(_REPAIR))
+        records = records.select(*kept, F.lit(False).alias(_REPAIR)).unionByName(fixed)
 
     def run(batch: DataFrame, batch_id: int) -> None:
         batch_id += first
-        kept = [c for c in ("key", "value", *RECORD_METADATA) if c in batch.columns]
-        parsed = parse_lines(decode_records(batch.select(*kept))).persist()
-        measures = service_measures(observations(parsed)).persist()
+        fresh = batch if repairs is None else batch.where(~F.col(_REPAIR))
+        parsed = parse_lines(decode_records(fresh.select(*kept))).persist()
+        held = [parsed]
         try:
             quarantine(quarantined(parsed), batch_id)
+            calls = observations(parsed)
+            if repairs is not None:
+                ledger.write_set_aside(quarantined(parsed), batch_id)
+                fixed = batch.where(_REPAIR).select(*kept)
+                if not fixed.isEmpty():
+                    usable = _usable(fixed, ledger, batch_id).persist()
+                    held.append(usable)
+                    ledger.write_repaired(usable, batch_id)
+                    calls = calls.unionByName(observations(usable))
+            measures = service_measures(calls).persist()
+            held.append(measures)
             store.write(measures, batch_id)
             if not measures.isEmpty():
                 if per == "pubTime":
@@ -119,8 +160,8 @@ def publish_figures(
                 store.compact(through=batch_id - 1)
                 ledger.compact(through=batch_id - 1)
         finally:
-            measures.unpersist()
-            parsed.unpersist()
+            for table in reversed(held):
+                table.unpersist()
 
     return _started(records.writeStream.foreachBatch(run), folder, interval, available_now)
 

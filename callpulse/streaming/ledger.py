@@ -11,7 +11,13 @@ begins, as its records will be read again.
 The source must give the records of a partition in the order of their offsets, as Kafka
 does. Gaps, as compaction leaves them, are no matter.
 
+Records that a job has set aside can be sent again, repaired, under their old offsets. The
+ledger names the offsets that were set aside and those repaired since, so that a repair is
+used once, and one of a record that was good never.
+
     ledger/batch_id=B             offsets of batch B
+    set-aside/batch_id=B          offsets that batch B has set aside
+    repaired/batch_id=B           offsets whose repairs batch B has used
     ledger-closed/batch_id=B      intervals of all batches up to B
     ledger-pointers/B             the closed part in force is that of the largest B
 """
@@ -27,6 +33,8 @@ from callpulse.sources.files import mark, names_in, remove
 from callpulse.streaming.store import MeasureStore, numbers_in
 
 SCHEMA = "topic string, partition int, first bigint, until bigint, records bigint, run bigint"
+PLACE = ("topic", "partition", "offset")
+PLACES = "topic string, partition int, offset bigint"
 #: Numbers of one run; the batches of run r begin at r times this.
 RUN = 1_000_000_000
 
@@ -55,10 +63,15 @@ class Ledger:
         if run is None:
             finished = self.closed_through() + self.parts()
             store = MeasureStore(self.spark, self.folder)
+            places = [(kind, b) for kind in ("set-aside", "repaired") for b in self._batches(kind)]
             begun = {b // RUN for day in store.open_days() for b in store.open_parts(day)}
+            begun |= {b // RUN for _, b in places}
             for left in begun:
                 last = max((n for n in finished if n // RUN == left), default=left * RUN - 1)
                 store.forget(last + 1, (left + 1) * RUN - 1)
+                for kind, batch in places:
+                    if last < batch < (left + 1) * RUN:
+                        remove(self.spark, f"{self.folder}/{kind}/batch_id={batch}")
             run = max([*(n // RUN for n in finished), *begun], default=-1) + 1
             mark(self.spark, f"{self.folder}/checkpoint/run-{run}")
         return run * RUN
@@ -81,6 +94,36 @@ class Ledger:
             read = self.spark.createDataFrame([], SCHEMA)
         read.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/batch_id={number}")
 
+    def _batches(self, kind: str) -> list[int]:
+        return numbers_in(names_in(self.spark, f"{self.folder}/{kind}"), "batch_id=")
+
+    def _write_places(self, kind: str, records: DataFrame, number: int) -> None:
+        """The offsets of the records. An attempt before may have left others."""
+        path = f"{self.folder}/{kind}/batch_id={number}"
+        places = records.where("offset is not null").select(*PLACE)
+        if places.isEmpty():
+            remove(self.spark, path)
+        else:
+            places.write.mode("overwrite").parquet(path)
+
+    def _places(self, kind: str, without: int | None = None) -> DataFrame:
+        paths = [f"{self.folder}/{kind}/batch_id={b}" for b in self._batches(kind) if b != without]
+        if not paths:
+            return self.spark.createDataFrame([], PLACES)
+        return self.spark.read.schema(PLACES).parquet(*paths)
+
+    def write_set_aside(self, records: DataFrame, number: int) -> None:
+        self._write_places("set-aside", records, number)
+
+    def write_repaired(self, records: DataFrame, number: int) -> None:
+        self._write_places("repaired", records, number)
+
+    def outstanding(self, without: int | None = None) -> DataFrame:
+        """The offsets that are set aside and not yet repaired; ``without`` the repairs of
+        a batch, for that batch itself when it is repeated."""
+        repaired = self._places("repaired", without)
+        return self._places("set-aside").distinct().join(repaired, list(PLACE), "left_anti")
+
     def read(self, through: int | None = None) -> DataFrame:
         """The intervals: of the closed part, and of batches after it, up to ``through``."""
         last = max(self.closed_through(), default=-1)
