@@ -346,6 +346,9 @@ WHERE kind <> 'late' AND pubTime = last GROUP BY kind, windowStart, windowEnd, p
     ),
 }
 _ORACLES["stream_snapshot_state"] = _ORACLES["stream_publish_figures"]
+_ORACLES["stream_kpi_combined"] = _ORACLES["kpi_combined"]
+_ORACLES["stream_kpi_current"] = f"""SELECT * FROM ({_ORACLES['kpi_combined']})
+WHERE pubTime = (SELECT max(pubTime) FROM ({_ORACLES['kpi_combined']}))"""
 
 
 def oracles() -> dict[str, str]:

@@ -40,6 +40,7 @@ from callpulse.plans.fixtures import (
     damaged_lines,
     damaged_records,
 )
+from callpulse.streaming import feed as feeds
 from callpulse.streaming import jobs, state
 from callpulse.streaming.ledger import Ledger
 from callpulse.streaming.outbox import HEADERS, Outbox, message_id
@@ -534,6 +535,55 @@ def stream_replay(spark: SparkSession, folder: str) -> DataFrame:
     return kpis.figures_of(jobs.stored_measures(spark, out))
 
 
+def _changes(
+    spark: SparkSession, folder: str, purpose: str, delivery: Callable[[DataFrame], Column]
+) -> str:
+    """The folder in which the job of changes has written both its feeds."""
+    out = shared_folder(spark, purpose)
+
+    def start(feed: DataFrame):
+        return feeds.publish_changes(
+            feed,
+            changes=parquet_sink(f"{out}/changes"),
+            current=parquet_sink(f"{out}/current"),
+            folder=out,
+            available_now=True,
+            compact_every=2,
+        )
+
+    all_calls = calls(spark, folder)
+    _deliver(spark, all_calls, delivery(all_calls), out, start)
+    return out
+
+
+@_named
+def stream_kpi_combined(spark: SparkSession, folder: str) -> DataFrame:
+    """All figures as the changes make them; every delivery has a part of each snapshot."""
+    out = _changes(spark, folder, "kpi-combined", lambda calls: _by_case())
+    made = read_parts(spark, f"{out}/changes", feeds.CHANGES)
+    return feeds.apply_changes(made, *feeds.CHANGE_KEYS).select(
+        "pubTime", "kpi", "dimension", "value"
+    )
+
+
+@_named
+def stream_kpi_current(spark: SparkSession, folder: str) -> DataFrame:
+    """The figures of the last snapshot as the changes make them. The first third of the
+    days comes first, then the last third, and what lies between comes late."""
+
+    def third(calls: DataFrame) -> Column:
+        first, last = calls.agg(F.min(utc_day("pubTime")), F.max(utc_day("pubTime"))).first()
+        span = F.lit(last) - F.lit(first) + 1
+        place = F.floor((utc_day("pubTime") - F.lit(first)) * DELIVERED / span)
+        return F.pmod(place * 2, F.lit(DELIVERED)).cast("int")
+
+    out = _changes(spark, folder, "kpi-current", third)
+    made = read_parts(spark, f"{out}/current", feeds.CHANGES)
+    return feeds.apply_changes(made, *feeds.CURRENT_KEYS).select(
+        "pubTime", "kpi", "dimension", "value"
+    )
+
+
 LATENESS = "1 hour"
 
 
