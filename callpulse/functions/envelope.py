@@ -11,8 +11,9 @@ the key envelope so.
 
 Decoding is built-in too for records in the plain form that every publisher of
 this feed writes: a payload and nothing else, or a key with its three texts, of
-any length. Anything else (tracing, unknown fields, damage) goes to protobuf's own
-parser in an Arrow UDF.
+any length. Payloads with tracing are walked field by field, in a fold over the
+record. Anything else (unknown fields, damage) goes to protobuf's own parser in an
+Arrow UDF.
 """
 
 from __future__ import annotations
@@ -232,23 +233,28 @@ def _let(name: str, value: str, body: str) -> str:
 
 def _varint_at(value: str, position: str) -> str:
     """The number written at ``position`` (``n``) and where it ends (``next``); null
-    unless it takes one to five bytes and no more than it needs."""
+    unless it takes one to five bytes, no more than it needs, and is no more than
+    there are bytes in all. Nearly all take one byte, which is read by itself."""
+    byte = f"substring({value}, {position}, 1)"
     five = f"CAST(conv(rpad(hex(substring({value}, {position}, 5)), 10, '0'), 16, 10) AS BIGINT)"
     cases = []
-    for count in range(1, _MAX_LENGTH_BYTES + 1):
+    for count in range(2, _MAX_LENGTH_BYTES + 1):
         shifts = [8 * (_MAX_LENGTH_BYTES - 1 - index) for index in range(count)]
         groups = [
             f"shiftleft(shiftright(x, {shift}) & 127, {7 * index})"
             for index, shift in enumerate(shifts)
         ]
-        needed = "" if count == 1 else f" AND shiftright(x, {shifts[-1]}) & 127 > 0"
+        number = " | ".join(groups)
+        needed = f"shiftright(x, {shifts[-1]}) & 127 > 0 AND ({number}) <= octet_length({value})"
+        ends = f"x & {128 << shifts[-1]} = 0"
         cases.append(
-            f"WHEN x & {128 << shifts[-1]} = 0{needed} THEN named_struct("
-            f"'n', {' | '.join(groups)}, 'next', CAST({position} AS INT) + {count})"
+            f"WHEN {ends} AND {needed} THEN named_struct("
+            f"'n', {number}, 'next', CAST({position} AS INT) + {count})"
         )
-        if count > 1:
-            cases.append(f"WHEN x & {128 << shifts[-1]} = 0 THEN NULL")
-    return _let("x", five, f"CASE {' '.join(cases)} END")
+        cases.append(f"WHEN {ends} THEN NULL")
+    return f"""CASE WHEN {byte} < X'80' THEN named_struct(
+      'n', CAST(ascii(CAST({byte} AS STRING)) AS BIGINT), 'next', CAST({position} AS INT) + 1)
+      ELSE {_let("x", five, f"CASE {' '.join(cases)} END")} END"""
 
 
 def plain_key(value: str) -> Column:
@@ -325,14 +331,73 @@ def sole_payload(value: str) -> Column:
     return F.expr(f"CASE {' '.join(cases)} END")
 
 
-def data_envelope(value: str, payload: str) -> Column:
-    """The decoded envelope in ``value``, given its ``sole_payload``."""
-    other = F.expr(f"CASE WHEN {payload} IS NULL THEN {value} END")
+def walked_envelope(value: str, payload: str) -> Column:
+    """The decoded envelope of a record that holds payloads and tracing entries only,
+    repeated and in any order; null if there is a ``sole_payload`` or anything else.
+
+    Each step of the fold reads one field at ``at``: of the envelope, or of the tracing
+    entry that ends before ``until``. A field begins with one of two tags, so the bytes
+    equal to these are as many steps as there can be; those left over do nothing.
+    """
+    entries = "array<struct<key:string,value:string>>"
+    size = f"octet_length({value})"
+    latin = f"decode({value}, 'ISO-8859-1')"
+    tags = f"{size} - length(translate({latin}, concat(chr(10), chr(18)), ''))"
+    body = f"substring({value}, h.next, int(h.n))"
+    end = "(h.next + int(h.n))"
+
+    def state(at="s.at", until="s.until", key="s.key", text="s.text", binary="s.binary", found="s.found"):
+        return (
+            f"named_struct('at', {at}, 'until', {until}, 'key', {key}, 'text', {text}, "
+            f"'binary', {binary}, 'found', {found})"
+        )
+
+    def with_entry(key: str, text: str) -> str:
+        return f"concat(s.found, array(named_struct('key', {key}, 'value', {text})))"
+
+    def entry_field(key: str, text: str) -> str:
+        more = state(at=end, key=key, text=text)
+        done = state(at=end, until="0", found=with_entry(key, text))
+        return f"CASE WHEN {end} = s.until THEN {done} ELSE {more} END"
+
+    text = f"CAST({body} AS STRING)"
+    step = f"""CASE
+      WHEN h IS NULL OR {end} > (CASE WHEN s.until > 0 THEN s.until ELSE {size} + 1 END)
+        THEN {state(at="CAST(NULL AS INT)")}
+      WHEN s.until = 0 AND tag = X'0A' THEN {state(at=end, binary=body)}
+      WHEN s.until = 0 AND tag = X'12' AND h.n = 0
+        THEN {state(at="h.next", found=with_entry("''", "''"))}
+      WHEN s.until = 0 AND tag = X'12' THEN {state(at="h.next", until=end, key="''", text="''")}
+      WHEN tag = X'0A' AND is_valid_utf8({text}) THEN {entry_field(text, "s.text")}
+      WHEN tag = X'12' AND is_valid_utf8({text}) THEN {entry_field("s.key", text)}
+      ELSE {state(at="CAST(NULL AS INT)")} END"""
+    step = _let("h", _varint_at(value, "(s.at + 1)"), step)
+    step = _let("tag", f"substring({value}, s.at, 1)", step)
+    begin = state("1", "0", "''", "''", "CAST(NULL AS BINARY)", f"CAST(array() AS {entries})")
+    # Of entries with one key the last counts.
+    last = "filter(s.found, (e, i) -> NOT exists(slice(s.found, i + 2, size(s.found)), f -> f.key = e.key))"
+    once = f"""CASE WHEN size(array_distinct(s.found.key)) = size(s.found) THEN s.found ELSE {last} END"""
+    return F.expr(
+        f"""CASE WHEN {payload} IS NULL THEN aggregate(
+          CASE WHEN {tags} > 0 THEN sequence(1, {tags}) ELSE CAST(array() AS array<int>) END,
+          {begin},
+          (s, i) -> CASE WHEN s.at IS NULL OR s.at > {size} THEN s ELSE {step} END,
+          s -> CASE WHEN s.at > {size} THEN named_struct(
+            'binary', s.binary, 'tracing', map_from_entries({once}), 'envelope_ok', true) END) END"""
+    )
+
+
+def data_envelope(value: str, payload: str, walked: str) -> Column:
+    """The decoded envelope in ``value``, given its ``sole_payload`` and, for records
+    without one, its ``walked_envelope``."""
+    other = F.expr(f"CASE WHEN {payload} IS NULL AND {walked} IS NULL THEN {value} END")
     return F.when(
         F.col(payload).isNotNull(), _envelope(F.col(payload), True)
     ).otherwise(
         F.coalesce(
-            F.arrow_udf(_parse_data, DATA_ENVELOPE)(other), _envelope(F.lit(None).cast("binary"), False)
+            F.col(walked),
+            F.arrow_udf(_parse_data, DATA_ENVELOPE)(other),
+            _envelope(F.lit(None).cast("binary"), False),
         )
     )
 

@@ -12,6 +12,7 @@ from callpulse.functions.envelope import (
     payload_text,
     plain_key,
     sole_payload,
+    walked_envelope,
 )
 from callpulse.functions.timestamps import parse_timestamp
 from callpulse.operators.once import evaluate_once
@@ -27,7 +28,8 @@ BAD_TIMESTAMP = "bad_timestamp"
 def decode_records(records: DataFrame) -> DataFrame:
     """Add ``line``, ``tracing`` and ``envelope_ok`` from ``value``; keep the rest."""
     framed = evaluate_once(records, _payload=sole_payload("value"))
-    decoded = framed.withColumn("_data", data_envelope("value", "_payload"))
+    walked = framed.withColumn("_walked", walked_envelope("value", "_payload"))
+    decoded = walked.withColumn("_data", data_envelope("value", "_payload", "_walked"))
     return decoded.select(
         *[F.col(name) for name in records.columns],
         payload_text(F.col("_data")).alias("line"),

@@ -146,6 +146,69 @@ def test_envelopes_with_more_than_a_payload(spark):
     ]
 
 
+def data_variants():
+    """Random messages of payloads and tracing, put together from parts in any order,
+    and short ones damaged at every byte."""
+    data, pick = codec._message_classes()["Data"], random.Random(7)
+
+    def text(*sizes):
+        return "".join(pick.choice("ab\n\x12é ") for _ in range(pick.choice(sizes)))
+
+    def field(tag, body):
+        size, out = len(body), b""
+        while size > 127:
+            out, size = out + bytes([size & 127 | 128]), size >> 7
+        return bytes([tag]) + out + bytes([size]) + body
+
+    for _ in range(300):
+        raw = b""
+        for _ in range(pick.randrange(6)):
+            if pick.random() < 0.4:
+                raw += field(0x0A, text(0, 1, 130, 20_000).encode())
+            else:
+                parts = [field(pick.choice([0x0A, 0x12]), text(0, 1, 2, 140).encode()) for _ in range(pick.randrange(4))]
+                raw += field(0x12, b"".join(parts))
+        yield raw
+    short = data(binary=b"hi", tracing={"a": "1", "bc": ""}).SerializeToString()
+    for index in range(len(short)):
+        yield short[:index]
+        for value in (0, 1, 2, 0x0A, 0x12, 0x7F, 0x80, 0xFF):
+            yield short[:index] + bytes([value]) + short[index + 1 :]
+            yield short[:index] + bytes([value]) + short[index:]
+
+
+def test_data_decodes_as_protobuf_does(spark):
+    cases = list(data_variants())
+    rows = codec._data_structs(pa.array(cases, pa.binary())).to_pylist()
+    found = decoded(spark, *cases)
+    assert len(found) > 500
+    for raw, row, expected in zip(cases, found, rows):
+        line = (expected["binary"] or b"").decode(errors="replace")
+        if line.isascii():  # of broken UTF-8 the number of replaced bytes may differ
+            assert row[0] == line, raw.hex()
+        assert row[1:] == (dict(expected["tracing"]), expected["envelope_ok"]), raw.hex()
+
+
+def test_traced_payloads_do_not_reach_python(spark):
+    data = codec._message_classes()["Data"]
+    tracing = {f"k{i}": "v" * i for i in range(200)}
+    cases = [data(binary=b"x" * n, tracing=tracing).SerializeToString() for n in (0, 1, 200, 70_000)]
+    cases += [data(tracing={"": ""}).SerializeToString(), b"", b"\x12\x00", b"\x12\x02\x0a\x00"]
+    df = spark.createDataFrame([(c, None) for c in cases], "value binary, payload binary")
+    walked = df.select(codec.walked_envelope("value", "payload").alias("w")).collect()
+    assert [dict(r.w.tracing) for r in walked[:4]] == [tracing] * 4
+    assert all(r.w is not None for r in walked) and [r.w.binary for r in walked[5:]] == [None] * 3
+
+
+@pytest.mark.parametrize("size", ["ffffffff7f", "ffffffff0f", "8080808008", "ffffff7f"])
+def test_sizes_beyond_the_record_are_damage(spark, size):
+    raw = bytes.fromhex("0a" + size + "0a0161")
+    assert decoded(spark, raw, raw[:1] + raw[1:].replace(b"a", b"b")) == [("", {}, False)] * 2
+    for key in (raw, bytes.fromhex("0a0c0a0a0a") + bytes.fromhex(size) + b"acme"):
+        (row,) = decoded_keys(spark, key)
+        assert row.asDict(recursive=True) == by_protobuf(key)
+
+
 def test_damaged_data_gives_the_empty_envelope(spark):
     data = codec._message_classes()["Data"]
     long = data(binary=b"z" * 127).SerializeToString()
