@@ -685,18 +685,8 @@ def stream_quarantine(spark: SparkSession, folder: str) -> DataFrame:
 
 @_named
 def stream_accounting(spark: SparkSession, folder: str) -> DataFrame:
-    """Of the same damaged records: how many were read, used and set aside. No records
-    give counts of 0."""
+    """Of the same damaged records: how many were read, used and set aside, as the job has
+    counted them while it read them. No records give counts of 0."""
     out = shared_folder(spark, "accounting")
     _publish(spark, damaged_records(calls(spark, folder)), out)
-    one = F.lit(1).cast("bigint").alias("n")
-    parts = {
-        "read": Ledger(spark, out).read().select(F.col("records").alias("n")),
-        "used": jobs.stored_measures(spark, out).select(F.col("calls").alias("n")),
-        "set_aside": read_parts(spark, f"{out}/quarantine", "reason string").select(one),
-    }
-    counted = [
-        rows.agg(F.lit(what).alias("records"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
-        for what, rows in parts.items()
-    ]
-    return reduce(DataFrame.union, counted)
+    return Ledger(spark, out).counts().unpivot([], ["read", "used", "set_aside"], "records", "n")

@@ -29,6 +29,7 @@ from callpulse.schema import KPI_KEYS, RECORD_METADATA
 from callpulse.sources.files import utc_day
 from callpulse.streaming.ledger import PLACE, Ledger
 from callpulse.streaming.store import MeasureStore
+from callpulse.streaming.watch import watched
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -125,6 +126,7 @@ def publish_figures(
     store, ledger = (kind(records.sparkSession, folder) for kind in (MeasureStore, Ledger))
     first = ledger.begin()
     kept = [c for c in ("key", "value", *RECORD_METADATA) if c in records.columns]
+    records = watched(records)
     if repairs is not None:
         fixed = repairs.select(*kept, F.lit(True).alias(_REPAIR))
         records = records.select(*kept, F.lit(False).alias(_REPAIR)).unionByName(fixed)

@@ -33,6 +33,8 @@ from callpulse.sources.files import mark, names_in, remove
 from callpulse.streaming.store import MeasureStore, numbers_in
 
 SCHEMA = "topic string, partition int, first bigint, until bigint, records bigint, run bigint"
+#: Of these records, how many were used and how many were set aside.
+COUNTED = f"{SCHEMA}, used bigint, set_aside bigint"
 PLACE = ("topic", "partition", "offset")
 PLACES = "topic string, partition int, offset bigint"
 #: Numbers of one run; the batches of run r begin at r times this.
@@ -77,8 +79,10 @@ class Ledger:
         return run * RUN
 
     def write(self, records: DataFrame, number: int) -> None:
-        """The offsets of a batch's records. A batch without records, or of a source
+        """The offsets of a batch's records, and how many of them were used and set aside
+        by their ``reason``, in one pass. A batch without records, or of a source
         without offsets, has a part without rows all the same: it is finished."""
+        good = F.col("reason").isNull() if "reason" in records.columns else F.lit(True)
         if {"topic", "partition", "offset"} <= set(records.columns):
             read = (
                 records.where("offset is not null")
@@ -88,10 +92,12 @@ class Ledger:
                     (F.max("offset") + 1).alias("until"),
                     F.count("*").alias("records"),
                     F.lit(number // RUN).cast("bigint").alias("run"),
+                    F.count_if(good).alias("used"),
+                    F.count_if(~good).alias("set_aside"),
                 )
             )
         else:
-            read = self.spark.createDataFrame([], SCHEMA)
+            read = self.spark.createDataFrame([], COUNTED)
         read.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/batch_id={number}")
 
     def _batches(self, kind: str) -> list[int]:
@@ -124,8 +130,8 @@ class Ledger:
         repaired = self._places("repaired", without)
         return self._places("set-aside").distinct().join(repaired, list(PLACE), "left_anti")
 
-    def read(self, through: int | None = None) -> DataFrame:
-        """The intervals: of the closed part, and of batches after it, up to ``through``."""
+    def _rows(self, through: int | None = None) -> DataFrame:
+        """The rows of the closed part, and of batches after it, up to ``through``."""
         last = max(self.closed_through(), default=-1)
         paths = [f"{self.path}-closed/batch_id={last}"] if last >= 0 else []
         paths += [
@@ -134,21 +140,36 @@ class Ledger:
             if b > last and (through is None or b <= through)
         ]
         if not paths:
-            return self.spark.createDataFrame([], SCHEMA)
-        return self.spark.read.schema(SCHEMA).parquet(*paths)
+            return self.spark.createDataFrame([], COUNTED)
+        return self.spark.read.schema(COUNTED).parquet(*paths)
 
-    def intervals(self, through: int | None = None) -> DataFrame:
-        """As ``read``, with intervals of one run that touch or overlap made one. The
-        number of batches, not of records, bounds them."""
+    def read(self, through: int | None = None) -> DataFrame:
+        """The intervals: of the closed part, and of batches after it, up to ``through``."""
+        return self._rows(through).drop("used", "set_aside")
+
+    def counts(self) -> DataFrame:
+        """One row: how many records the finished batches have ``read``, ``used`` and
+        ``set_aside``. No record is read again for it, and a batch that was repeated, or
+        tasks of which were, counts once."""
+        sums = {"read": "records", "used": "used", "set_aside": "set_aside"}
+        return self._rows().agg(*(F.coalesce(F.sum(of), F.lit(0)).alias(n) for n, of in sums.items()))
+
+    def _merged(self, through: int | None) -> DataFrame:
         order = Window.partitionBy("topic", "partition", "run").orderBy("first", "until")
         before = F.max("until").over(order.rowsBetween(Window.unboundedPreceding, -1))
         begins = F.when(before.isNull() | (F.col("first") > before), 1).otherwise(0)
-        rows = self.read(through).withColumn("begins", begins)
+        rows = self._rows(through).withColumn("begins", begins)
         island = F.sum("begins").over(order.rowsBetween(Window.unboundedPreceding, 0))
         merged = rows.withColumn("island", island).groupBy("topic", "partition", "run", "island")
-        return merged.agg(
-            F.min("first").alias("first"), F.max("until").alias("until"), F.sum("records").alias("records")
-        ).select("topic", "partition", "first", "until", "records", "run")
+        sums = [F.sum(name).alias(name) for name in ("records", "used", "set_aside")]
+        return merged.agg(F.min("first").alias("first"), F.max("until").alias("until"), *sums).select(
+            "topic", "partition", "first", "until", "records", "run", "used", "set_aside"
+        )
+
+    def intervals(self, through: int | None = None) -> DataFrame:
+        """As ``read``, with intervals of one run that touch or overlap made one. The
+        number of batches, not of records, bounds them."""
+        return self._merged(through).drop("used", "set_aside")
 
     def compact(self, through: int) -> None:
         """Merges the intervals of all batches up to ``through``, which are finished, and
@@ -163,7 +184,7 @@ class Ledger:
             remove(self.spark, f"{self.path}-closed/batch_id={batch}")
         if any(last < batch <= through for batch in self.parts()):
             closed = f"{self.path}-closed/batch_id={through}"
-            self.intervals(through).coalesce(1).write.mode("overwrite").parquet(closed)
+            self._merged(through).coalesce(1).write.mode("overwrite").parquet(closed)
             mark(self.spark, f"{self.path}-pointers/{through}")
 
     def ends(self) -> list[tuple[str, int, int]]:
