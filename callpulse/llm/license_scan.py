@@ -5,7 +5,13 @@ Every line of a text is a paragraph. Logistic regression over its hashed word
 probability. It is trained on variants of the templates (cut, framed by other words,
 with words lost) and on paragraphs of a bounded sample of the corpus that no
 template confirms; held-out ones calibrate the probability of being a licence at
-all. A prediction counts if it is likely and a template of the family confirms it.
+all.
+
+A paragraph is read in sliding windows. Neighbouring windows in which a family is likely
+are one run, and a run counts if a template of the family confirms one of its windows,
+by that window's own word pairs. A paragraph may have several licences: of runs that rest
+on the same words, as those of kindred licences do, the likeliest stays, and ties go to
+the better match.
 
 Null and empty texts have no paragraphs. Every input row gives one row.
 """
@@ -22,17 +28,16 @@ from pyspark.sql import functions as F
 from callpulse.llm.common import Words, bytes_where, gram_hashes, map_arrow, text_blocks
 from callpulse.llm.learning import Platt, sample_of
 
-#: Documents whose paragraphs are trained on, and such paragraphs, at most (about).
+#: Documents whose paragraphs are trained on, and pieces of such paragraphs, at most (about).
 SAMPLE_DOCUMENTS, SAMPLE_PARAGRAPHS = 2_000, 3_000
-#: Characters of such a paragraph that are trained on; scanned ones are read whole.
-SAMPLE_LENGTH = 2_000
+#: Characters of the pieces in which they are drawn, each as likely as any other.
+PIECE = 2_000
 VARIANTS = 60
 ENTRIES_BITS = 15
 SIZES = (1, 2, 3)
 LIKELY = 0.5
-#: Words up to which a paragraph is one window; otherwise words of a window and from
-#: one window's start to the next.
-WHOLE, WINDOW, STEP = 48, 32, 16
+#: Words of a window and from one window's start to the next.
+WINDOW, STEP = 32, 16
 #: Share of a template's word pairs, or of the paragraph's, that confirms; a template of
 #: fewer pairs than ``SHORT`` must be there whole, as its rest is common speech.
 CONFIRMED_TEMPLATE, CONFIRMED_PARAGRAPH, SHORT = 0.6, 0.85, 4
@@ -154,16 +159,25 @@ class Templates:
             for family, texts in TEMPLATES.items()
         }
 
-    def match(self, family: str, pairs: np.ndarray) -> float:
-        """How well a template confirms a paragraph: 1 is all of it; below 1 is not."""
-        best, own = 0.0, np.unique(pairs)
+    def found(self, family: str, pairs: np.ndarray) -> tuple[float, np.ndarray]:
+        """How well a template confirms a window: 1 is all that is needed, below 1 is not
+        confirmed. And which of the window's pairs it shares; of equal ones, the closest
+        together."""
+        best = (0.0, 0, np.empty(0, np.int64))
+        size = len(np.unique(pairs))
         for template in self.pairs[family]:
-            common = len(np.intersect1d(template, own, assume_unique=True))
+            at = np.flatnonzero(np.isin(pairs, template))
+            common = len(np.unique(pairs[at]))
             needed = CONFIRMED_TEMPLATE if len(template) >= SHORT else 1
-            best = max(best, common / len(template) / needed)
+            match = common / len(template) / needed
             if common >= 4:
-                best = max(best, common / max(len(own), 1) / CONFIRMED_PARAGRAPH)
-        return best
+                match = max(match, common / max(size, 1) / CONFIRMED_PARAGRAPH)
+            if len(at):
+                best = max(best, (match, int(at[0] - at[-1]), at), key=lambda b: b[:2])
+        return best[0], best[2]
+
+    def match(self, family: str, pairs: np.ndarray) -> float:
+        return self.found(family, pairs)[0]
 
     def confirms_any(self, pairs: np.ndarray) -> bool:
         return any(self.match(family, pairs) >= 1 for family in self.pairs)
@@ -221,11 +235,18 @@ class LicenseModel:
     templates: Templates
 
 
-def _best_windows(words: Words, regression: SparseRegression) -> tuple[np.ndarray, np.ndarray]:
-    """Per paragraph: log odds of a licence against none in its best window, and the
-    likeliest licence there. A window is the whole paragraph if that is short."""
-    count = len(words.first) - 1
-    odds, family = np.full(count, -np.inf), np.zeros(count, int)
+@dataclass
+class Windows:
+    """The windows of a block's paragraphs, in order: whose they are, their words, and the
+    log odds of each family against none."""
+
+    owner: np.ndarray
+    start: np.ndarray
+    end: np.ndarray
+    odds: np.ndarray
+
+
+def _windows(words: Words, regression: SparseRegression) -> Windows:
     value = np.zeros((len(words.hash) + 1, regression.w.shape[1]), np.float32)
     for size in SIZES:
         grams, whole = words.grams(size)
@@ -234,20 +255,66 @@ def _best_windows(words: Words, regression: SparseRegression) -> tuple[np.ndarra
     sums = np.zeros((len(value) + 1, value.shape[1]))
     np.cumsum(value, axis=0, out=sums[1:])
     sizes = np.diff(words.first)
-    number = np.where(sizes <= WHOLE, 1, -(-(sizes - WINDOW) // STEP) + 1) * (sizes > 0)
-    owner = np.repeat(np.arange(count), number)
+    room = np.maximum(sizes - WINDOW, 0)  # from the first window's start to the last one's
+    number = (-(-room // STEP) + 1) * (sizes > 0)
+    owner = np.repeat(np.arange(len(sizes)), number)
     nth = np.arange(len(owner)) - np.repeat(np.cumsum(number) - number, number)
-    long = sizes[owner] > WHOLE
-    start = words.first[owner] + np.minimum(nth * STEP, np.where(long, sizes[owner] - WINDOW, 0))
-    end = np.where(long, start + WINDOW, words.first[owner + 1])
+    start = words.first[owner] + np.minimum(nth * STEP, room[owner])
+    end = np.minimum(start + WINDOW, words.first[owner + 1])
     decided = (sums[end] - sums[start]) / np.sqrt(np.maximum(3 * (end - start) - 3, 1))[:, None]
     decided += regression.b
-    if len(owner):
-        order = np.lexsort((decided[:, 1:].max(1) - decided[:, 0], owner))
-        last = order[np.append(np.flatnonzero(np.diff(owner[order])), len(order) - 1)]
-        odds[owner[last]] = decided[last, 1:].max(1) - decided[last, 0]
-        family[owner[last]] = 1 + decided[last, 1:].argmax(1)
-    return odds, family
+    return Windows(owner, start, end, decided[:, 1:] - decided[:, :1])
+
+
+def _best_odds(words: Words, regression: SparseRegression) -> np.ndarray:
+    """Per paragraph the log odds of a licence in its best window."""
+    windows = _windows(words, regression)
+    best = np.full(len(words.first) - 1, -np.inf)
+    np.maximum.at(best, windows.owner, windows.odds.max(1))
+    return best
+
+
+@dataclass
+class Run:
+    """Windows ``first`` to ``last`` of a paragraph in which a family is likely. ``on`` are
+    the places of the words that its template shares with the window it confirms."""
+
+    owner: int
+    family: int
+    first: int
+    last: int
+    score: float
+    match: float
+    on: np.ndarray
+
+
+def _runs(words: Words, windows: Windows, model: LicenseModel) -> list[Run]:
+    """The confirmed runs, by paragraph and place, with none that rests on the words of
+    a likelier one."""
+    score = model.calibrate(windows.odds.ravel()).reshape(windows.odds.shape)
+    found: dict[int, list[tuple[tuple[float, float], Run]]] = {}
+    for family in range(score.shape[1]):
+        likely = np.flatnonzero(score[:, family] >= LIKELY)
+        apart = (np.diff(likely) > 1) | (np.diff(windows.owner[likely]) > 0)
+        for run in np.split(likely, np.flatnonzero(apart) + 1):
+            best = None
+            for k in run:
+                pairs = _pairs(words.hash[windows.start[k] : windows.end[k]])
+                match, on = model.templates.found(model.families[family + 1], pairs)
+                if match >= 1 and (best is None or match > best.match):
+                    on = np.unique([windows.start[k] + on, windows.start[k] + on + 1])
+                    best = Run(windows.owner[k], family + 1, run[0], run[-1], score[k, family], match, on)
+            if best:
+                rank = (windows.odds[run, family].max(), best.match)
+                found.setdefault(best.owner, []).append((rank, best))
+    kept = []
+    for _, runs in sorted(found.items()):
+        own: list[Run] = []
+        for _, run in sorted(runs, key=lambda r: r[0], reverse=True):
+            if all(2 * len(np.intersect1d(run.on, o.on)) < min(len(run.on), len(o.on)) for o in own):
+                own.append(run)
+        kept += sorted(own, key=lambda r: r.on[0])
+    return kept
 
 
 def _variants(fillers: list[str]) -> tuple[list[str], list[int]]:
@@ -274,18 +341,22 @@ def _variants(fillers: list[str]) -> tuple[list[str], list[int]]:
     return texts, classes
 
 
-def fit(documents: DataFrame, limit: int = SAMPLE_DOCUMENTS) -> LicenseModel:
-    """Trains on variants of the templates and on paragraphs of about ``limit`` texts."""
+def fit(
+    documents: DataFrame, limit: int = SAMPLE_DOCUMENTS, pieces: int = SAMPLE_PARAGRAPHS
+) -> LicenseModel:
+    """Trains on variants of the templates and on ``pieces`` of the paragraphs of about
+    ``limit`` texts, drawn from all their pieces."""
     templates = Templates()
     drawn = sample_of(documents.where("doc_id is not null").select("doc_id", "text"), "doc_id", limit)
     paragraph = F.explode(F.split("text", "\n")).alias("paragraph")
     rows = (
         drawn.select(paragraph)
-        .select(F.substring("paragraph", 1, SAMPLE_LENGTH).alias("paragraph"))
+        .select("paragraph", F.explode(F.expr(f"sequence(1, greatest(length(paragraph), 1), {PIECE})")).alias("at"))
+        .select(F.expr(f"substring(paragraph, at, {PIECE})").alias("paragraph"))
         .where("trim(paragraph) <> ''")
         .distinct()
         .orderBy(F.xxhash64("paragraph"))
-        .limit(SAMPLE_PARAGRAPHS)
+        .limit(pieces)
         .collect()
     )
     corpus = [r[0] for r in rows] + OTHERS * 20
@@ -309,7 +380,7 @@ def fit(documents: DataFrame, limit: int = SAMPLE_DOCUMENTS) -> LicenseModel:
 
     regression = SparseRegression(len(families)).fit(*part(order[:cut]))
     held = order[cut:]
-    odds, _ = _best_windows(_paragraphs_of([texts[k] for k in held]), regression)
+    odds = _best_odds(_paragraphs_of([texts[k] for k in held]), regression)
     read = np.isfinite(odds)
     calibrate = Platt().fit(odds[read], (y[held][read] > 0).astype(float))
     return LicenseModel(families, regression, calibrate, templates)
@@ -318,7 +389,8 @@ def fit(documents: DataFrame, limit: int = SAMPLE_DOCUMENTS) -> LicenseModel:
 def scan(documents: DataFrame, model: LicenseModel) -> DataFrame:
     """The documents, all their columns, with ``paragraphs`` (their number) and
     ``licenses``: family, paragraph (from 0), start and end in code points, score and
-    match of every licensed paragraph. Input columns of these names are replaced."""
+    match of every confirmed run of windows. A run ends where the next word begins, or
+    with its line. Input columns of these names are replaced."""
     documents = documents.drop("paragraphs", "licenses")
     sent = documents.sparkSession.sparkContext.broadcast(model)
     schema = documents.select(
@@ -340,25 +412,23 @@ def scan(documents: DataFrame, model: LicenseModel) -> DataFrame:
             found = [[] for _ in range(rows.num_rows)]
             if len(owner):
                 words = Words(data, starts, _WORD)
-                odds, likeliest = _best_windows(words, own.regression)
-                score = np.where(np.isfinite(odds), own.calibrate(np.maximum(odds, -1e6)), 0)
+                windows = _windows(words, own.regression)
                 points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
                 first = np.searchsorted(owner, owner)
-                for k in np.flatnonzero(score >= LIKELY):
-                    family = own.families[likeliest[k]]
-                    hashes = words.hash[words.first[k] : words.first[k + 1]]
-                    match = own.templates.match(family, _pairs(hashes))
-                    if match >= 1:
-                        text = owner[k]
-                        end = starts[k + 1] - (starts[k + 1] > starts[k] and data[starts[k + 1] - 1] == 10)
-                        base = points[offsets[text]]
-                        found[text].append(
-                            {
-                                "family": family, "paragraph": int(k - first[k]),
-                                "start": int(points[starts[k]] - base), "end": int(points[end] - base),
-                                "score": float(score[k]), "match": float(min(match, 1.0)),
-                            }
-                        )
+                for run in _runs(words, windows, own) if len(windows.owner) else ():
+                    k = run.owner
+                    line_end = starts[k + 1] - (starts[k + 1] > starts[k] and data[starts[k + 1] - 1] == 10)
+                    begin, end = windows.start[run.first], windows.end[run.last]
+                    begin = starts[k] if begin == words.first[k] else words.start[begin]
+                    end = line_end if end == words.first[k + 1] else words.start[end]
+                    base = points[offsets[owner[k]]]
+                    found[owner[k]].append(
+                        {
+                            "family": own.families[run.family], "paragraph": int(k - first[k]),
+                            "start": int(points[begin] - base), "end": int(points[end] - base),
+                            "score": float(run.score), "match": float(min(run.match, 1.0)),
+                        }
+                    )
             number = np.bincount(owner, minlength=rows.num_rows)
             yield pa.RecordBatch.from_arrays(
                 [*rows.columns, pa.array(number, pa.int64()), pa.array(found, kind)],

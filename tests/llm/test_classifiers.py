@@ -148,6 +148,60 @@ def test_common_speech_is_no_short_licence(spark, licenses):
     assert found == {0: [], 1: ["unlicense"]}
 
 
+MIT = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction."
+APACHE = "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."
+
+
+def test_several_licences_of_one_line(spark, licenses):
+    prose = "The town held a fair on the green and many came to see it. " * 30
+    said = [
+        f"{MIT} {prose}{APACHE}",
+        f"{MIT}\n{APACHE}",
+        "Released under the MIT License and Licensed under CC BY 4.0.",
+        f"{prose}{MIT} {prose}",
+        prose,
+    ]
+    df = spark.createDataFrame(list(enumerate(said)), "doc_id long, text string")
+    found = {r.doc_id: r for r in license_scan.scan(df, licenses).collect()}
+    families = {i: [x.family for x in r.licenses] for i, r in found.items()}
+    assert families == {0: ["mit", "apache"], 1: ["mit", "apache"], 2: ["mit", "cc-by"], 3: ["mit"], 4: []}
+    for i, texts in ((0, (MIT, APACHE)), (3, (MIT,))):
+        for run, text in zip(found[i].licenses, texts):
+            assert text in said[i][run.start : run.end] and run.end - run.start < len(text) + 400
+
+
+def test_runs_are_those_of_a_plain_scan(licenses):
+    """Every window by itself, in plain Python over lists of words."""
+    lines = [t for texts in license_scan.TEMPLATES.values() for t in texts] + license_scan.OTHERS
+    r = np.random.default_rng(2)
+    texts = [" ".join(r.choice(lines, r.integers(1, 7))) for _ in range(60)]
+    words = license_scan._paragraphs_of(texts)
+    windows = license_scan._windows(words, licenses.regression)
+    places = []
+    for k, text in enumerate(texts):
+        size = int(words.first[k + 1] - words.first[k])
+        starts = sorted({*range(0, max(size - license_scan.WINDOW, 0), license_scan.STEP), max(size - license_scan.WINDOW, 0)})
+        places += [(k, s, min(s + license_scan.WINDOW, size)) for s in starts]
+    assert places == [(k, s - words.first[k], e - words.first[k]) for k, s, e in zip(windows.owner, windows.start, windows.end)]
+    score = licenses.calibrate(windows.odds.ravel()).reshape(windows.odds.shape)
+    confirmed = set()
+    for n, (k, s, e) in enumerate(places):
+        own = words.hash[words.first[k] + s : words.first[k] + e]
+        pairs = {int(p) for a in range(len(own) - 1) for p in license_scan._pairs(own[a : a + 2])}
+        for f, family in enumerate(licenses.families[1:]):
+            for template in licenses.templates.pairs[family]:
+                common = len(pairs & {int(p) for p in template})
+                needed = 0.6 if len(template) >= 4 else 1
+                whole = common >= needed * len(template) or common >= 4 and common >= 0.85 * len(pairs)
+                if whole and score[n, f] >= license_scan.LIKELY:
+                    confirmed.add((k, family))
+    runs = license_scan._runs(words, windows, licenses)
+    found = {(x.owner, licenses.families[x.family]) for x in runs}
+    assert found <= confirmed
+    # What is left out rests on the words of a likelier run in the same line.
+    assert {k for k, _ in confirmed} == {k for k, _ in found} and len(found) > 60
+
+
 def test_licenses_of_an_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert license_scan.scan(df, license_scan.fit(df)).count() == 0
