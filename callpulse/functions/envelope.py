@@ -40,28 +40,23 @@ def _binary(*values: int) -> str:
     return f"X'{bytes(values).hex().upper()}'"
 
 
-def _varint_number(value: str, count: int) -> str:
-    """The number whose ``count`` bytes are the varint of ``value``.
+def _varint(value: str) -> str:
+    """The varint of an int: groups of seven bits, least significant first, of which all
+    but the last have the high bit set.
 
-    A varint holds groups of seven bits, least significant first, and all but
-    the last have the high bit set.
+    Each group is looked up in the bytes from 0 to 255, which takes little code: a stage
+    whose method is too long is not compiled by the JVM, and takes several times as long.
     """
     groups = []
-    for index in range(count):
-        group = f"(shiftright(bigint({value}), {7 * index}) & 127)"
-        if index < count - 1:
-            group = f"({group} | 128)"
-        groups.append(f"shiftleft({group}, {8 * (count - 1 - index)})")
-    return f"({' | '.join(groups)})"
-
-
-def _varint(value: str) -> str:
-    cases = [
-        f"WHEN {value} < {1 << 7 * count} THEN {_varint_number(value, count)}"
-        for count in range(1, _MAX_LENGTH_BYTES)
-    ]
-    longest = _varint_number(value, _MAX_LENGTH_BYTES)
-    return f"unhex(hex(CASE {' '.join(cases)} ELSE {longest} END))"
+    for index in range(_MAX_LENGTH_BYTES):
+        place = f"(shiftright({value}, {7 * index}) & 127)"
+        if index < _MAX_LENGTH_BYTES - 1:
+            place += f" + CASE WHEN {value} < {1 << 7 * index + 7} THEN 1 ELSE 129 END"
+        else:
+            place += " + 1"
+        group = f"substring({_binary(*range(256))}, {place}, 1)"
+        groups.append(f"CASE WHEN {value} < {1 << 7 * index} THEN X'' ELSE {group} END" if index else group)
+    return f"concat({', '.join(groups)})"
 
 
 def length_delimited(number: int, body: str) -> str:
@@ -316,19 +311,17 @@ def sole_payload(value: str) -> Column:
     The size of the record alone says how many bytes the payload's length must
     take, so the record is compared with the one prefix it can start with.
     """
-    cases = []
-    for count in range(1, _MAX_LENGTH_BYTES + 1):
-        length = f"(octet_length({value}) - {1 + count})"
-        shortest = 0 if count == 1 else 1 << 7 * (count - 1)
-        longest = (1 << 7 * count) - 1
-        tag = f"bigint({0x0A << 8 * count})"
-        prefix = f"unhex(hex({tag} | {_varint_number(length, count)}))"
-        cases.append(
-            f"WHEN {length} BETWEEN {shortest} AND {longest} "
-            f"AND substring({value}, 1, {1 + count}) = {prefix} "
-            f"THEN substring({value}, {2 + count})"
-        )
-    return F.expr(f"CASE {' '.join(cases)} END")
+    size = f"octet_length({value})"
+    cases = [
+        f"WHEN {size} < {(1 << 7 * count) + 1 + count} THEN {1 + count}"
+        for count in range(1, _MAX_LENGTH_BYTES)
+    ]
+    taken = f"CASE {' '.join(cases)} ELSE {1 + _MAX_LENGTH_BYTES} END"
+    prefix = f"concat(X'0A', {_varint(f'({size} - ({taken}))')})"
+    return F.expr(
+        f"""CASE WHEN {size} >= 2 AND substring({value}, 1, {taken}) = {prefix}
+                 THEN substring({value}, 1 + {taken}) END"""
+    )
 
 
 def walked_envelope(value: str, payload: str) -> Column:
