@@ -7,6 +7,8 @@ moves. No observation of a group means no row, so an empty input publishes
 nothing.
 """
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -113,14 +115,14 @@ def merged_measures() -> list[Column]:
     return [F.sum(name).alias(name) for name in MEASURES]
 
 
-def service_measures(calls: DataFrame, *by: str) -> DataFrame:
+def service_measures(calls: DataFrame, *by: str, extra: Collection[Column] = ()) -> DataFrame:
     """All figures' counts and totals in one pass, per ``pubTime`` and service.
 
     The result is small and additive: micro-batches store it, and every figure
-    follows from it without reading the calls again.
+    follows from it without reading the calls again. ``extra`` are more aggregates.
     """
     by = by or ("pubTime",)
-    return calls.groupBy(*by, "services_name").agg(*_measures())
+    return calls.groupBy(*by, "services_name").agg(*_measures(), *extra)
 
 
 def figures() -> dict[str, Column]:

@@ -27,7 +27,7 @@ from callpulse.operators.records import (
 )
 from callpulse.schema import KPI_KEYS, RECORD_METADATA
 from callpulse.sources.files import utc_day
-from callpulse.streaming.ledger import PLACE, Ledger
+from callpulse.streaming.ledger import PLACE, Ledger, offsets_read
 from callpulse.streaming.store import MeasureStore
 from callpulse.streaming.watch import watched
 
@@ -67,6 +67,30 @@ def _whole_snapshots(batch: DataFrame, store: MeasureStore) -> DataFrame:
     return whole.groupBy("pubTime", "services_name").agg(*merged_measures())
 
 
+_BAD = "_bad"
+
+
+def _reduced(parsed: DataFrame) -> DataFrame:
+    """All that a batch gives, in one pass over its records: measures and the ledger's
+    counts of the good ones, by snapshot and service, and each of the others (``_bad``),
+    with how many there are of it. What is kept of a batch is then as large as its groups
+    and its bad records, not as its feed."""
+    bad = F.struct(*quarantined(parsed).columns)
+    places = [name for name in ("topic", "partition") if name in parsed.columns]
+    marked = parsed.withColumn(_BAD, F.when(F.col("reason").isNotNull(), bad))
+    # A bad record's own fields are in no group: they may be anything.
+    group = [F.when(F.col(_BAD).isNull(), F.col(f)).alias(f) for f in ("pubTime", "services_name")]
+    own = [c for c in marked.columns if c not in ("pubTime", "services_name")]
+    marked = marked.select(*own, *group)
+    return service_measures(marked, _BAD, *places, "pubTime", extra=offsets_read(parsed))
+
+
+def _set_aside(reduced: DataFrame) -> DataFrame:
+    """The bad records, each as often as it was read."""
+    bad = reduced.where(F.col(_BAD).isNotNull())
+    return bad.select(F.explode(F.sequence(F.lit(1), "calls")), f"{_BAD}.*").drop("col")
+
+
 _REPAIR = "_repair"
 
 
@@ -108,8 +132,8 @@ def publish_figures(
 
     ``keys`` are the message keys to publish. Records that cannot be read go to
     ``quarantine`` with their bytes, metadata and reason; none is dropped. The
-    decoded batch is kept until both are written, so bound it at the source
-    (``maxOffsetsPerTrigger``, ``maxBytesPerTrigger``). The offsets of its records are
+    batch is read once; its measures and bad records are kept until both are written, so
+    bound it at the source (``maxOffsetsPerTrigger``, ``maxBytesPerTrigger``). The offsets of its records are
     written to the ledger last.
 
     ``repairs`` is a stream of records that were set aside and have been put right, under
@@ -134,20 +158,21 @@ def publish_figures(
     def run(batch: DataFrame, batch_id: int) -> None:
         batch_id += first
         fresh = batch if repairs is None else batch.where(~F.col(_REPAIR))
-        parsed = parse_lines(decode_records(fresh.select(*kept))).persist()
-        held = [parsed]
+        reduced = _reduced(parse_lines(decode_records(fresh.select(*kept)))).persist()
+        held = [reduced]
         try:
-            quarantine(quarantined(parsed), batch_id)
-            calls = observations(parsed)
+            bad = _set_aside(reduced)
+            quarantine(bad, batch_id)
+            measures = reduced.where(F.col(_BAD).isNull()).select("pubTime", "services_name", *MEASURES)
             if repairs is not None:
-                ledger.write_set_aside(quarantined(parsed), batch_id)
+                ledger.write_set_aside(bad, batch_id)
                 fixed = batch.where(_REPAIR).select(*kept)
                 if not fixed.isEmpty():
                     usable = _usable(fixed, ledger, batch_id).persist()
                     held.append(usable)
                     ledger.write_repaired(usable, batch_id)
-                    calls = calls.unionByName(observations(usable))
-            measures = service_measures(calls).persist()
+                    measures = measures.unionByName(service_measures(observations(usable)))
+            measures = measures.groupBy("pubTime", "services_name").agg(*merged_measures()).persist()
             held.append(measures)
             store.write(measures, batch_id)
             if not measures.isEmpty():
@@ -157,7 +182,7 @@ def publish_figures(
                     messages = batch_messages(measures)
                 wanted = messages.where(F.col("key").isin(list(keys)))
                 publish(frames(wanted, tenant, publishers), batch_id)
-            ledger.write(parsed, batch_id)
+            ledger.write(reduced, batch_id)
             if batch_id % compact_every == compact_every - 1:
                 store.compact(through=batch_id - 1)
                 ledger.compact(through=batch_id - 1)

@@ -26,7 +26,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from callpulse.sources.files import mark, names_in, remove
@@ -41,6 +41,21 @@ PLACES = "topic string, partition int, offset bigint"
 RUN = 1_000_000_000
 
 
+def offsets_read(records: DataFrame) -> list[Column]:
+    """What the ledger counts of the records of a group; none without ``offset``."""
+    if "offset" not in records.columns:
+        return []
+    there = F.col("offset").isNotNull()
+    good = F.col("reason").isNull() if "reason" in records.columns else F.lit(True)
+    return [
+        F.min("offset").alias("first"),
+        (F.max("offset") + 1).alias("until"),
+        F.count("offset").alias("records"),
+        F.count_if(there & good).alias("used"),
+        F.count_if(there & ~good).alias("set_aside"),
+    ]
+
+
 class Ledger:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
@@ -80,21 +95,19 @@ class Ledger:
 
     def write(self, records: DataFrame, number: int) -> None:
         """The offsets of a batch's records, and how many of them were used and set aside
-        by their ``reason``, in one pass. A batch without records, or of a source
-        without offsets, has a part without rows all the same: it is finished."""
-        good = F.col("reason").isNull() if "reason" in records.columns else F.lit(True)
+        by their ``reason``, in one pass; of records, or of what ``offsets_read`` has
+        counted. A batch without records, or of a source without offsets, has a part
+        without rows all the same: it is finished."""
+        run = F.lit(number // RUN).cast("bigint").alias("run")
         if {"topic", "partition", "offset"} <= set(records.columns):
+            records = records.groupBy("topic", "partition").agg(*offsets_read(records))
+        if {"topic", "partition", "first"} <= set(records.columns):
+            counts = [F.sum(name).alias(name) for name in ("records", "used", "set_aside")]
             read = (
-                records.where("offset is not null")
+                records.where("records > 0")
                 .groupBy("topic", "partition")
-                .agg(
-                    F.min("offset").alias("first"),
-                    (F.max("offset") + 1).alias("until"),
-                    F.count("*").alias("records"),
-                    F.lit(number // RUN).cast("bigint").alias("run"),
-                    F.count_if(good).alias("used"),
-                    F.count_if(~good).alias("set_aside"),
-                )
+                .agg(F.min("first").alias("first"), F.max("until").alias("until"), *counts)
+                .select("topic", "partition", "first", "until", "records", run, "used", "set_aside")
             )
         else:
             read = self.spark.createDataFrame([], COUNTED)
