@@ -68,6 +68,18 @@ def calls(spark: SparkSession, folder: str) -> DataFrame:
     return calls_from_events(spark.read.parquet(_events_path(folder)))
 
 
+#: Events of one task where calls are made of them to be delivered: some four records each.
+DEALT = 50_000
+
+
+def _dealt_calls(spark: SparkSession, folder: str) -> DataFrame:
+    """The calls, made by many tasks: an event grows to some hundred times its size in the
+    table, of which a split may hold very many."""
+    events = spark.read.parquet(_events_path(folder))
+    tasks = max(spark.sparkContext.defaultParallelism, -(-events.count() // DEALT))
+    return calls_from_events(events.repartition(tasks))
+
+
 def _streamed_calls(spark: SparkSession, folder: str) -> DataFrame:
     path = _events_path(folder)
     schema = spark.read.parquet(path).schema
@@ -427,7 +439,7 @@ def _message_fields(lines: DataFrame, *keep: str) -> DataFrame:
 def stream_publish_figures(spark: SparkSession, folder: str) -> DataFrame:
     """The last message of each key and snapshot, by the job that stores measures."""
     out = shared_folder(spark, "publish-figures")
-    _publish(spark, call_records(calls(spark, folder)), out)
+    _publish(spark, call_records(_dealt_calls(spark, folder)), out)
     return _last_messages(read_parts(spark, f"{out}/published", FRAMES))
 
 
@@ -448,7 +460,7 @@ def stream_snapshot_state(spark: SparkSession, folder: str) -> DataFrame:
             available_now=True,
         )
 
-    _deliver(spark, calls(spark, folder), _by_case(), out, start)
+    _deliver(spark, _dealt_calls(spark, folder), _by_case(), out, start)
     return _last_messages(read_parts(spark, f"{out}/published", FRAMES))
 
 
@@ -463,7 +475,7 @@ def stream_outbox(spark: SparkSession, folder: str) -> DataFrame:
     out = shared_folder(spark, "outbox")
     append = parquet_sender(f"{out}/received")
     received = f"key binary, value binary, headers {HEADERS}"
-    feed = call_records(calls(spark, folder))
+    feed = call_records(_dealt_calls(spark, folder))
     runs = iter(range(DELIVERED))
 
     def half(rows: DataFrame) -> None:
@@ -511,7 +523,7 @@ def stream_replay(spark: SparkSession, folder: str) -> DataFrame:
     the whole feed without damage is sent as repairs, twice. Only what was set aside is
     used of it, and the second time nothing."""
     out = shared_folder(spark, "replay")
-    all_calls = calls(spark, folder)
+    all_calls = _dealt_calls(spark, folder)
     good = call_records(all_calls)
     make_folder(spark, f"{out}/repairs")
 
@@ -551,7 +563,7 @@ def _changes(
             compact_every=2,
         )
 
-    all_calls = calls(spark, folder)
+    all_calls = _dealt_calls(spark, folder)
     _deliver(spark, all_calls, delivery(all_calls), out, start)
     return out
 
@@ -604,7 +616,7 @@ def stream_windows_live(spark: SparkSession, folder: str) -> DataFrame:
             available_now=True,
         )
 
-    _deliver(spark, calls(spark, folder), F.pmod(utc_day("pubTime"), F.lit(2)), out, start)
+    _deliver(spark, _dealt_calls(spark, folder), F.pmod(utc_day("pubTime"), F.lit(2)), out, start)
     bounds = "windowStart timestamp, windowEnd timestamp, pubTime timestamp, observations bigint"
     figures = "avgCallDuration double, queueSize bigint, callsAmt bigint, ratioServed double, queueDuration double"
     names = [f.split()[0] for f in f"{bounds}, {figures}".split(", ")]
@@ -633,7 +645,7 @@ def stream_store_compaction(spark: SparkSession, folder: str) -> DataFrame:
     def start(feed: DataFrame):
         return jobs.store_measures(feed, out, available_now=True, compact_every=2)
 
-    _deliver(spark, calls(spark, folder), _by_case(), out, start)
+    _deliver(spark, _dealt_calls(spark, folder), _by_case(), out, start)
     return kpis.figures_of(jobs.stored_measures(spark, out))
 
 
@@ -642,7 +654,7 @@ def stream_lost_checkpoint(spark: SparkSession, folder: str) -> DataFrame:
     """Figures of a job whose checkpoint is lost after the first delivery: the next run
     goes on after the offsets of its ledger, and each record is used once."""
     out = shared_folder(spark, "lost-checkpoint")
-    feed = call_records(calls(spark, folder))
+    feed = call_records(_dealt_calls(spark, folder))
     first, last = feed.agg(F.min("timestamp"), F.max("timestamp")).first()
     started = []
 
@@ -670,7 +682,7 @@ def stream_quarantine(spark: SparkSession, folder: str) -> DataFrame:
     """Records of every kind of damage, as the job sets them aside: the bytes as they
     came, where they were read, and why."""
     out = shared_folder(spark, "quarantine")
-    feed = damaged_records(calls(spark, folder))
+    feed = damaged_records(_dealt_calls(spark, folder))
     _publish(spark, feed, out)
     return read_parts(spark, f"{out}/quarantine", f"{_fields_of(feed)}, reason string").select(
         "topic",
@@ -688,5 +700,5 @@ def stream_accounting(spark: SparkSession, folder: str) -> DataFrame:
     """Of the same damaged records: how many were read, used and set aside, as the job has
     counted them while it read them. No records give counts of 0."""
     out = shared_folder(spark, "accounting")
-    _publish(spark, damaged_records(calls(spark, folder)), out)
+    _publish(spark, damaged_records(_dealt_calls(spark, folder)), out)
     return Ledger(spark, out).counts().unpivot([], ["read", "used", "set_aside"], "records", "n")
