@@ -129,15 +129,20 @@ class Platt:
     A small penalty on the slope keeps it finite where the labels are separable.
     """
 
-    def fit(self, x: np.ndarray, y: np.ndarray) -> Platt:
-        ones, zeros = y.sum(), len(y) - y.sum()
+    def fit(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None) -> Platt:
+        if weight is None:
+            weight = np.ones(len(y))
+        share = weight / weight.mean()
+        ones, zeros = (weight * y).sum(), (weight * (1 - y)).sum()
         target = np.where(y == 1, (ones + 1) / (ones + 2), 1 / (zeros + 2))
-        self.centre, self.scale = float(x.mean()), float(x.std() + 1e-9)
+        centre = (share * x).mean()
+        spread = np.sqrt((share * (x - centre) ** 2).mean())
+        self.centre, self.scale = float(centre), float(spread + 1e-9)
         x = (x - self.centre) / self.scale
         a, b = 1.0, 0.0
         for _ in range(100):
             p = sigmoid(a * x + b)
-            g, w = p - target, np.maximum(p * (1 - p), 1e-9)
+            g, w = share * (p - target), share * np.maximum(p * (1 - p), 1e-9)
             cross = (w * x).mean()
             hessian = np.array([[(w * x * x).mean() + 1e-3, cross], [cross, w.mean() + 1e-6]])
             step = np.linalg.solve(hessian, [(g * x).mean() + 1e-3 * a, g.mean() + 1e-6 * b])

@@ -4,8 +4,9 @@ Rules find assignments, access keys and long hexadecimal runs. Every other long
 run of key characters is a candidate: the network reads a window that slides over
 the whole of it, with its surroundings, and says how likely a secret is there; the
 highest score counts. It is trained on labelled
-findings: candidates of a bounded sample of the corpus, labelled by the rules,
-and generated keys, cards, addresses, versions, names. A held-out part calibrates
+findings: the candidates of all documents, labelled by the rules, and generated keys,
+cards, addresses, versions, names. Tasks train on their shards of the windows, and
+after each epoch the networks are averaged. A held-out quarter calibrates
 the network (Platt) and sets the threshold: the highest that keeps the wanted
 recall. Findings of the rules stay whatever their score; a likely candidate is left
 out only if they cover all its letters and digits.
@@ -24,8 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callpulse.llm.common import bytes_where, gram_hashes, map_arrow, text_blocks
-from callpulse.llm.learning import Platt, sample_of, sigmoid
+from callpulse.llm.common import bytes_where, map_arrow, stored, text_blocks
+from callpulse.llm.learning import Platt, sigmoid
 
 # The rules.
 ASSIGN = re.compile(
@@ -37,9 +38,18 @@ KEYWORDS = [b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key"]
 LEAST_ASSIGNED, LEAST_ACCESS = 6, 20
 KINDS = ["assign", "access", "hex", "model"]
 
-#: Documents whose candidates are trained on, and such candidates, at most (about).
-SAMPLE_DOCUMENTS = 20_000
-SAMPLE_CANDIDATES = 4_000
+#: What the corpus's windows of a label weigh together, at most, where a generated one
+#: weighs 1. All of them count, each by its share.
+LABEL_WEIGHT = 2_000
+#: Windows of a shard, about; windows of a label in each shard, at least, if there are
+#: as many: those of a rare label are in several shards.
+SHARD = 8192
+LEAST_LABELLED = 1024
+EPOCHS = 12
+#: Parts of 1 in which log odds are counted for calibration, and the largest log odds.
+CELLS, HIGHEST = 1024, 64
+#: Parts of 1 in which networks are added up: whole numbers have one sum in any order.
+FIXED = 2.0**40
 #: Share of labelled secrets that the threshold must keep.
 RECALL = 0.97
 LEAST_CANDIDATE = 16
@@ -138,6 +148,9 @@ class CharacterNet:
             "d": np.zeros(1),
         }
         self.p = {k: v.astype(np.float32) for k, v in self.p.items()}
+        self.first = {k: np.zeros_like(v) for k, v in self.p.items()}
+        self.second = {k: np.zeros_like(v) for k, v in self.p.items()}
+        self.decay = np.ones(2)  # of the two moments, over all steps so far
         at = np.arange(WIDTH - width + 1)
         self.zones = [at < LEFT - 2, (at >= LEFT - 2) & (at < LEFT + OWN - 2), at >= LEFT + OWN - 2]
 
@@ -150,37 +163,56 @@ class CharacterNet:
         pooled = np.concatenate([np.take_along_axis(h, t[:, None], 1)[:, 0] for t in tops], 1)
         return steps, tops, pooled, pooled @ self.p["v"] + self.p["d"][0]
 
-    def fit(self, x, y, epochs=12, batch=64, rate=0.004):
-        r = np.random.default_rng(1)
-        first = {k: np.zeros_like(v) for k, v in self.p.items()}
-        second = {k: np.zeros_like(v) for k, v in self.p.items()}
-        step, filters = 0, len(self.p["c"])
-        for _ in range(epochs):
-            for rows in np.array_split(r.permutation(len(y)), max(1, len(y) // batch)):
-                xs = x[rows]
-                steps, tops, pooled, score = self._forward(xs)
-                d = ((sigmoid(score) - y[rows]) / len(rows)).astype(np.float32)
-                g = {"v": pooled.T @ d, "d": d.sum(keepdims=True), "c": np.zeros_like(self.p["c"])}
-                g["w"], g["e"] = np.zeros_like(self.p["w"]), np.zeros_like(self.p["e"])
-                for z, top in enumerate(tops):
-                    part = slice(z * filters, (z + 1) * filters)
-                    back = d[:, None] * self.p["v"][part] * (pooled[:, part] > 0)
-                    g["c"] += back.sum(0)
-                    seen = np.take_along_axis(steps, top[:, :, None], 1)  # rows, filters, inputs
-                    g["w"] += np.einsum("nf,nfi->if", back, seen)
-                    flow = (back[:, :, None] * self.p["w"].T).reshape(len(rows), filters, self.width, -1)
-                    read = np.take_along_axis(
-                        xs, (top[:, :, None] + np.arange(self.width)).reshape(len(rows), -1), 1
-                    )
-                    np.add.at(g["e"], read.ravel(), flow.reshape(-1, flow.shape[-1]))
-                step += 1
-                for k in self.p:
-                    first[k] = 0.9 * first[k] + 0.1 * g[k]
-                    second[k] = 0.999 * second[k] + 0.001 * g[k] ** 2
-                    rise = (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-7)
-                    self.p[k] = self.p[k] - np.float32(rate) * rise
+    def state(self) -> np.ndarray:
+        """All numbers of the network and of Adam, as one array."""
+        sets = (self.p, self.first, self.second)
+        return np.concatenate([self.decay, *(v.ravel() for s in sets for v in s.values())])
+
+    def load(self, state: np.ndarray) -> CharacterNet:
+        self.decay, at = state[:2].copy(), 2
+        for s in (self.p, self.first, self.second):
+            for k, v in s.items():
+                s[k] = state[at : at + v.size].reshape(v.shape).astype(np.float32)
+                at += v.size
         return self
 
+    def fit(self, x, y, epochs=EPOCHS):
+        for epoch in range(epochs):
+            self.epoch(x, y, np.ones(len(y)), seed=(1, epoch))
+        return self
+
+    def epoch(self, x, y, weight, seed, batch=64, rate=0.004):
+        """One pass over all rows."""
+        filters, embed = len(self.p["c"]), self.p["e"].shape[1]
+        weight = weight / weight.mean()
+        order = np.random.default_rng(seed).permutation(len(y))
+        for rows in np.array_split(order, max(1, len(y) // batch)):
+            xs = x[rows]
+            steps, tops, pooled, score = self._forward(xs)
+            d = (weight[rows] * (sigmoid(score) - y[rows]) / len(rows)).astype(np.float32)
+            g = {"v": pooled.T @ d, "d": d.sum(keepdims=True), "c": np.zeros_like(self.p["c"])}
+            g["w"], g["e"] = np.zeros_like(self.p["w"]), np.zeros_like(self.p["e"])
+            for z, top in enumerate(tops):
+                part = slice(z * filters, (z + 1) * filters)
+                back = d[:, None] * self.p["v"][part] * (pooled[:, part] > 0)
+                g["c"] += back.sum(0)
+                seen = np.take_along_axis(steps, top[:, :, None], 1)  # rows, filters, inputs
+                g["w"] += np.einsum("nf,nfi->if", back, seen)
+                flow = back[:, :, None] * self.p["w"].T
+                read = np.take_along_axis(
+                    xs, (top[:, :, None] + np.arange(self.width)).reshape(len(rows), -1), 1
+                )
+                place = read.reshape(-1, 1) * np.int64(embed) + np.arange(embed)
+                g["e"] += np.bincount(place.ravel(), flow.ravel(), g["e"].size).reshape(-1, embed)
+            self.decay *= (0.9, 0.999)
+            for k in self.p:
+                self.first[k] = 0.9 * self.first[k] + 0.1 * g[k]
+                self.second[k] = 0.999 * self.second[k] + 0.001 * g[k] ** 2
+                rise = (self.first[k] / (1 - self.decay[0])) / (
+                    np.sqrt(self.second[k] / (1 - self.decay[1])) + 1e-7
+                )
+                self.p[k] = (self.p[k] - rate * rise).astype(np.float32)
+
     def decide(self, x: np.ndarray) -> np.ndarray:
         parts = [self._forward(x[k : k + 512])[3] for k in range(0, len(x), 512)]
         return np.concatenate([*parts, np.empty(0)]).astype(float)
@@ -254,23 +286,33 @@ def generated(count: int, seed: int = 3, framed: bool = False) -> tuple[np.ndarr
         start = np.array([len(before)])
         end = start + len(lead + own + tail)
         which, at = slid(start, end) if framed else (np.array([0]), np.array([0]))
-        held = [(len(lead), len(lead + own))] if good else []
-        y = [_label(held, a, min(a + OWN, end[0] - start[0]), len(at) == 1) for a in at]
-        told = np.array([v is not None for v in y])
+        held = np.array([[len(lead), len(lead + own)]] if good else [], int).reshape(-1, 2)
+        y = _labels([held], at, np.minimum(at + OWN, end[0] - start[0]), len(at) == 1)
+        told = y >= 0
         low, high = np.zeros(len(which), int), np.full(len(which), len(text))
         xs.append(windows(text, start[which], end[which], low, high, at)[told])
-        ys += [float(v) for v in y if v is not None]
+        ys += y[told].astype(float).tolist()
     return np.concatenate(xs), np.array(ys)
 
 
-def _label(secrets: list[tuple[int, int]], start: int, end: int, alone: bool) -> int | None:
-    """Whether the characters of a window hold a secret; None if too little of one.
-    The only window of a candidate holds what the candidate does."""
-    shared = max((min(e, end) - max(s, start) for s, e in secrets), default=0)
-    if shared <= 0:
-        return 0
-    whole = any(start <= s and e <= end for s, e in secrets)
-    return 1 if alone or whole or shared >= HELD else None
+def _labels(
+    secrets: list[np.ndarray], start: np.ndarray, end: np.ndarray, alone: np.ndarray | bool
+) -> np.ndarray:
+    """Whether the characters of each window hold a secret: 1, 0, or -1 if too little of
+    one. The only window of a candidate holds what the candidate does. Secrets are
+    arrays of (start, end), each in order and without overlaps."""
+    shared, whole = np.zeros(len(start), np.int64), np.zeros(len(start), bool)
+    for held in secrets:
+        s, e = held.T
+        near, last = np.searchsorted(e, start, "right"), np.searchsorted(s, end, "left")
+        for _ in range(int((last - near).max(initial=0))):
+            rows = np.flatnonzero(near < last)
+            a, b = s[near[rows]], e[near[rows]]
+            own = np.minimum(b, end[rows]) - np.maximum(a, start[rows])
+            shared[rows] = np.maximum(shared[rows], own)
+            whole[rows] |= (start[rows] <= a) & (b <= end[rows])
+            near = near + 1
+    return np.where(shared <= 0, 0, np.where(alone | whole | (shared >= HELD), 1, -1))
 
 
 @dataclass
@@ -326,59 +368,171 @@ def _labelled(batches):
     """Windows of the corpus's candidates, labelled by the rules."""
     for rows, data, offsets in text_blocks(batches, "text"):
         texts = rows.column("text").to_pylist()
-        rules, spread, bounds, _, owner, start, end, first, last = _found(data, offsets, texts)
+        rules, spread, bounds, points, owner, start, end, first, last = _found(
+            data, offsets, texts
+        )
+        begun = points[bounds[:, 0]]  # code points of the block before each text
+        secrets = [
+            np.array(
+                [(b + f[1], b + f[2]) for b, own in zip(begun, rules, strict=True) for f in own if f[0] == kind],
+                np.int64,
+            ).reshape(-1, 2)
+            for kind in KINDS[:-1]
+        ]
+        first, last = first + begun[owner], last + begun[owner]
         which, at = slid(start, end)
         alone = np.bincount(which, minlength=len(start)) == 1
         for k in range(0, len(which), READ):
             own, begin = which[k : k + READ], at[k : k + READ]
-            y = [
-                _label([f[1:] for f in rules[owner[w]]], a, min(a + OWN, last[w]), alone[w])
-                for w, a in zip(own, first[own] + begin, strict=True)
-            ]
-            told = np.array([v is not None for v in y], bool)
+            place = first[own] + begin
+            y = _labels(secrets, place, np.minimum(place + OWN, last[own]), alone[own])
+            told = y >= 0
             low, high = bounds[owner[own]].T
             x = windows(spread, start[own], end[own], low, high, begin)[told]
             yield pa.RecordBatch.from_pydict(
-                {
-                    "x": pa.array([v.tobytes() for v in x], pa.binary()),
-                    "y": pa.array([v for v in y if v is not None], pa.int32()),
-                    "draw": pa.array(_hashed(x)),
-                }
+                {"x": pa.array([v.tobytes() for v in x], pa.binary()), "y": pa.array(y[told], pa.int32())}
+            )
+
+
+def _arrays(rows: pa.RecordBatch | pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    x = np.frombuffer(b"".join(rows.column("x").to_pylist()), np.uint8).reshape(-1, WIDTH)
+    return x, rows.column("y").to_numpy()
+
+
+def _shards(batches):
+    """The rows of each shard, which come one after the other: number, windows, labels."""
+    held, number = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        shard = batch.column("shard").to_numpy()
+        borders = [0, *(np.flatnonzero(np.diff(shard)) + 1), len(shard)]
+        for first, last in zip(borders[:-1], borders[1:], strict=True):
+            if held and shard[first] != number:
+                yield int(number), *_arrays(pa.Table.from_batches(held))
+                held = []
+            number = shard[first]
+            held.append(batch.slice(first, last - first))
+    if held:
+        yield int(number), *_arrays(pa.Table.from_batches(held))
+
+
+def _dealt(found: DataFrame, counts: dict[int, int]) -> tuple[DataFrame, dict[int, float]]:
+    """The windows by shards, those of a shard together, and what a window of each label
+    weighs in a shard, in which every generated one weighs 1."""
+    shards = max(1, round(sum(counts.values()) / SHARD))
+    copies = {y: min(shards, -(-LEAST_LABELLED * shards // max(n, 1))) for y, n in counts.items()}
+    own = F.when(F.col("y") == 1, F.lit(copies[1])).otherwise(F.lit(copies[0]))
+    nth = F.explode(F.sequence(F.lit(0), own - 1))
+    first = F.pmod(F.xxhash64("draw", F.lit(13)), F.lit(shards))
+    step = F.floor(F.col("nth") * shards / own)
+    files = max(min(shards, 256), shards // 32)
+    dealt = (
+        found.select("*", nth.alias("nth"))
+        .select(((first + step) % shards).cast("int").alias("shard"), "draw", "x", "y")
+        .repartition(files, "shard")
+        .sortWithinPartitions("shard", "draw", "x", "y")
+        .select("shard", "x", "y")
+    )
+    return stored(dealt, "secret-shards"), {y: shards / c for y, c in copies.items()}
+
+
+def _trained(found: DataFrame, weight: dict[int, float], x: np.ndarray, y: np.ndarray) -> CharacterNet:
+    """Trains on all windows found, each weighing what its label's do, and on generated
+    ones. In each epoch a task trains the network on its shards, one by one from the same
+    start, and the networks of all shards are averaged, with Adam's moments."""
+    counts = {k: 0 for k in (0, 1)} | dict(found.groupBy("y").count().collect())
+    if not any(counts.values()):
+        return CharacterNet().fit(x, y)
+    dealt, share = _dealt(found, counts)
+    weights = np.array([weight[k] * share[k] for k in (0, 1)])
+    sent = found.sparkSession.sparkContext.broadcast((x, y))
+    state = CharacterNet().state()
+    for epoch in range(EPOCHS):
+
+        def run(batches, state=state, epoch=epoch):
+            made, made_y = sent.value
+            total = np.zeros(len(state) + 1, np.int64)  # and the number of shards
+            for number, own, own_y in _shards(batches):
+                w = np.concatenate([np.ones(len(made_y)), weights[own_y]])
+                net = CharacterNet().load(state)
+                net.epoch(
+                    np.concatenate([made, own]), np.concatenate([made_y, own_y]), w, (1, epoch, number)
+                )
+                total += np.append(np.rint(net.state() * FIXED).astype(np.int64), 1)
+            if total[-1]:
+                yield pa.RecordBatch.from_pydict({"state": pa.array([total.tolist()], pa.list_(pa.int64()))})
+
+        sums = (
+            map_arrow(dealt, run, "state array<long>")
+            .select(F.posexplode("state").alias("at", "value"))
+            .groupBy("at")
+            .agg(F.sum("value").alias("value"))
+            .toPandas()
+            .sort_values("at")["value"]
+            .to_numpy(np.int64)
+        )
+        state = sums[:-1] / FIXED / sums[-1]
+    return CharacterNet().load(state)
+
+
+def _counted(found: DataFrame, net: CharacterNet) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """How the network decides on windows: log odds, rounded down to cells, labels, and
+    how many windows have both. The cells are some hundred thousand at most."""
+    sent = found.sparkSession.sparkContext.broadcast(net)
+
+    def run(batches):
+        for batch in batches:
+            x, y = _arrays(batch)
+            cell = np.floor(np.clip(sent.value.decide(x), -HIGHEST, HIGHEST) * CELLS)
+            yield pa.RecordBatch.from_pydict(
+                {"cell": pa.array(cell.astype(np.int64)), "y": pa.array(y, pa.int32())}
             )
 
+    rows = (
+        map_arrow(found.select("x", "y"), run, "cell long, y int")
+        .groupBy("cell", "y")
+        .count()
+        .orderBy("cell", "y")
+        .toPandas()
+    )
+    return rows["cell"].to_numpy(float) / CELLS, rows["y"].to_numpy(float), rows["count"].to_numpy(float)
 
-def _hashed(x: np.ndarray) -> np.ndarray:
-    if not len(x):
-        return np.empty(0, np.int64)
-    return np.array([gram_hashes(v.astype(np.uint64) + np.uint64(1), WIDTH)[0] for v in x]).view(np.int64)
 
+def _kept(scores: np.ndarray, weight: np.ndarray, recall: float) -> float:
+    """The highest score from which at least that share of the weight lies."""
+    order = np.argsort(scores, kind="stable")
+    before = np.cumsum(weight[order]) - weight[order]
+    return float(scores[order][before <= (1 - recall) * weight.sum()][-1])
 
-def fit(documents: DataFrame, limit: int = SAMPLE_DOCUMENTS, recall: float = RECALL) -> SecretModel:
-    """Trains on candidates of about ``limit`` documents and on generated findings."""
-    drawn = sample_of(documents.where("doc_id is not null").select("doc_id", "text"), "doc_id", limit)
-    kept = map_arrow(drawn, _labelled, "x binary, y int, draw long").distinct()
-    halves = [
-        kept.where(F.col("y") == label).orderBy("draw").limit(SAMPLE_CANDIDATES // 2).collect()
-        for label in (0, 1)
-    ]
-    own = [np.frombuffer(bytes(r[0]), np.uint8) for half in halves for r in half]
-    labels = [float(r[1]) for half in halves for r in half]
+
+def fit(documents: DataFrame, recall: float = RECALL) -> SecretModel:
+    """Trains on the candidates of all documents and on generated findings."""
+    found = map_arrow(documents.select("text"), _labelled, "x binary, y int").distinct()
+    found = stored(found.withColumn("draw", F.xxhash64("x")), "secret-windows")
+    counts = dict(found.groupBy("y").count().collect())
+    weight = {k: min(1.0, LABEL_WEIGHT / counts.get(k, 1)) for k in (0, 1)}
     x, y = generated(4_000)
     more_x, more_y = generated(800, seed=4, framed=True)
-    x = np.concatenate([x, more_x, np.array(own, np.uint8).reshape(-1, WIDTH)])
-    framed = np.repeat([False, True, False], [len(y), len(more_y), len(labels)])
-    y = np.concatenate([y, more_y, labels])
+    x, framed = np.concatenate([x, more_x]), np.repeat([False, True], [len(y), len(more_y)])
+    y = np.concatenate([y, more_y])
     order = np.random.default_rng(2).permutation(len(y))
     x, y, framed = x[order], y[order], framed[order]
     cut = len(y) * 3 // 4
-    net = CharacterNet().fit(x[:cut], y[:cut])
-    decided = net.decide(x[cut:])
-    calibrate = Platt().fit(decided, y[cut:])
+    held_out = F.pmod(F.xxhash64("draw", F.lit(11)), F.lit(4)) == 0
+    net = _trained(found.where(~held_out), weight, x[:cut], y[:cut])
+    decided, labels, number = _counted(found.where(held_out), net)
+    x, y, framed = x[cut:], np.concatenate([y[cut:], labels]), framed[cut:]
+    decided = np.concatenate([net.decide(x), decided])
+    framed = np.concatenate([framed, np.zeros(len(labels), bool)])
+    number = number * np.array([weight[k] for k in labels.astype(int)])
+    weights = np.concatenate([np.ones(len(x)), number])
+    calibrate = Platt().fit(decided, y, weights)
     scores = calibrate(decided)
     kept = []  # keys of their own and keys in longer runs each keep the recall
     for kind in (False, True):
-        positive = np.sort(scores[(y[cut:] == 1) & (framed[cut:] == kind)])
-        kept.append(float(positive[int(np.floor((1 - recall) * len(positive)))]))
+        positive = (y == 1) & (framed == kind)
+        kept.append(_kept(scores[positive], weights[positive], recall))
     return SecretModel(net, calibrate, min(kept))
 
 

@@ -130,3 +130,61 @@ def test_gradients_of_the_network():
     loss = np.logaddexp(0, np.where(y == 1, -before, before)).mean()
     after = secret_scan.CharacterNet().fit(x, y, epochs=30).decide(x)
     assert np.logaddexp(0, np.where(y == 1, -after, after)).mean() < loss / 4
+
+
+def test_windows_of_all_documents_are_learned(spark):
+    """Runs of a kind that only documents outside a hashed sample of 20 000 hold."""
+    run = "concat('QXQX', translate(substr(sha2('{}' || id, 256), 1, 36), '0123456789', 'ghijklmnop'))"
+    outside = "pmod(xxhash64(id, 7), 1 << 30) >= int(20000 / 25000d * (1 << 30))"
+    text = f"if({outside}, concat('see ', {run.format('a')}, ' there'), 'nothing')"
+    documents = spark.range(25_000).selectExpr("id AS doc_id", f"{text} AS text")
+    assert documents.where("text <> 'nothing'").count() > 4_000
+    learned = secret_scan.fit(documents)
+    others = spark.range(300).selectExpr("id AS doc_id", f"concat('see ', {run.format('b')}, ' there') AS text")
+    assert secret_scan.find(others, learned).where("size(findings) > 0").count() <= 15
+    x, y = secret_scan.generated(800, seed=99)
+    likely = learned.score(x) >= learned.threshold
+    assert likely[y == 1].mean() >= 0.93 and likely[y == 0].mean() <= 0.03
+
+
+def _corpus(spark):
+    """3 000 windows without a secret, 60 with one; one text twice, one key null."""
+    plain = spark.range(3000).selectExpr("id AS doc_id", "concat('see /some/longer/path/', id) AS text")
+    held = spark.range(60).selectExpr("null AS doc_id", "concat('is ', substr(sha2('' || id, 256), 1, 30), ' it') AS text")
+    return plain.union(held).union(plain.limit(1))
+
+
+def test_every_window_is_in_a_shard_and_rare_ones_in_all(spark, monkeypatch):
+    monkeypatch.setattr(secret_scan, "SHARD", 500)
+    windows = secret_scan.map_arrow(_corpus(spark).select("text"), secret_scan._labelled, "x binary, y int")
+    found = windows.distinct().selectExpr("*", "xxhash64(x) AS draw")
+    counts = dict(found.groupBy("y").count().collect())
+    assert counts == {0: 3000, 1: 60}
+    dealt, share = secret_scan._dealt(found, counts)
+    rows = dealt.collect()
+    assert {r.shard for r in rows} == set(range(6))
+    for y, n in counts.items():
+        own = [(r.shard, bytes(r.x)) for r in rows if r.y == y]
+        assert len(set(own)) == len(own) and len({x for _, x in own}) == n
+        assert len(own) * share[y] == 6 * n  # as much weight as in one shard of all
+    assert sum(r.y for r in rows) == 6 * 60
+
+
+def test_training_is_the_same_however_the_documents_lie(spark, monkeypatch):
+    monkeypatch.setattr(secret_scan, "SHARD", 500)
+    monkeypatch.setattr(secret_scan, "EPOCHS", 2)
+    corpus = _corpus(spark)
+    one, other = (secret_scan.fit(d) for d in (corpus.coalesce(1), corpus.repartition(7)))
+    assert (one.net.state() == other.net.state()).all() and one.threshold == other.threshold
+
+
+def test_calibration_by_weights_is_that_of_repeated_rows():
+    r = np.random.default_rng(1)
+    x, n = r.normal(size=200), r.integers(1, 5, 200)
+    y = (x + r.normal(size=200) > 0).astype(float)
+    weighed = secret_scan.Platt().fit(x, y, n.astype(float))
+    repeated = secret_scan.Platt().fit(np.repeat(x, n), np.repeat(y, n))
+    assert np.allclose(weighed(x), repeated(x))
+    kept = secret_scan._kept(x, n.astype(float), 0.9)
+    again = np.sort(np.repeat(x, n))
+    assert kept == again[int(np.floor((1 - 0.9) * len(again)))]
